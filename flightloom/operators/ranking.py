@@ -1,0 +1,47 @@
+"""Dense numbering without collecting a group into one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def running_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    block: str,
+    order: Sequence[str],
+    conditions: dict[str, Column],
+) -> DataFrame:
+    """Add, per condition, how many rows of the key up to and including this row satisfy it.
+
+    ``block`` must be non-decreasing along ``order``. Rows are ordered only inside
+    (key, block), and a key's blocks are joined up by their pre-aggregated totals, so a key
+    that holds most of the rows is still spread over its blocks.
+    """
+    slots = {name: f"_before_{name}" for name in conditions}
+    totals = df.groupBy(*keys, block).agg(
+        *[F.count_if(cond).alias(slots[name]) for name, cond in conditions.items()]
+    )
+    earlier = (
+        Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = totals.select(
+        *keys,
+        block,
+        *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(s) for s in slots.values()],
+    )
+    inside = (
+        Window.partitionBy(*keys, block)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = df.withColumns(
+        {name: F.count_if(cond).over(inside) for name, cond in conditions.items()}
+    )
+    joined = local.join(before, [*keys, block])
+    return joined.withColumns(
+        {name: F.col(name) + F.col(slot) for name, slot in slots.items()}
+    ).drop(*slots.values())
