@@ -36,9 +36,17 @@ def micros_from_seconds(seconds: Column) -> Column:
     return F.round(F.coalesce(seconds, F.lit(0)) * F.lit(1_000_000)).cast("long")
 
 
-def headwind(wind_speed: Column, wind_direction: Column, heading: Column) -> Column:
-    """Wind along the flight path: head positive, tail negative."""
-    return wind_speed * F.cos(F.radians(wind_direction - heading))
+# Wind along the flight path: head positive, tail negative.
+HEADWIND = "wind_speed * cos(radians(wind_direction - heading_true))"
+
+
+def headwind() -> Column:
+    return F.expr(HEADWIND)
+
+
+def cast_list(schema: T.StructType) -> list[str]:
+    """Select list that puts columns into the order and types of ``schema``."""
+    return [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
 
 
 def file_name_of(path: Column) -> Column:
@@ -50,10 +58,15 @@ def clean_text(value: Column) -> Column:
     return F.regexp_replace(value, TEXT_STRIP_PATTERN, "")
 
 
+def lookup(table: dict[str, str] | dict[str, int], key: Column) -> Column:
+    """The table's value for ``key``, NULL where it has none."""
+    pairs = ", ".join(f"'{k}', {v!r}" for k, v in table.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), key)
+
+
 def column_for_signal(param: Column) -> Column:
     """The Silver column of a recorded signal; unknown names stay as they are."""
-    known = F.create_map(*[F.lit(x) for pair in SIGNAL_COLUMNS.items() for x in pair])
-    return F.coalesce(F.try_element_at(known, param), param)
+    return F.coalesce(lookup(SIGNAL_COLUMNS, param), param)
 
 
 def output_name(tail: Column, number: Column, origin: Column, target: Column, departure: Column) -> Column:

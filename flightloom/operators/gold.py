@@ -10,52 +10,45 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.functions.columns import headwind, utc_literal
+from flightloom.functions.columns import HEADWIND, cast_list, utc_literal
 from flightloom.schemas import GOLD, GOLD_METRICS
 
 KEYS = ("flight_id", "flight_phase")
 DEFAULT_SAMPLE_RATE_HZ = 4.0
 
 # Values derived per sample before grouping; everything else is a Silver column.
-CHANNELS = {
-    "n1_imbalance": lambda: F.abs(F.col("engine_n1_1") - F.col("engine_n1_2")),
-    "headwind": lambda: headwind(
-        F.col("wind_speed"), F.col("wind_direction"), F.col("heading_true")
-    ),
-}
+CHANNELS = {"n1_imbalance": "abs(engine_n1_1 - engine_n1_2)", "headwind": HEADWIND}
 
+# As SQL text: one call per metric instead of one per operation when the plan is built.
 STATISTICS = {
-    "mean": F.mean,
-    "max": F.max,
-    "min": F.min,
-    "std": F.stddev,
-    "range": lambda x: F.max(x) - F.min(x),
-    "rms": lambda x: F.sqrt(F.mean(x * x)),
-    "peak": lambda x: F.max(F.abs(x)),
+    "mean": "avg({x})",
+    "max": "max({x})",
+    "min": "min({x})",
+    "std": "stddev_samp({x})",
+    "range": "max({x}) - min({x})",
+    "rms": "sqrt(avg({x} * {x}))",
+    "peak": "max(abs({x}))",
+    # a NULL sample is no event, a NaN sample is one
+    "count_above": "sum(if({x} > {limit}D, 1, 0))",
+    "count_abs_above": "sum(if(abs({x}) > {limit}D, 1, 0))",
 }
 
 
 @dataclass(frozen=True)
 class Metric:
-    """``statistic`` of ``channel``; with a limit, the number of samples beyond it."""
+    """A statistic of a channel; the counters count samples beyond the limit."""
 
     name: str
     channel: str
     statistic: str
     limit: float | None = None
 
-    def column(self) -> Column:
-        value = F.col(self.channel)
-        if self.limit is None:
-            result = STATISTICS[self.statistic](value)
-        else:
-            tested = F.abs(value) if self.statistic == "count_abs_above" else value
-            # a NULL sample is no event, a NaN sample is one
-            result = F.sum(F.when(tested > F.lit(self.limit), 1).otherwise(0))
-        return result.alias(self.name)
+    def sql(self) -> str:
+        value = STATISTICS[self.statistic].format(x=self.channel, limit=self.limit)
+        return f"{value} AS {self.name}"
 
 
 METRIC_GROUPS: dict[str, tuple[Metric, ...]] = {
@@ -124,17 +117,15 @@ def phase_metrics(
 ) -> DataFrame:
     """Duration plus the chosen metric groups per flight and phase."""
     metrics = [m for group in groups for m in METRIC_GROUPS[group]]
-    used = dict.fromkeys(m.channel for m in metrics)
-    samples = silver.select(
-        *KEYS, *[CHANNELS[c]().alias(c) if c in CHANNELS else F.col(c) for c in used]
+    channels = dict.fromkeys(m.channel for m in metrics)
+    samples = silver.selectExpr(*KEYS, *[f"{CHANNELS.get(c, c)} AS {c}" for c in channels])
+    per_phase = samples.groupBy(*KEYS).agg(
+        F.expr(f"count(*) / {float(sample_rate_hz)}D AS duration_sec"),
+        *[F.expr(m.sql()) for m in metrics],
     )
-    duration = (F.count(F.lit(1)) / F.lit(float(sample_rate_hz))).alias("duration_sec")
-    per_phase = samples.groupBy(*KEYS).agg(duration, *[m.column() for m in metrics])
     if "fuel_mean_flow_kg_hr" in per_phase.columns:
-        hours = F.col("duration_sec") / F.lit(3600.0)
-        per_phase = per_phase.withColumn(
-            "fuel_total_kg", F.col("fuel_mean_flow_kg_hr") * hours
-        )
+        burned = F.expr("fuel_mean_flow_kg_hr * (duration_sec / 3600D)")
+        per_phase = per_phase.withColumn("fuel_total_kg", burned)
     return per_phase
 
 
@@ -147,7 +138,7 @@ def gold_rows(
     stamped = phase_metrics(silver, sample_rate_hz=sample_rate_hz).withColumns(
         {"record_created_at": utc_literal(now), "record_updated_at": utc_literal(now)}
     )
-    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in GOLD.fields])
+    return stamped.selectExpr(*cast_list(GOLD))
 
 
 def metric_names(group: str) -> list[str]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightloom.functions.columns import (
+    cast_list,
     micros_from_seconds,
     ntz_from_micros,
     output_name,
@@ -58,6 +59,4 @@ def bronze_rows(metadata: DataFrame, now: datetime | str) -> DataFrame:
     stamped = metadata.withColumns(
         {"created_date": utc_literal(now), "updated_date": utc_literal(now)}
     )
-    return stamped.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE.fields]
-    )
+    return stamped.selectExpr(*cast_list(BRONZE))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,35 +13,34 @@ def running_counts(
     keys: Sequence[str],
     block: str,
     order: Sequence[str],
-    conditions: dict[str, Column],
+    conditions: dict[str, str],
 ) -> DataFrame:
-    """Add, per condition, how many rows of the key up to and including this row satisfy it.
+    """Add, per SQL condition, how many rows of the key up to and including this row satisfy it.
 
     ``block`` must be non-decreasing along ``order``. Rows are ordered only inside
     (key, block), and a key's blocks are joined up by their pre-aggregated totals, so a key
     that holds most of the rows is still spread over its blocks.
     """
-    slots = {name: f"_before_{name}" for name in conditions}
     totals = df.groupBy(*keys, block).agg(
-        *[F.count_if(cond).alias(slots[name]) for name, cond in conditions.items()]
+        *[F.expr(f"count_if({cond}) AS before_{name}") for name, cond in conditions.items()]
     )
-    earlier = (
-        Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = totals.select(
+    by_key, by_block = ", ".join(keys), ", ".join([*keys, block])
+    earlier = f"PARTITION BY {by_key} ORDER BY {block} ROWS BETWEEN UNBOUNDED PRECEDING"
+    before = totals.selectExpr(
         *keys,
         block,
-        *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(s) for s in slots.values()],
+        *[
+            f"coalesce(sum(before_{n}) OVER ({earlier} AND 1 PRECEDING), 0) AS before_{n}"
+            for n in conditions
+        ],
     )
     inside = (
-        Window.partitionBy(*keys, block)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        f"PARTITION BY {by_block} ORDER BY {', '.join(order)} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    )
+    local = df.selectExpr(
+        "*", *[f"count_if({cond}) OVER ({inside}) AS here_{n}" for n, cond in conditions.items()]
     )
-    local = df.withColumns(
-        {name: F.count_if(cond).over(inside) for name, cond in conditions.items()}
+    return local.join(before, [*keys, block]).selectExpr(
+        *df.columns, *[f"here_{n} + before_{n} AS {n}" for n in conditions]
     )
-    joined = local.join(before, [*keys, block])
-    return joined.withColumns(
-        {name: F.col(name) + F.col(slot) for name, slot in slots.items()}
-    ).drop(*slots.values())

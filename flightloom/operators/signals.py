@@ -15,7 +15,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flightloom.functions.columns import clean_text, column_for_signal
+from flightloom.functions.columns import clean_text, column_for_signal, lookup
 from flightloom.schemas import (
     BASE_SIGNAL,
     NUMERIC_COLUMNS,
@@ -124,13 +124,13 @@ def _fault() -> Column:
 
 def flight_frames(profile: DataFrame, key: str = KEY) -> DataFrame:
     """One row per flight: length, column count, text values, and the fault if it has one."""
-    text = F.when(F.col("used") & (F.col("signal_kind") == "text"), F.col("text_value"))
+    text = "if(used AND signal_kind = 'text' AND column_name = '{c}', text_value, NULL)"
     return profile.withColumn("fault", _fault()).groupBy(key).agg(
         F.max("base_len").alias("base_len"),
         F.count_if("used").alias("n_signals"),
         F.min("fault").alias("fault"),
         *[
-            F.max(F.when(F.col("column_name") == c, text)).alias(f"{c}_text")
+            F.expr(f"max({text.format(c=c)}) AS {c}_text")
             for c in SIGNAL_COLUMNS.values()
         ],
     )
@@ -220,9 +220,7 @@ def assemble(
     frames = flight_frames(profile, key) if frames is None else frames
     accepted = frames.filter(F.col("fault").isNull())
     slots = {c: i for i, c in enumerate(SIGNAL_COLUMNS.values())}
-    slot = F.try_element_at(
-        F.create_map(*[F.lit(x) for pair in slots.items() for x in pair]), F.col("column_name")
-    )
+    slot = lookup(slots, F.col("column_name"))
     filled = F.col("used") & (F.col("signal_kind") != "text")
     # the samples of the base signal are the rows, so it comes along even without a value
     is_base = F.col("param") == BASE_SIGNAL
@@ -244,7 +242,7 @@ def assemble(
         .groupBy(key, "slice", "row_idx")
         .agg(
             *[
-                F.avg(F.when(F.col("slot") == i, F.col("value"))).alias(f"{c}_num")
+                F.expr(f"avg(if(slot = {i}, value, NULL)) AS {c}_num")
                 for c, i in slots.items()
             ]
         )
@@ -254,17 +252,19 @@ def assemble(
     # the rows are already placed by (flight, slice): only the few frame rows move
     rows = wide.join(spread.hint("shuffle_hash"), [key, "slice"])
 
-    def value_of(column: str) -> Column:
-        if column not in slots:
-            return F.col(column)
-        number, text = F.col(f"{column}_num"), F.col(f"{column}_text")
+    def value_of(column: str) -> str:
         if column in TEXT_COLUMNS:
-            return F.coalesce(text, number.cast("string"))
-        return F.coalesce(number, text.cast("double"))
+            return f"coalesce({column}_text, CAST({column}_num AS string))"
+        if column in slots:
+            return f"coalesce({column}_num, CAST({column}_text AS double))"
+        return column
 
-    return rows.select(
-        F.col("row_idx").alias("idx"),
-        *[value_of(f.name).cast(f.dataType).alias(f.name) for f in SILVER.fields],
+    return rows.selectExpr(
+        "row_idx AS idx",
+        *[
+            f"CAST({value_of(f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in SILVER.fields
+        ],
     )
 
 

@@ -15,10 +15,10 @@ from flightloom.session import BROADCAST_ROWS, settle
 
 
 class Table(Protocol):
-    def exists(self) -> bool: ...
-
     def read(self) -> DataFrame: ...
 
+    def read_or_none(self) -> DataFrame | None: ...
+
     def append(self, df: DataFrame): ...
 
 
@@ -61,8 +61,7 @@ def run_gold(
     The new ids are stored before Gold changes, so the count read back refers to this run.
     """
     samples = silver.read()
-    known = gold.read() if gold.exists() else None
-    flights = settle(new_flights(samples, known), "new-flights")
+    flights = settle(new_flights(samples, gold.read_or_none()), "new-flights")
     n_flights = flights.count()
     if n_flights == 0:
         return GoldRun(0, 0)

@@ -27,9 +27,8 @@ class IntakeTables:
 
 
 def _read(table: SnapshotTable) -> DataFrame:
-    if table.exists():
-        return table.read()
-    return table.spark.createDataFrame([], table.schema)
+    found = table.read_or_none()
+    return table.spark.createDataFrame([], table.schema) if found is None else found
 
 
 def run_intake(

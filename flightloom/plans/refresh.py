@@ -51,5 +51,5 @@ def run_pipeline(
         return message, GoldRun(0, 0)  # no flight file has ever been written
     load.awaitTermination()
     if not silver.exists():
-        return message, GoldRun(0, 0)
+        return message, GoldRun(0, 0)  # every file so far was rejected
     return message, run_gold(silver, gold, now)

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # without it every column expression records its call site, several calls to the JVM each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # Largest row count that is sent to every executor. The callers broadcast narrow rows

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
@@ -13,14 +12,15 @@ class AmbiguousColumns(ValueError):
     """Two source columns differ only in case."""
 
 
-def _converted(column: Column, source: T.DataType, target: T.DataType) -> Column:
+def _converted(name: str, source: T.DataType, target: T.DataType) -> str:
+    column = f"`{name}`"
     # a time that belongs in a LONG column is stored as epoch microseconds, in UTC
     if target == T.LongType() and isinstance(source, T.TimestampNTZType):
-        here = F.convert_timezone(F.lit("UTC"), F.current_timezone(), column)
-        return F.unix_micros(here.cast("timestamp"))
+        here = f"convert_timezone('UTC', current_timezone(), {column})"
+        return f"unix_micros(CAST({here} AS timestamp))"
     if target == T.LongType() and isinstance(source, T.TimestampType):
-        return F.unix_micros(column)
-    return column.cast(target)
+        return f"unix_micros({column})"
+    return f"CAST({column} AS {target.simpleString()})"
 
 
 def project_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -36,11 +36,11 @@ def project_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
             raise AmbiguousColumns(", ".join(m.name for m in matches))
         if matches:
             source = matches[0]
-            value = _converted(F.col(f"`{source.name}`"), source.dataType, target.dataType)
+            value = _converted(source.name, source.dataType, target.dataType)
         else:
-            value = F.lit(None).cast(target.dataType)
-        columns.append(value.alias(target.name))
-    return df.select(*columns)
+            value = f"CAST(NULL AS {target.dataType.simpleString()})"
+        columns.append(f"{value} AS `{target.name}`")
+    return df.selectExpr(*columns)
 
 
 def load_by_name(

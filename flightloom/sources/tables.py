@@ -32,6 +32,9 @@ class CatalogTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def read_or_none(self) -> DataFrame | None:
+        return self.read() if self.exists() else None
+
     def append(self, df: DataFrame) -> None:
         if self.exists():
             df = project_by_name(df, self.read().schema)
@@ -44,54 +47,58 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def _log(self) -> DataFrame | None:
+    def _commits(self) -> list:
+        """All commits, oldest first: one short row per write."""
         try:
-            return self.spark.read.schema(self.COMMIT).json(f"{self.path}/commits")
+            log = self.spark.read.schema(self.COMMIT).json(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
-
-    def _commits(self) -> list:
-        """The last replacement and the appends after it, oldest first."""
-        log = self._log()
-        if log is None:
-            return []
-        base = log.filter("kind = 'replace'").agg(F.max("version")).first()[0] or 0
-        return log.filter(F.col("version") >= base).orderBy("version").collect()
-
-    def has_batch(self, batch: str) -> bool:
-        log = self._log()
-        return log is not None and not log.filter(F.col("batch") == batch).isEmpty()
+        return sorted(log.collect(), key=lambda c: c["version"])
 
     def exists(self) -> bool:
         return bool(self._commits())
 
-    def read(self) -> DataFrame:
+    def read_or_none(self) -> DataFrame | None:
+        """The rows of the last replacement and of the appends after it."""
         commits = self._commits()
         if not commits:
-            raise MissingTable(self.path)
-        parts = [f"{self.path}/parts/{c['part']}" for c in commits]
+            return None
+        base = max((i for i, c in enumerate(commits) if c["kind"] == "replace"), default=0)
+        parts = [f"{self.path}/parts/{c['part']}" for c in commits[base:]]
         return self.spark.read.schema(self.schema).parquet(*parts)
 
-    def _commit(self, df: DataFrame, kind: str, batch: str | None) -> None:
+    def read(self) -> DataFrame:
+        found = self.read_or_none()
+        if found is None:
+            raise MissingTable(self.path)
+        return found
+
+    def _commit(self, df: DataFrame, kind: str, batch: str | None, version: int) -> None:
         part = uuid4().hex
         project_by_name(df, self.schema).write.parquet(f"{self.path}/parts/{part}")
-        commits = self._commits()
-        version = commits[-1]["version"] + 1 if commits else 1
-        row = self.spark.createDataFrame([(version, kind, part, batch)], self.COMMIT)
-        row.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        row = self.spark.range(1).selectExpr(
+            f"{version}L AS version", f"'{kind}' AS kind", f"'{part}' AS part"
+        )
+        row.withColumn("batch", F.lit(batch).cast("string")).coalesce(1).write.mode(
+            "append"
+        ).json(f"{self.path}/commits")
+
+    def _next_version(self, commits: list) -> int:
+        return commits[-1]["version"] + 1 if commits else 1
 
     def append(self, df: DataFrame, batch: str | None = None) -> bool:
-        """Add rows. A named batch that is already in the table is not added again."""
-        if batch is not None and self.has_batch(batch):
+        """Add rows. A named batch that was added before is not added again."""
+        commits = self._commits()
+        if batch is not None and any(c["batch"] == batch for c in commits):
             return False
-        self._commit(df, "append", batch)
+        self._commit(df, "append", batch, self._next_version(commits))
         return True
 
     def replace(self, df: DataFrame) -> None:
         """Put ``df`` in place of all rows; it may be derived from the table itself."""
-        self._commit(df, "replace", None)
+        self._commit(df, "replace", None, self._next_version(self._commits()))
 
 
 def write_flight_files(silver: DataFrame, path: str) -> None:

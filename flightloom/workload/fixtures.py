@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flightloom.functions.columns import utc_literal
 from flightloom.operators.gold import gold_rows
 from flightloom.operators.ranking import running_counts
-from flightloom.schemas import FLIGHT_ATTRS, SIGNALS, SILVER
+from flightloom.schemas import FLIGHT_ATTRS, SILVER
 
 EARLIER = "2024-06-01 00:00:00"
 NOW = "2024-06-02 12:30:00"
@@ -60,8 +60,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver shape: one row per lineitem row."""
-    return table(spark, sf_dir, "lineitem").select(
-        *[F.expr(TELEMETRY[f.name]).cast(f.dataType).alias(f.name) for f in SILVER.fields]
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *[
+            f"CAST({TELEMETRY[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in SILVER.fields
+        ]
     )
 
 
@@ -124,47 +127,42 @@ def signals(spark: SparkSession, sf_dir: str, order_block: int = ORDER_BLOCK) ->
     A sample's index is its place among the flight's rows of that signal. All five are counted in
     one pass over lineitem, in blocks of orders, so a large flight is not one task.
     """
-    first = F.col("l_linenumber") == 1
     present = {
-        "at_base": first,
-        "at_n1": F.col("l_linenumber") <= 4,
-        "at_wind": first & (F.col("l_quantity") > 25),
-        "at_tail": F.col("l_linenumber") == 7,
+        "at_base": "l_linenumber = 1",
+        "at_n1": "l_linenumber <= 4",
+        "at_wind": "l_linenumber = 1 AND l_quantity > 25",
+        "at_tail": "l_linenumber = 7",
     }
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
-        F.expr(f"l_orderkey div {order_block}").alias("block"),
-    ).filter(present["at_n1"] | present["at_tail"])
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .selectExpr(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+            f"l_orderkey div {order_block} AS block",
+        )
+        .filter("l_linenumber <= 4 OR l_linenumber = 7")
+    )
     counted = running_counts(
         lines, ["l_suppkey"], "block", ["l_orderkey", "l_linenumber", "l_partkey"], present
     )
 
-    def sample(param: str, place: str, number: Column | None = None, text: Column | None = None):
-        no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-        return F.when(
-            present[place],
-            F.struct(
-                F.lit(param).alias("param"),
-                (F.col(place) - 1).alias("idx"),
-                (no_number if number is None else number.cast("double")).alias("num_value"),
-                (no_text if text is None else text).alias("str_value"),
-            ),
+    def sample(param: str, place: str, number: str = "NULL", text: str = "NULL") -> str:
+        return (
+            f"if({present[place]}, struct('{param}' AS param, {place} - 1 AS idx, "
+            f"CAST({number} AS double) AS num_value, CAST({text} AS string) AS str_value), NULL)"
         )
 
-    tail = F.concat(
-        F.lit("TL-"), "l_returnflag", F.lit("x"), F.col("l_suppkey").cast("string"), F.lit(" ")
+    samples = ", ".join(
+        [
+            sample("FlightPhase", "at_base", "l_linenumber"),
+            sample("Airspeed", "at_base", "100 + l_quantity * 8"),
+            sample("EngineN1_1", "at_n1", "60 + l_quantity / 2"),
+            sample("WindSpeed", "at_wind", "l_quantity"),
+            sample("AircraftTail", "at_tail", text="concat('TL-', l_returnflag, 'x', l_suppkey, ' ')"),
+        ]
     )
-    samples = F.array(
-        sample("FlightPhase", "at_base", F.col("l_linenumber")),
-        sample("Airspeed", "at_base", 100 + F.col("l_quantity") * 8),
-        sample("EngineN1_1", "at_n1", 60 + F.col("l_quantity") / 2),
-        sample("WindSpeed", "at_wind", F.col("l_quantity")),
-        sample("AircraftTail", "at_tail", text=tail),
+    return counted.selectExpr(
+        "CAST(l_suppkey AS int) AS flight_id", f"inline(array_compact(array({samples})))"
     )
-    return counted.select(
-        F.col("l_suppkey").cast("int").alias("flight_id"),
-        F.inline(F.array_compact(samples)),
-    ).select(*SIGNALS.names)
 
 
 def flight_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,11 +40,11 @@ BY_NAME_SCHEMA = T.StructType(
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles at six decimals, with one zero."""
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.round(f.name, DECIMALS) + F.lit(0.0)).alias(f.name)
+            f"round({f.name}, {DECIMALS}) + 0D AS {f.name}"
             if f.dataType == T.DoubleType()
-            else F.col(f.name)
+            else f.name
             for f in df.schema.fields
         ]
     )
@@ -70,10 +70,9 @@ def gold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def headwind_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    component = headwind(F.col("wind_speed"), F.col("wind_direction"), F.col("heading_true"))
     return rounded(
         fx.telemetry(spark, sf_dir).select(
-            "flight_id", "flight_phase", component.alias("headwind_kts")
+            "flight_id", "flight_phase", headwind().alias("headwind_kts")
         )
     )
 
@@ -113,12 +112,12 @@ class _GivenSilver:
     def __init__(self, df: DataFrame):
         self.df = df
 
-    def exists(self) -> bool:
-        return True
-
     def read(self) -> DataFrame:
         return self.df
 
+    def read_or_none(self) -> DataFrame:
+        return self.df
+
     def append(self, df: DataFrame):
         raise NotImplementedError
 
