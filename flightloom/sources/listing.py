@@ -10,6 +10,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     """Files under ``folder``: path below it, url, time, etag and size. Contents are not read.
 
     There is no etag on a plain file system; a hash of path, time and size changes with the file.
+    Spark leaves out files of size 0, which the work-list would drop anyway.
     """
     found = (
         spark.read.format("binaryFile")
