@@ -34,6 +34,11 @@ def rename_signals(signals: DataFrame) -> DataFrame:
     return signals.withColumn("column_name", column_for_signal(F.col("param")))
 
 
+def rename_columns(wide: DataFrame) -> DataFrame:
+    """The same for a wide frame with one column per recorded signal."""
+    return wide.withColumnsRenamed(SIGNAL_COLUMNS)
+
+
 def clean_strings(signals: DataFrame) -> DataFrame:
     return signals.filter(F.col("str_value").isNotNull()).withColumn(
         "clean_value", clean_text(F.col("str_value"))

@@ -31,21 +31,23 @@ class GoldRun:
 def gold_of_flights(
     silver: DataFrame,
     flights: DataFrame,
-    n_flights: int,
     now: datetime | str,
     sample_rate_hz: float = DEFAULT_SAMPLE_RATE_HZ,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Gold rows of the given distinct flights.
+    """Gold rows of the given distinct flights, which should be settled.
 
-    A bounded id list is broadcast, so Silver is filtered in the scan stage and never shuffled.
-    Beyond the bound Silver is aggregated first and the ids are joined to the few rows per flight
-    that are left: still no shuffle of samples, and no join key as large as a flight.
+    Ids grow over time, so their range lets the scan skip the row groups of earlier flights. A
+    bounded id list is broadcast: Silver is filtered in the scan stage and never shuffled. Beyond
+    the bound Silver is aggregated first and the ids are joined to the few rows per flight that
+    are left: still no shuffle of samples, and no join key as large as a flight.
     """
-    if n_flights <= broadcast_rows:
-        chosen = rows_of(silver, F.broadcast(flights))
-        return gold_rows(chosen, now, sample_rate_hz)
-    everything = gold_rows(silver, now, sample_rate_hz)
+    ids = flights.agg(F.count("*").alias("n"), F.min("flight_id"), F.max("flight_id")).first()
+    lowest, highest = (0, -1) if ids["n"] == 0 else ids[1:]
+    in_range = silver.filter(F.col("flight_id").between(lowest, highest))
+    if ids["n"] <= broadcast_rows:
+        return gold_rows(rows_of(in_range, F.broadcast(flights)), now, sample_rate_hz)
+    everything = gold_rows(in_range, now, sample_rate_hz)
     return everything.join(flights, "flight_id").select(everything.columns)
 
 
@@ -65,7 +67,7 @@ def run_gold(
     n_flights = flights.count()
     if n_flights == 0:
         return GoldRun(0, 0)
-    gold.append(gold_of_flights(samples, flights, n_flights, now, sample_rate_hz, broadcast_rows))
+    gold.append(gold_of_flights(samples, flights, now, sample_rate_hz, broadcast_rows))
     return GoldRun(n_flights, read_back(gold.read(), flights).count())
 
 

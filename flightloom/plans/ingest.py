@@ -12,7 +12,7 @@ from flightloom.operators.manifest import assign_flight_ids, directory_view, pen
 from flightloom.operators.metadata import bronze_rows, flight_metadata, with_output_name
 from flightloom.operators.signals import assemble, flight_frames, signal_profile
 from flightloom.operators.status import status_rows
-from flightloom.session import broadcast_if_small, settle
+from flightloom.session import fits_broadcast, settle
 from flightloom.sources.tables import SnapshotTable, write_flight_files
 
 HASH = "input_file_hash_rel"
@@ -55,6 +55,15 @@ def run_intake(
     return f"Preprocessing completed. Files processed: {n_files}"
 
 
+def _pending_profile(signals: DataFrame, keys: DataFrame) -> DataFrame:
+    """The profile of the pending files. Only a bounded key list goes to the samples; a longer
+    one meets the profile, so that no file's samples are ever shuffled by file alone."""
+    if fits_broadcast(keys):
+        pending = signals.join(F.broadcast(keys), HASH, "left_semi")
+        return signal_profile(pending, key=HASH)
+    return signal_profile(signals, key=HASH).join(keys, HASH, "left_semi")
+
+
 def _process(
     pending: DataFrame,
     attrs: DataFrame,
@@ -77,8 +86,7 @@ def _process(
         ),
         "metadata",
     )
-    keys = broadcast_if_small(ids.select(HASH))
-    profile = settle(signal_profile(signals.join(keys, HASH, "left_semi"), key=HASH), "profile")
+    profile = settle(_pending_profile(signals, ids.select(HASH)), "profile")
     frames = settle(flight_frames(profile, key=HASH), "frames")
     departures = metadata.select(HASH, "flight_id", "flight_departure_dttm")
     silver = assemble(signals, profile, departures, key=HASH, frames=frames)

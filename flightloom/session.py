@@ -17,8 +17,8 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-# Largest row count that is sent to every executor. The callers broadcast narrow rows
-# (ids, hashes, lengths: under 100 bytes), so this stays below about 50 MB.
+# Largest row count that is sent to every executor. Only narrow rows are broadcast this way
+# (ids, hashes, lengths: under 150 bytes each), so it stays below about 75 MB.
 BROADCAST_ROWS = 500_000
 
 _test_folders: dict[str, str] = {}
@@ -65,7 +65,3 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 def fits_broadcast(settled: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether a settled DataFrame is small enough for a broadcast (footer count only)."""
     return settled.count() <= max_rows
-
-
-def broadcast_if_small(settled: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(settled) if fits_broadcast(settled, max_rows) else settled

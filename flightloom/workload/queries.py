@@ -102,7 +102,7 @@ def gold_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.append(fx.gold_prev(spark, sf_dir))
     silver = fx.telemetry(spark, sf_dir)
     ids = settle(keys.new_flights(silver, table.read()), "new-flights")
-    table.append(gold_of_flights(silver, ids, ids.count(), fx.NOW))
+    table.append(gold_of_flights(silver, ids, fx.NOW))
     return rounded(table.read())
 
 

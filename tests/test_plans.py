@@ -48,9 +48,9 @@ def test_gold_is_one_exchange_of_partial_aggregates(silver):
 
 def test_gold_of_new_flights_shuffles_no_samples(silver):
     ids = settle(new_flights(silver, None), "ids")
-    few = plan(gold_of_flights(silver, ids, ids.count(), "2024-01-01 00:00:00"))
+    few = plan(gold_of_flights(silver, ids, "2024-01-01 00:00:00"))
     assert "BroadcastHashJoin" in few and exchanges(few).count("hashpartitioning") == 1
-    many = plan(gold_of_flights(silver, ids, ids.count(), "2024-01-01 00:00:00", broadcast_rows=0))
+    many = plan(gold_of_flights(silver, ids, "2024-01-01 00:00:00", broadcast_rows=0))
     assert many.index("Join") < many.index("HashAggregate")  # ids meet aggregated rows
 
 
@@ -97,3 +97,15 @@ def test_no_python_workers_and_no_cross_joins(spark, sf_dir):
         text = plan(query(spark, sf_dir))
         for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert node not in text, (name, node)
+
+
+def test_gold_skips_earlier_flights_in_the_scan(spark, silver):
+    ids = settle(new_flights(silver.filter("flight_id > 90"), None), "ids")
+    text = plan(gold_of_flights(silver, ids, "2024-01-01 00:00:00"))
+    assert "GreaterThanOrEqual(flight_id,91)" in text
+
+
+def test_flight_files_are_sorted_once(spark, samples, profile, sf_dir, tmp_path):
+    wide = sg.assemble(samples, profile, departures(spark, sf_dir))
+    ordered = wide.withColumn("flight", wide.flight_id).sortWithinPartitions("flight", "idx")
+    assert plan(ordered).split("ShuffledHashJoin")[0].count("Sort ") == 1

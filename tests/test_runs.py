@@ -54,8 +54,8 @@ def test_gold_runs_are_incremental(spark, telemetry):
 def test_many_ids_give_the_same_gold(spark, telemetry):
     ids = settle(new_flights(telemetry.filter("flight_id % 3 = 0"), None), "ids")
     keys = ["flight_id", "flight_phase", "duration_sec", "alt_max_ft", "aoa_events_gt10deg"]
-    few = gold_of_flights(telemetry, ids, ids.count(), NOW).select(keys)
-    many = gold_of_flights(telemetry, ids, ids.count(), NOW, broadcast_rows=0).select(keys)
+    few = gold_of_flights(telemetry, ids, NOW).select(keys)
+    many = gold_of_flights(telemetry, ids, NOW, broadcast_rows=0).select(keys)
     assert few.count() == many.count() > 0
     assert few.exceptAll(many).count() == 0
 
@@ -163,3 +163,25 @@ def test_pipeline_with_an_empty_listing(spark, sf_dir):
         snapshot(spark, SILVER), snapshot(spark, GOLD), fresh_path(spark, "checkpoint"), NOW,
     )
     assert message.endswith("processed: 0") and run == GoldRun(0, 0)
+
+
+def test_gold_command_on_catalog_tables(spark, telemetry):
+    from flightloom.__main__ import gold_command, parser
+
+    telemetry.filter("flight_id < 5").write.saveAsTable("cli_silver")
+    args = parser().parse_args(["gold", "--silver", "cli_silver", "--gold", "cli_gold"])
+    run = gold_command(spark, args)
+    assert run.rows == spark.table("cli_gold").count() > 0
+    assert gold_command(spark, args) == GoldRun(0, 0)
+    telemetry.filter("flight_id = 7").write.mode("append").saveAsTable("cli_silver")
+    assert gold_command(spark, args).flights == 1
+    assert spark.table("cli_gold").columns == GOLD.names
+
+
+def test_intake_with_more_files_than_are_broadcast(spark, sf_dir, monkeypatch):
+    files = fx.recordings(spark, sf_dir)
+    few, many = intake_tables(spark), intake_tables(spark)
+    run_intake(*files, few, NOW)
+    monkeypatch.setattr(ingest, "fits_broadcast", lambda _: False)
+    run_intake(*files, many, NOW)
+    assert few.status.read().exceptAll(many.status.read()).count() == 0

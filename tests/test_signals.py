@@ -208,3 +208,5 @@ def test_counts(spark):
         "FlightPhase": "flight_phase", "Unknown": "Unknown", "Airspeed": "airspeed"
     }
     assert frames.filter(F.col("fault").isNotNull()).count() == 1
+    wide = spark.createDataFrame([(1, 2)], "EngineN1_1 int, Unknown int")
+    assert sg.rename_columns(wide).columns == ["engine_n1_1", "Unknown"]
