@@ -16,18 +16,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightloom.functions.columns import clean_text, column_for_signal, lookup
-from flightloom.schemas import (
-    BASE_SIGNAL,
-    NUMERIC_COLUMNS,
-    SIGNAL_COLUMNS,
-    SILVER,
-    TEXT_COLUMNS,
-)
+from flightloom.schemas import BASE_SIGNAL, SIGNAL_COLUMNS, SILVER
 from flightloom.session import BROADCAST_ROWS
 
 KEY = "flight_id"
+# The signal columns of an aligned row. A caller may add columns for further signals.
+SILVER_SIGNALS = {
+    f.name: f.dataType.simpleString() for f in SILVER.fields if f.name in SIGNAL_COLUMNS.values()
+}
 INPUT_BLOCK = 1 << 18  # samples of one signal that share a join key
-OUTPUT_SLICE = 1 << 18  # rows of one flight that share a pivot task
+OUTPUT_SLICE = 1 << 16  # rows of one flight that share a pivot task
 
 
 def rename_signals(signals: DataFrame) -> DataFrame:
@@ -99,8 +97,9 @@ def signal_profile(signals: DataFrame, key: str = KEY) -> DataFrame:
     )
 
 
-def _fault() -> Column:
+def _fault(columns: dict[str, str]) -> Column:
     """Why a profile row makes its flight fail; NULL if it does not."""
+    numeric = [c for c, kind in columns.items() if kind != "string"]
     castable = F.col("text_value").try_cast("double").isNotNull()
     return (
         F.when(F.coalesce(F.col("base_len"), F.lit(0)) == 0, f"no samples of {BASE_SIGNAL}")
@@ -113,7 +112,7 @@ def _fault() -> Column:
         )
         .when(
             (F.col("signal_kind") == "text")
-            & F.col("column_name").isin(*NUMERIC_COLUMNS)
+            & F.col("column_name").isin(*numeric)
             & ~castable,
             F.concat(F.lit("text in numeric signal "), F.col("param")),
         )
@@ -127,24 +126,25 @@ def _fault() -> Column:
     )
 
 
-def flight_frames(profile: DataFrame, key: str = KEY) -> DataFrame:
+def flight_frames(
+    profile: DataFrame, key: str = KEY, columns: dict[str, str] = SILVER_SIGNALS
+) -> DataFrame:
     """One row per flight: length, column count, text values, and the fault if it has one."""
     text = "if(used AND signal_kind = 'text' AND column_name = '{c}', text_value, NULL)"
-    return profile.withColumn("fault", _fault()).groupBy(key).agg(
+    return profile.withColumn("fault", _fault(columns)).groupBy(key).agg(
         F.max("base_len").alias("base_len"),
         F.count_if("used").alias("n_signals"),
         F.min("fault").alias("fault"),
-        *[
-            F.expr(f"max({text.format(c=c)}) AS {c}_text")
-            for c in SIGNAL_COLUMNS.values()
-        ],
+        *[F.expr(f"max({text.format(c=c)}) AS `{c}_text`") for c in columns],
     )
 
 
-def rejected_flights(profile: DataFrame, key: str = KEY) -> DataFrame:
+def rejected_flights(
+    profile: DataFrame, key: str = KEY, columns: dict[str, str] = SILVER_SIGNALS
+) -> DataFrame:
     """Flights that fail as a whole, with the first fault by text order."""
     return (
-        profile.withColumn("fault", _fault())
+        profile.withColumn("fault", _fault(columns))
         .groupBy(key)
         .agg(F.min("fault").alias("fault"))
         .filter(F.col("fault").isNotNull())
@@ -212,9 +212,13 @@ def assemble(
     departures: DataFrame,
     key: str = KEY,
     frames: DataFrame | None = None,
+    columns: dict[str, str] = SILVER_SIGNALS,
 ) -> DataFrame:
     """Silver rows of every accepted flight, plus the row number ``idx``.
 
+    ``columns`` may name further signals with their types; they follow the Silver columns and
+    are dropped again when the rows are loaded by name.
+
     ``profile`` (and ``frames``, if given) should be settled, as they are read more than once.
     ``departures`` has one row per flight with the key and ``flight_departure_dttm`` (and
     ``flight_id`` if that is not the key).
@@ -222,9 +226,9 @@ def assemble(
     Averaging, repeating and pivoting are one aggregation: a row's value is the mean of the samples
     placed on it, which for repeated and passed samples is the sample itself.
     """
-    frames = flight_frames(profile, key) if frames is None else frames
+    frames = flight_frames(profile, key, columns) if frames is None else frames
     accepted = frames.filter(F.col("fault").isNull())
-    slots = {c: i for i, c in enumerate(SIGNAL_COLUMNS.values())}
+    slots = {c: i for i, c in enumerate(columns)}
     slot = lookup(slots, F.col("column_name"))
     filled = F.col("used") & (F.col("signal_kind") != "text")
     # the samples of the base signal are the rows, so it comes along even without a value
@@ -234,7 +238,7 @@ def assemble(
         .filter(F.col("slot").isNotNull() | is_base)
         .join(accepted.select(key), key, "left_semi")
     )
-    known = [*SIGNAL_COLUMNS, *SIGNAL_COLUMNS.values()]
+    known = [*SIGNAL_COLUMNS, *columns]
     placed = _placed(
         signals.filter(F.col("param").isin(known)),
         plan,
@@ -247,7 +251,7 @@ def assemble(
         .groupBy(key, "slice", "row_idx")
         .agg(
             *[
-                F.expr(f"avg(if(slot = {i}, value, NULL)) AS {c}_num")
+                F.expr(f"avg(if(slot = {i}, value, NULL)) AS `{c}_num`")
                 for c, i in slots.items()
             ]
         )
@@ -258,18 +262,15 @@ def assemble(
     rows = wide.join(spread.hint("shuffle_hash"), [key, "slice"])
 
     def value_of(column: str) -> str:
-        if column in TEXT_COLUMNS:
-            return f"coalesce({column}_text, CAST({column}_num AS string))"
-        if column in slots:
-            return f"coalesce({column}_num, CAST({column}_text AS double))"
-        return column
+        number, text = f"`{column}_num`", f"`{column}_text`"
+        if columns.get(column) == "string":
+            return f"coalesce({text}, CAST({number} AS string))"
+        return f"coalesce({number}, CAST({text} AS double))" if column in columns else column
 
+    types = {f.name: f.dataType.simpleString() for f in SILVER.fields} | columns
     return rows.selectExpr(
         "row_idx AS idx",
-        *[
-            f"CAST({value_of(f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
-            for f in SILVER.fields
-        ],
+        *[f"CAST({value_of(c)} AS {kind}) AS `{c}`" for c, kind in types.items()],
     )
 
 

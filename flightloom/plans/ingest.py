@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from flightloom.operators.manifest import assign_flight_ids, directory_view, pending_files
 from flightloom.operators.metadata import bronze_rows, flight_metadata, with_output_name
-from flightloom.operators.signals import assemble, flight_frames, signal_profile
+from flightloom.operators.signals import (
+    SILVER_SIGNALS,
+    assemble,
+    flight_frames,
+    signal_profile,
+)
 from flightloom.operators.status import status_rows
 from flightloom.session import fits_broadcast, settle
 from flightloom.sources.tables import SnapshotTable, write_flight_files
@@ -38,10 +43,12 @@ def run_intake(
     tables: IntakeTables,
     now: datetime | str,
     retry_failed: bool = False,
+    columns: dict[str, str] = SILVER_SIGNALS,
 ) -> str:
     """Process every listed file without a status row; one bad file does not stop the others.
 
-    ``attrs`` and ``signals`` are the decoded recordings, keyed by ``input_file_hash_rel``. Data is
+    ``attrs`` and ``signals`` are the decoded recordings, keyed by ``input_file_hash_rel``;
+    ``columns`` are the signal columns of the flight files (see ``assemble``). Data is
     written before Bronze and Bronze before the status rows. After a crash in between the files
     are still pending, get the ids they were given before, and overwrite the same flight folders;
     a flight that already has its Bronze row does not get a second one.
@@ -51,7 +58,7 @@ def run_intake(
     )
     n_files = pending.count()
     if n_files:
-        _process(pending, attrs, signals, tables, now)
+        _process(pending, attrs, signals, tables, now, columns)
     return f"Preprocessing completed. Files processed: {n_files}"
 
 
@@ -70,6 +77,7 @@ def _process(
     signals: DataFrame,
     tables: IntakeTables,
     now: datetime | str,
+    columns: dict[str, str],
 ) -> None:
     known = _read(tables.ids)
     ids = settle(assign_flight_ids(pending, known), "flight-ids")
@@ -87,9 +95,9 @@ def _process(
         "metadata",
     )
     profile = settle(_pending_profile(signals, ids.select(HASH)), "profile")
-    frames = settle(flight_frames(profile, key=HASH), "frames")
+    frames = settle(flight_frames(profile, HASH, columns), "frames")
     departures = metadata.select(HASH, "flight_id", "flight_departure_dttm")
-    silver = assemble(signals, profile, departures, key=HASH, frames=frames)
+    silver = assemble(signals, profile, departures, HASH, frames, columns)
     write_flight_files(silver, tables.landing)
 
     outcome = metadata.join(frames.select(HASH, "base_len", "fault"), HASH, "left")

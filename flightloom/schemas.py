@@ -51,7 +51,6 @@ TEXT_COLUMNS = (
     "arrival_airport",
     "departure_airport",
 )
-NUMERIC_COLUMNS = tuple(c for c in SIGNAL_COLUMNS.values() if c not in TEXT_COLUMNS)
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:

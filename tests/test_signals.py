@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flightloom.operators import signals as sg
-from flightloom.schemas import SIGNALS
+from flightloom.schemas import SIGNALS, SILVER
 from flightloom.workload import fixtures as fx
 
 COLUMN = {"FlightPhase": "flight_phase", "Airspeed": "airspeed", "EngineN1_1": "engine_n1_1",
@@ -175,6 +175,16 @@ def test_text_base_signal_still_makes_the_rows(spark):
     assert [(r.flight_phase, r.airspeed) for r in rows] == [(3, 5.0), (3, 6.0)]
 
 
+def test_further_signals_become_columns_on_request(spark):
+    samples = frame(spark, {1: {"FlightPhase": [1, 2], "OilTemp": [1, 3, 5, 7], "Crew": ["A1"]}})
+    profile = sg.signal_profile(samples)
+    departures = spark.createDataFrame([(1, 0)], "flight_id int, flight_departure_dttm long")
+    columns = {**sg.SILVER_SIGNALS, "OilTemp": "double", "Crew": "string"}
+    rows = sg.assemble(samples, profile, departures, columns=columns).orderBy("idx")
+    assert rows.columns == ["idx", *SILVER.names, "OilTemp", "Crew"]
+    assert [(r.OilTemp, r.Crew) for r in rows.collect()] == [(2.0, "A1"), (6.0, "A1")]
+
+
 def test_later_of_two_names_for_one_column_wins(spark):
     rows, faults = run(
         spark, {1: {"FlightPhase": [1, 2], "Airspeed": [5], "airspeed": [8, 9]}}
