@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flightloom.plans.gold_job import GoldRun, run_gold
 from flightloom.plans.ingest import IntakeTables, run_intake
-from flightloom.sources.tables import SnapshotTable
+from flightloom.sources.tables import CatalogTable, SnapshotTable
 from flightloom.streaming.intake import landed_files, start_load
 
 
 def load_landed(
     spark: SparkSession,
     landing: str,
-    silver: SnapshotTable,
+    silver: SnapshotTable | CatalogTable,
     checkpoint: str,
-    gold: SnapshotTable | None = None,
+    gold: SnapshotTable | CatalogTable | None = None,
     now: datetime | str | None = None,
     every: str | None = None,
 ):
@@ -35,8 +35,8 @@ def run_pipeline(
     attrs: DataFrame,
     signals: DataFrame,
     tables: IntakeTables,
-    silver: SnapshotTable,
-    gold: SnapshotTable,
+    silver: SnapshotTable | CatalogTable,
+    gold: SnapshotTable | CatalogTable,
     checkpoint: str,
     now: datetime | str,
 ) -> tuple[str, GoldRun]:

@@ -35,10 +35,26 @@ class CatalogTable:
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> bool:
+        """Add rows by column name; the first append creates the table.
+
+        For a batch of a stream, its number is kept as a table property afterwards, and batches up
+        to that number are not added again.
+        """
         if self.exists():
+            if batch is not None and batch[1] <= self._last_batch(batch[0]):
+                return False
             df = project_by_name(df, self.read().schema)
         df.write.mode("append").format(self.format).saveAsTable(self.name)
+        if batch is not None:
+            key, number = f"loaded.{batch[0]}", batch[1]
+            self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{key}' = '{number}')")
+        return True
+
+    def _last_batch(self, stream: str) -> int:
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}")
+        row = found.filter(F.col("key") == f"loaded.{stream}").first()
+        return int(row["value"]) if row else -1
 
 
 class SnapshotTable:
@@ -88,12 +104,13 @@ class SnapshotTable:
     def _next_version(self, commits: list) -> int:
         return commits[-1]["version"] + 1 if commits else 1
 
-    def append(self, df: DataFrame, batch: str | None = None) -> bool:
-        """Add rows. A named batch that was added before is not added again."""
+    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> bool:
+        """Add rows. A batch of a stream that was added before is not added again."""
         commits = self._commits()
-        if batch is not None and any(c["batch"] == batch for c in commits):
+        label = None if batch is None else f"{batch[0]}-{batch[1]}"
+        if label is not None and any(c["batch"] == label for c in commits):
             return False
-        self._commit(df, "append", batch, self._next_version(commits))
+        self._commit(df, "append", label, self._next_version(commits))
         return True
 
     def replace(self, df: DataFrame) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flightloom.schemas import SILVER
 from flightloom.sources.by_name import project_by_name
-from flightloom.sources.tables import SnapshotTable
+from flightloom.sources.tables import CatalogTable, SnapshotTable
 
 
 def landed_files(
@@ -35,21 +35,24 @@ def landed_files(
 
 def start_load(
     stream: DataFrame,
-    silver: SnapshotTable,
+    silver: SnapshotTable | CatalogTable,
     checkpoint: str,
     name: str = "silver_load",
     every: str | None = None,
     after_load: Callable[[], object] | None = None,
+    schema: T.StructType = SILVER,
 ) -> StreamingQuery:
     """Append each batch to Silver once, then call ``after_load``.
 
     By default everything that is there is loaded and the query ends; ``every`` (for example
     "5 minutes") keeps it running. A batch that is replayed after a failure is recognised by its
-    number and not appended a second time, and ``after_load`` must be repeatable.
+    number and not appended a second time, and ``after_load`` must be repeatable. Gold takes a
+    flight as complete once it is in Silver, so files should be landed before the load starts
+    (as the whole chain does) or appear all at once.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        silver.append(project_by_name(batch, silver.schema), batch=f"{name}-{number}")
+        silver.append(project_by_name(batch, schema), batch=(name, number))
         if after_load is not None:
             after_load()
 

@@ -11,7 +11,7 @@ from flightloom.plans.ingest import IntakeTables, run_intake
 from flightloom.plans.refresh import load_landed, run_pipeline
 from flightloom.schemas import BRONZE, FLIGHT_IDS, GOLD, SILVER, STATUS
 from flightloom.session import fresh_path, settle
-from flightloom.sources.tables import SnapshotTable
+from flightloom.sources.tables import CatalogTable, SnapshotTable
 from flightloom.streaming.intake import landed_files, start_load
 from flightloom.workload import fixtures as fx
 
@@ -84,6 +84,19 @@ def test_replayed_batch_is_not_loaded_twice(spark, telemetry):
     assert silver.read().count() == 50
 
 
+def test_stream_into_catalog_tables(spark, telemetry):
+    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
+    silver, gold = CatalogTable(spark, "stream_silver"), CatalogTable(spark, "stream_gold")
+    telemetry.filter("flight_id < 5").coalesce(1).write.parquet(landing)
+    for _ in range(2):
+        load_landed(spark, landing, silver, checkpoint, gold, NOW).awaitTermination()
+    assert silver.read().count() == telemetry.filter("flight_id < 5").count()
+    assert silver.read().columns == SILVER.names
+    assert gold.read().select("flight_id").distinct().count() == (
+        telemetry.filter("flight_id < 5").select("flight_id").distinct().count()
+    )
+
+
 def test_stream_calls_gold_after_each_load(spark, telemetry):
     landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
     silver, gold = snapshot(spark, SILVER), snapshot(spark, GOLD)

@@ -44,10 +44,10 @@ def test_append_and_replace(spark, table):
 
 
 def test_named_batch_is_added_once(spark, table):
-    assert table.append(numbers(spark, 1), batch="b-0")
-    assert not table.append(numbers(spark, 1), batch="b-0")
+    assert table.append(numbers(spark, 1), batch=("b", 0))
+    assert not table.append(numbers(spark, 1), batch=("b", 0))
     table.replace(table.read())
-    assert not table.append(numbers(spark, 1), batch="b-0")
+    assert not table.append(numbers(spark, 1), batch=("b", 0))
     assert ids(table) == [1]
 
 
@@ -72,6 +72,16 @@ def test_catalog_table_appends_by_name(spark):
     assert sorted((r.id, r.v) for r in table.read().collect()) == [(1, "v1"), (2, "v2")]
 
 
+def test_catalog_table_adds_a_batch_once(spark):
+    table = CatalogTable(spark, "batch_test")
+    assert table.append(numbers(spark, 1), batch=("s", 0))
+    assert not table.append(numbers(spark, 1), batch=("s", 0))
+    assert table.append(numbers(spark, 2), batch=("s", 1))
+    assert not table.append(numbers(spark, 1), batch=("s", 0))
+    assert table.append(numbers(spark, 3), batch=("other", 0))
+    assert ids(table) == [1, 2, 3]
+
+
 def test_load_by_name(spark):
     path = fresh_path(spark, "files")
     spark.range(2).selectExpr("CAST(id AS int) AS ID", "'a' AS V", "1 AS extra").write.parquet(path)
