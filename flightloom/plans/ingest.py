@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightloom.operators.manifest import assign_flight_ids, directory_view, pending_files
 from flightloom.operators.metadata import bronze_rows, flight_metadata, with_output_name
@@ -17,23 +18,24 @@ from flightloom.operators.signals import (
     signal_profile,
 )
 from flightloom.operators.status import status_rows
+from flightloom.schemas import BRONZE, FLIGHT_IDS, STATUS
 from flightloom.session import fits_broadcast, settle
-from flightloom.sources.tables import SnapshotTable, write_flight_files
+from flightloom.sources.tables import CatalogTable, SnapshotTable, write_flight_files
 
 HASH = "input_file_hash_rel"
 
 
 @dataclass(frozen=True)
 class IntakeTables:
-    ids: SnapshotTable
-    bronze: SnapshotTable
-    status: SnapshotTable
+    ids: SnapshotTable | CatalogTable
+    bronze: SnapshotTable | CatalogTable
+    status: SnapshotTable | CatalogTable
     landing: str  # folder of the per-flight Parquet files
 
 
-def _read(table: SnapshotTable) -> DataFrame:
+def _read(table: SnapshotTable | CatalogTable, schema: T.StructType) -> DataFrame:
     found = table.read_or_none()
-    return table.spark.createDataFrame([], table.schema) if found is None else found
+    return table.spark.createDataFrame([], schema) if found is None else found
 
 
 def run_intake(
@@ -54,7 +56,7 @@ def run_intake(
     a flight that already has its Bronze row does not get a second one.
     """
     pending = settle(
-        pending_files(directory_view(listing), _read(tables.status), retry_failed), "pending"
+        pending_files(directory_view(listing), _read(tables.status, STATUS), retry_failed), "pending"
     )
     n_files = pending.count()
     if n_files:
@@ -79,7 +81,7 @@ def _process(
     now: datetime | str,
     columns: dict[str, str],
 ) -> None:
-    known = _read(tables.ids)
+    known = _read(tables.ids, FLIGHT_IDS)
     ids = settle(assign_flight_ids(pending, known), "flight-ids")
     tables.ids.append(ids.join(known, HASH, "left_anti"))
 
@@ -107,7 +109,7 @@ def _process(
         .otherwise(F.col("fault"))
     )
     done = outcome.filter(F.col("fault").isNull())
-    present = _read(tables.bronze).select("flight_id")
+    present = _read(tables.bronze, BRONZE).select("flight_id")
     tables.bronze.append(bronze_rows(done.join(present, "flight_id", "left_anti"), now))
     tables.status.append(
         status_rows(

@@ -66,12 +66,12 @@ class SnapshotTable:
     def _commits(self) -> list:
         """All commits, oldest first: one short row per write."""
         try:
-            log = self.spark.read.schema(self.COMMIT).json(f"{self.path}/commits")
+            log = self.spark.read.schema(self.COMMIT).json(f"{self.path}/commits").collect()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return []
             raise
-        return sorted(log.collect(), key=lambda c: c["version"])
+        return sorted(log, key=lambda c: c["version"])
 
     def exists(self) -> bool:
         return bool(self._commits())

@@ -84,6 +84,40 @@ def test_replayed_batch_is_not_loaded_twice(spark, telemetry):
     assert silver.read().count() == 50
 
 
+def test_failed_refresh_is_repeated_without_loading_twice(spark, telemetry):
+    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
+    silver = snapshot(spark, SILVER)
+    telemetry.limit(40).coalesce(1).write.parquet(landing)
+    calls = []
+
+    def refresh():
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("refresh lost")
+
+    with pytest.raises(Exception, match="refresh lost"):
+        stream = landed_files(spark, landing)
+        start_load(stream, silver, checkpoint, after_load=refresh).awaitTermination()
+    assert silver.read().count() == 40
+    stream = landed_files(spark, landing)
+    start_load(stream, silver, checkpoint, after_load=refresh).awaitTermination()
+    assert silver.read().count() == 40 and len(calls) == 2
+
+
+def test_stream_on_a_schedule(spark, telemetry):
+    landing = fresh_path(spark, "landing")
+    silver = snapshot(spark, SILVER)
+    telemetry.limit(30).coalesce(1).write.parquet(landing)
+    query = load_landed(
+        spark, landing, silver, fresh_path(spark, "checkpoint"), every="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive and silver.read().count() == 30
+    finally:
+        query.stop()
+
+
 def test_stream_into_catalog_tables(spark, telemetry):
     landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
     silver, gold = CatalogTable(spark, "stream_silver"), CatalogTable(spark, "stream_gold")
@@ -198,3 +232,18 @@ def test_intake_with_more_files_than_are_broadcast(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(ingest, "fits_broadcast", lambda _: False)
     run_intake(*files, many, NOW)
     assert few.status.read().exceptAll(many.status.read()).count() == 0
+
+
+def test_intake_into_catalog_tables(spark, sf_dir):
+    names = ("cat_ids", "cat_bronze", "cat_status")
+    tables = IntakeTables(*[CatalogTable(spark, n) for n in names], fresh_path(spark, "landing"))
+    files = fx.recordings(spark, sf_dir)
+    total = files[0].count()
+    assert run_intake(*files, tables, NOW).endswith(f"processed: {total}")
+    assert run_intake(*files, tables, NOW).endswith("processed: 0")
+    assert tables.status.read().count() == total == tables.ids.read().count()
+    assert tables.bronze.read().columns == BRONZE.names
+    failed = tables.status.read().filter("status = 'Failed'").count()
+    message = run_intake(*files, tables, NOW, retry_failed=True)
+    assert message.endswith(f"processed: {failed}")
+    assert tables.ids.read().count() == total
