@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flightloom.llm import licenses, line_dedup
+from flightloom.llm import licenses, line_dedup, mixing
 
 SIZE = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT"
 
@@ -67,11 +67,29 @@ h AS (
   FROM r
 )
 """
-OP6 += """
+
+
+def when_demanded(share: str, knots) -> str:
+    """The curriculum's inverse integral as SQL."""
+    areas = [(b - a) * (f + g) / 2 for (a, f), (b, g) in zip(knots, knots[1:])]
+    whole, done, out = sum(areas), 0.0, None
+    for ((a, f), (b, g)), area in zip(zip(knots, knots[1:]), areas):
+        inside, slope = f"greatest({share} * {whole}::DOUBLE - {done}::DOUBLE, 0)", (g - f) / (b - a)
+        if slope:
+            time = (f"{a}::DOUBLE + (sqrt(greatest({f * f}::DOUBLE + {inside} * {slope * 2}::DOUBLE, 0))"
+                    f" - {f}::DOUBLE) / {slope}::DOUBLE")
+        else:
+            time = f"{a}::DOUBLE + {inside} / {f}::DOUBLE"
+        out = time if out is None else f"CASE WHEN {share} * {whole}::DOUBLE > {done}::DOUBLE THEN {time} ELSE {out} END"
+        done += area
+    return f"least(greatest({out}, {knots[0][0]}::DOUBLE), {knots[-1][0]}::DOUBLE)"
+
+
+SHARE = "(CASE WHEN target > 0 THEN (k * source_size + middle) / target ELSE 0 END)"
+TIME = " ".join(f"WHEN {i} THEN {when_demanded(SHARE, knots)}" for i, knots in enumerate(mixing.CURRICULUM))
+OP6 += f"""
 SELECT doc_id, size, source_size, target, copies * size AS taken,
-  list_transform(range(copies), lambda k: CASE class
-    WHEN 0 THEN least(greatest((sqrt(2.25 + greatest((k * source_size + middle) / target, 0) * -2.0) - 1.5) / -1.0, 0), 1)
-    WHEN 1 THEN least(greatest((k * source_size + middle) / target, 0), 1) ELSE NULL END) AS positions
+       list_transform(range(copies), lambda k: CASE class {TIME} END) AS positions
 FROM c
 """
 
@@ -90,9 +108,9 @@ w AS (
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
   FROM documents
 ), p AS (
-  SELECT doc_id, unnest(words) AS a, unnest(words[2:]) AS b, unnest(range(len(words))) AS at FROM w
+  SELECT doc_id, unnest(words) AS a, unnest(words[2:]) AS b, unnest(range(len(words))) AS pos FROM w
 ), v AS (
-  SELECT doc_id, phrase, label, base, grams, at - place AS diagonal, list(DISTINCT place) AS places
+  SELECT doc_id, phrase, label, base, grams, pos - place AS diagonal, list(DISTINCT place) AS places
   FROM p JOIN t USING (a, b) GROUP BY ALL
 ), m AS (
   SELECT *, sum(apart) OVER (PARTITION BY doc_id, phrase, label, base ORDER BY diagonal) AS passage

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from flightloom.llm import oracles
 from flightloom.llm.common import table
 from flightloom.llm.exact_dedup import exact_dedup
 from flightloom.llm.licenses import scan_licenses
 from flightloom.llm.line_dedup import dedup_lines
 from flightloom.llm.mixing import plan_mix
+from flightloom.llm.packing import pack
 from flightloom.llm.sharding import shard_documents
+from flightloom.llm.simhash import near_duplicates
+from flightloom.llm.token_codes import token_round_trip
 
 
 def op1_exact_dedup(spark, sf_dir):
@@ -23,6 +28,14 @@ def op3_line_dedup(spark, sf_dir):
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op4_simhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_token_codes(spark, sf_dir):
+    return token_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_mixing(spark, sf_dir):
     rows = plan_mix(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -39,6 +52,10 @@ def op9_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def registry():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
