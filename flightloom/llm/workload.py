@@ -14,6 +14,7 @@ from flightloom.llm.packing import pack
 from flightloom.llm.sharding import shard_documents
 from flightloom.llm.simhash import near_duplicates
 from flightloom.llm.token_codes import token_round_trip
+from flightloom.llm.toxicity import score_documents
 
 
 def op1_exact_dedup(spark, sf_dir):
@@ -48,6 +49,10 @@ def op6_mixing(spark, sf_dir):
     )
 
 
+def op7_toxicity(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
 
