@@ -6,6 +6,7 @@ import public_tokenizers
 
 from flightloom.llm import oracles
 from flightloom.llm.common import table
+from flightloom.llm.embedding_graph import near_duplicate_vectors
 from flightloom.llm.exact_dedup import exact_dedup
 from flightloom.llm.licenses import scan_licenses
 from flightloom.llm.line_dedup import dedup_lines
@@ -53,6 +54,10 @@ def op7_toxicity(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_embedding_graph(spark, sf_dir):
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
 
