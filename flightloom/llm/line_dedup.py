@@ -73,6 +73,10 @@ def dedup_lines(
         "lines_dropped": F.when(changed, F.size("__parts") - F.size("__kept")).otherwise(0),
     }
     return joined.select(
-        *[result["text"].alias(c) if c == "text" else F.col(c) for c in docs.columns],
+        *[
+            result["text"].alias(c) if c == "text" else F.col(c)
+            for c in docs.columns
+            if c != "lines_dropped"  # an earlier count is replaced
+        ],
         result["lines_dropped"].alias("lines_dropped"),
     )

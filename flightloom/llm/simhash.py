@@ -79,7 +79,7 @@ def ball_keys(fp: Column, radius: int) -> Column:
 
 
 def bucket_links(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links within a bucket of different fingerprints.
+    """(member, first member of its set) for the sets that the links within a bucket connect.
 
     Each reached fingerprint is compared with those not reached yet, and only those: in a bucket of
     near copies nearly all are reached in the first steps, and no list of pairs is ever made.
@@ -129,8 +129,9 @@ def links_of_runs(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
 
 
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links (a, b) between different fingerprints within ``radius`` bits that connect the same sets
-    as all such pairs do. ``fps`` has each fingerprint once."""
+    """Edges (a, b) that connect the same sets as all pairs within ``radius`` bits do.
+
+    ``fps`` has each fingerprint once. Both ends of an edge are joined by links in one bucket."""
     keyed = fps.select(F.explode(ball_keys(F.col("fp"), radius)).alias("key"), "fp")
     return (
         keyed.repartition("key")

@@ -1,0 +1,87 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from flightloom.llm import sharding
+from flightloom.llm.sharding import minimax_cuts, shard_documents
+
+from conftest import EDGE  # noqa: I001
+
+
+def smallest_capacity(sizes, shards):
+    def fits(capacity):
+        used, room = 0, 0
+        for s in sizes:
+            if s > capacity:
+                return False
+            if s > room:
+                used, room = used + 1, capacity
+            room -= s
+        return used <= shards
+
+    return next(c for c in range(max([0, *sizes, -(-sum(sizes) // shards)]), sum(sizes) + 1) if fits(c))
+
+
+def groups_of(rows):
+    sizes = defaultdict(int)
+    for _, t, _ in rows:
+        text = (t or "").encode()
+        sizes[hashlib.sha256(text).hexdigest()[:16]] += len(text) + 1
+    return [sizes[k] for k in sorted(sizes)]
+
+
+def check(rows, found, shards):
+    assert len(found) == len(rows)
+    want = sorted(((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t, _ in rows), key=repr)
+    assert sorted(((r.doc_id, r["size"], r.text_crc32) for r in found), key=repr) == want
+    loads, slots, of_text = defaultdict(int), defaultdict(list), defaultdict(set)
+    for r in found:
+        loads[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+        of_text[r.text_crc32, r["size"]].add(r.shard)
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < shards
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(s) == 1 for s in of_text.values())
+    assert max(loads.values()) == smallest_capacity(groups_of(rows), shards)
+
+
+@pytest.mark.parametrize("shards", [1, 3, 8, 40])
+def test_edge_rows(edge, shards):
+    check(EDGE, shard_documents(edge, shards).collect(), shards)
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_cuts_inside_cells(make_docs, monkeypatch, digits):
+    """A coarse first view makes the search divide cells again; the result stays exact."""
+    monkeypatch.setattr(sharding, "FIRST_DIGITS", digits)
+    monkeypatch.setattr(sharding, "MORE_DIGITS", 1)
+    rng = random.Random(digits)
+    rows = [(i, "t" * rng.randrange(1, 60) + str(rng.randrange(900)), "a") for i in range(1_500)]
+    check(rows, shard_documents(make_docs(rows)).collect(), 8)
+
+
+def test_one_group_with_most_bytes(make_docs):
+    rows = [(i, "the same text" if i % 2 else f"text {i}", "a") for i in range(400)]
+    check(rows, shard_documents(make_docs(rows)).collect(), 8)
+
+
+def test_reads_only_doubtful_cells(spark, monkeypatch):
+    asked = []
+    plain = sharding.cells_of
+
+    def noted(groups, digits, inside=None):
+        asked.append(inside)
+        return plain(groups, digits, inside)
+
+    monkeypatch.setattr(sharding, "cells_of", noted)
+    monkeypatch.setattr(sharding, "FIRST_DIGITS", 2)
+    groups = spark.range(3_000).selectExpr("substring(sha2(string(id), 256), 1, 16) AS key", "id % 50 + 1 AS size")
+    minimax_cuts(groups, 8)
+    assert asked[0] is None and all(0 < len(x) < 100 for x in asked[1:])
+
+
+def test_empty_table(nothing):
+    assert shard_documents(nothing).count() == 0

@@ -1,0 +1,126 @@
+import random
+import string
+import zlib
+
+import pytest
+
+from flightloom.llm import toxicity as tx
+from flightloom.llm.toxicity import Lexicon, Model, Scanner, Term, fit, reject_toxic, score_documents
+
+TERMS = [Term("idiot", True), Term("pathetic", True), Term("scum", True), Term("lowei", False)]
+
+
+def distance_one(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:]
+
+
+def plain(word):
+    if any(word == t.letters if t.whole else word.startswith(t.letters) for t in TERMS):
+        return 1
+    return 2 if any(t.whole and len(t.letters) >= tx.FUZZY_FROM and distance_one(word, t.letters) for t in TERMS) else 0
+
+
+def test_automaton_equals_edit_distance():
+    lexicon, rng = Lexicon(TERMS), random.Random(2)
+    words = ["", "idiot", "idiott", "diot", "ldiot", "idio", "idot", "patetic", "pathteic", "scam", "loweix", "lovei"]
+    for _ in range(20_000):
+        word = list(rng.choice(TERMS).letters)
+        for _ in range(rng.randrange(4)):
+            i = rng.randrange(len(word) + 1)
+            word[i : i + rng.randrange(2)] = rng.choice(["", rng.choice(string.ascii_lowercase)])
+        words.append("".join(word))
+    assert [lexicon.match(w) for w in words] == [plain(w) for w in words]
+
+
+def test_harmless_words_are_no_misspellings():
+    assert Lexicon(TERMS, ["diot"]).match("diot") == 0 and Lexicon(TERMS, ["idiot"]).match("idiot") == 1
+
+
+def test_quotation_is_not_abuse():
+    scan = Scanner(Lexicon(TERMS)).features
+    abuse, quoted = scan("you are an idiot"), scan('the "idiot" on stage')
+    reported = scan("he said idiot in the play")
+    assert abuse[0] > 0 and abuse[3] > 0 and quoted[0] == reported[0] == 0 and quoted[2] == reported[2] > 0
+    assert scan("such an idi0t")[1] > 0 and scan("")[0] == 0
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, make_docs):
+    rng = random.Random(0)
+    syllables = ["ta", "ri", "mon", "gel", "su", "par", "ne", "vik", "lo", "da"]
+
+    def text(toxic):
+        words = ["".join(rng.choices(syllables, k=rng.randrange(1, 4))) for _ in range(60)]
+        if toxic == 1:
+            for i in rng.sample(range(60), 6):
+                words[i] = rng.choice(["moron", "worthless", "clown"])
+        if toxic == 2:
+            for i in rng.sample(range(60), 6):
+                words[i] = "zworp" + rng.choice(syllables)
+        return " ".join(words)
+
+    kinds = [rng.choice([0, 0, 0, 1, 2]) for _ in range(900)]
+    rows = [(i, text(k), "a") for i, k in enumerate(kinds)] + [(None, "moron", "a"), (2_000, None, "a"), (2_001, "", "b")]
+    labels = [(i, 1, int(k > 0)) for i, k in enumerate(kinds)] + [(0, 1, None), (None, 0, 1), (5, 0, int(kinds[5] > 0))]
+    return make_docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), kinds
+
+
+def test_held_out_rows(corpus):
+    docs, labels, kinds = corpus
+    rows = score_documents(docs, labels).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    for r in rows:
+        assert r.predicted == int(r.score >= 0.5)
+        assert r.held_out == (r.doc_id is not None and held_out(r.doc_id))
+    unseen = [(r.predicted, int(kinds[r.doc_id] > 0)) for r in rows if r.held_out and r.doc_id < 900]
+    assert sum(p == k for p, k in unseen) >= 0.98 * len(unseen)
+    assert {r.predicted for r in rows if r.doc_id in (2_000, 2_001)} == {0}
+
+
+def test_held_out_labels_are_never_read(corpus, spark):
+    docs, labels, _ = corpus
+    turned = labels.selectExpr(
+        "doc_id", "quality", "IF(crc32(string(doc_id)) % 5 = 0, 1 - toxic, toxic) AS toxic"
+    )
+    assert fit(docs, labels) == fit(docs, turned)
+
+
+def test_learned_terms(corpus):
+    docs, labels, _ = corpus
+    model = fit(docs, labels)
+    assert Term("moron", True) in model.terms and Term("zworp", False) in model.terms
+    scan = model.scanner()
+    kinds = [scan.lexicon.match(w) for w in ("worthles", "zworpxyz", "tarimon")]
+    assert kinds == [2, 1, 0]
+
+
+def test_rejected_rows_go(corpus):
+    docs, labels, kinds = corpus
+    kept = reject_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    clean = {i for i, k in enumerate(kinds) if k == 0}
+    assert clean | {2_000, 2_001} <= ids and len(ids & {i for i, k in enumerate(kinds) if k}) <= 6
+
+
+def test_whole_table(documents, spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = score_documents(documents, labels).join(labels, "doc_id").filter("held_out").collect()
+    assert all(r.predicted == 0 for r in rows if r.toxic == 0)
+    assert sum(r.predicted == r.toxic for r in rows) >= 0.95 * len(rows)
+
+
+def test_no_labels(documents, spark, nothing):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert fit(documents, none) == Model([], [], [0.0] * 5 + [-2.0])
+    assert score_documents(nothing, none).count() == 0
+    assert {r.predicted for r in score_documents(documents.limit(5), none).collect()} == {0}
