@@ -49,23 +49,23 @@ def exact_dedup(docs: DataFrame, digest=sha256_of, salts: int = SALTS) -> DataFr
     their documents are told apart by the text itself.
     """
     groups = settle(text_groups(docs, digest, salts).drop("text"), "text-groups")
-    rows = docs.select("doc_id", whole_text().alias("text")).withColumn(
-        "digest", digest(F.col("text"))
-    )
+    texts = docs.select("doc_id", whole_text().alias("text"))
+    # the text itself stays behind: only digests go to the groups
+    rows = texts.select("doc_id", digest(F.col("text")).alias("digest"), F.sha2("text", 256).alias("text_sha256"))
     shared = groups.groupBy("digest").agg(F.count("*").alias("texts")).filter("texts > 1")
     if shared.isEmpty():
         matched = rows.join(groups, "digest")
     else:
         clash = settle(shared.select("digest"), "shared-digests")
-        doubtful = rows.join(clash, "digest", "left_semi").select("doc_id", "text")
-        of_text = text_groups(doubtful, digest, salts)
-        matched = rows.join(groups.join(clash, "digest", "left_anti"), "digest").unionByName(
-            rows.join(of_text, ["digest", "text"])
+        doubtful = texts.withColumn("digest", digest(F.col("text"))).join(clash, "digest", "left_semi")
+        of_text = doubtful.join(text_groups(doubtful, digest, salts).drop("digest"), "text").select(
+            "doc_id", "keep_id", "group_size", F.sha2("text", 256).alias("text_sha256")
         )
+        matched = rows.join(groups.join(clash, "digest", "left_anti"), "digest").drop("digest").unionByName(of_text)
     return matched.select(
         "doc_id",
         "keep_id",
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.sha2("text", 256).alias("text_sha256"),
+        "text_sha256",
     )
