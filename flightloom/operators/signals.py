@@ -49,20 +49,30 @@ def signal_profile(signals: DataFrame, key: str = KEY) -> DataFrame:
     ``signal_kind`` is text, down, up, pass or invalid; ``factor`` samples make one row and each
     sample fills ``repeat`` rows; ``out_len`` is the resulting length.
     """
-    # Text is grouped by value first: max over strings needs a sort, so it only sees what is
-    # left after the hash aggregation has merged repeated values.
-    by_value = signals.groupBy(
-        key, "param", clean_text(F.col("str_value")).alias("text_value")
+    # A bit per sample, 64 samples to a word: all sums here are mergeable and hashed. Text is grouped
+    # by value: max over strings needs a sort, so it only sees what is left after that.
+    bit = F.expr("shiftleft(1L, CAST(pmod(idx, 64) AS int))")
+    by_word = signals.groupBy(
+        key, "param", clean_text(F.col("str_value")).alias("text_value"), F.expr("idx div 64").alias("word")
     ).agg(
         F.count("idx").alias("n"),
         F.count("num_value").alias("n_num"),
         F.count("str_value").alias("n_text"),
+        F.min("idx").alias("first_idx"),
         F.max("idx").alias("last_idx"),
+        F.bit_or(bit).alias("bits"),
+    )
+    totals = [F.sum(c).alias(c) for c in ("n", "n_num", "n_text")]
+    by_value = by_word.groupBy(key, "param", "text_value").agg(
+        *totals,
+        F.min("first_idx").alias("first_idx"),
+        F.max("last_idx").alias("last_idx"),
+        F.sum(F.bit_count("bits")).alias("n_distinct"),
     )
     sized = by_value.groupBy(key, "param").agg(
-        F.sum("n").alias("n"),
-        F.sum("n_num").alias("n_num"),
-        F.sum("n_text").alias("n_text"),
+        *totals,
+        F.sum("n_distinct").alias("n_distinct"),
+        F.min("first_idx").alias("first_idx"),
         F.max("last_idx").alias("last_idx"),
         F.max("text_value").alias("text_value"),
     )
@@ -105,7 +115,11 @@ def _fault(columns: dict[str, str]) -> Column:
         F.when(F.coalesce(F.col("base_len"), F.lit(0)) == 0, f"no samples of {BASE_SIGNAL}")
         .when(~F.col("used"), None)
         .when((F.col("n") == 0), F.concat(F.lit("no samples of "), F.col("param")))
-        .when(F.col("last_idx") != F.col("n") - 1, F.concat(F.lit("gaps in "), F.col("param")))
+        .when(F.col("n_distinct") != F.col("n"), F.concat(F.lit("repeated samples in "), F.col("param")))
+        .when(
+            (F.col("last_idx") != F.col("n") - 1) | (F.col("first_idx") != 0),
+            F.concat(F.lit("gaps in "), F.col("param")),
+        )
         .when(
             F.col("signal_kind") == "invalid",
             F.concat(F.lit("neither numbers nor text in "), F.col("param")),

@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightloom.operators.gold import DEFAULT_SAMPLE_RATE_HZ, gold_rows
-from flightloom.operators.keys import new_flights, rows_of
+from flightloom.operators.keys import distinct_flights, new_flights, rows_of
 from flightloom.session import BROADCAST_ROWS, settle
 
+Clock = Callable[[], datetime | str] | datetime | str
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
+def read_clock(clock: Clock) -> datetime | str:
+    """The time of a run: a fixed one, or that of the given function."""
+    return clock() if callable(clock) else clock
+
 
 class Table(Protocol):
     def read(self) -> DataFrame: ...
@@ -28,6 +40,15 @@ class GoldRun:
     rows: int
 
 
+def in_id_range(silver: DataFrame, flights: DataFrame) -> DataFrame:
+    """Silver between the lowest and highest of the (settled) ids. Ids grow over time, so the scan
+    skips the row groups of earlier flights."""
+    lowest, highest = flights.agg(F.min("flight_id"), F.max("flight_id")).first()
+    if lowest is None:
+        lowest, highest = 0, -1
+    return silver.filter(F.col("flight_id").between(lowest, highest))
+
+
 def gold_of_flights(
     silver: DataFrame,
     flights: DataFrame,
@@ -37,37 +58,50 @@ def gold_of_flights(
 ) -> DataFrame:
     """Gold rows of the given distinct flights, which should be settled.
 
-    Ids grow over time, so their range lets the scan skip the row groups of earlier flights. A
-    bounded id list is broadcast: Silver is filtered in the scan stage and never shuffled. Beyond
+    A bounded id list is broadcast: Silver is filtered in the scan stage and never shuffled. Beyond
     the bound Silver is aggregated first and the ids are joined to the few rows per flight that
     are left: still no shuffle of samples, and no join key as large as a flight.
     """
-    ids = flights.agg(F.count("*").alias("n"), F.min("flight_id"), F.max("flight_id")).first()
-    lowest, highest = (0, -1) if ids["n"] == 0 else ids[1:]
-    in_range = silver.filter(F.col("flight_id").between(lowest, highest))
-    if ids["n"] <= broadcast_rows:
+    in_range = in_id_range(silver, flights)
+    if flights.count() <= broadcast_rows:
         return gold_rows(rows_of(in_range, F.broadcast(flights)), now, sample_rate_hz)
     everything = gold_rows(in_range, now, sample_rate_hz)
     return everything.join(flights, "flight_id").select(everything.columns)
 
 
+def complete_flights(silver: DataFrame, expected: DataFrame, gold: DataFrame | None) -> DataFrame:
+    """Flights that Gold does not have and of which Silver has all rows.
+
+    ``expected`` has one row (flight_id, n_rows) per accepted flight. Silver is counted in the id range
+    of the missing flights only; a flight of which some files are still to come waits for them.
+    """
+    missing = expected if gold is None else expected.join(distinct_flights(gold), "flight_id", "left_anti")
+    missing = settle(missing.select("flight_id", "n_rows").distinct(), "missing-flights")
+    counts = in_id_range(silver, missing).groupBy("flight_id").agg(F.count("*").alias("found"))
+    return missing.join(counts, "flight_id").filter("found >= n_rows").select("flight_id")
+
+
 def run_gold(
     silver: Table,
     gold: Table,
-    now: datetime | str,
+    now: Clock,
     sample_rate_hz: float = DEFAULT_SAMPLE_RATE_HZ,
     broadcast_rows: int = BROADCAST_ROWS,
+    expected: DataFrame | None = None,
 ) -> GoldRun:
     """Append the metrics of flights that Gold does not have yet; a repeated run adds nothing.
 
-    The new ids are stored before Gold changes, so the count read back refers to this run.
+    With ``expected`` (see ``complete_flights``) only complete flights are taken and the ids come from
+    that table; without it, every flight in Silver counts as complete. The new ids are
+    stored before Gold changes, so the count read back refers to this run.
     """
-    samples = silver.read()
-    flights = settle(new_flights(samples, gold.read_or_none()), "new-flights")
+    samples, present = silver.read(), gold.read_or_none()
+    found = new_flights(samples, present) if expected is None else complete_flights(samples, expected, present)
+    flights = settle(found, "new-flights")
     n_flights = flights.count()
     if n_flights == 0:
         return GoldRun(0, 0)
-    gold.append(gold_of_flights(samples, flights, now, sample_rate_hz, broadcast_rows))
+    gold.append(gold_of_flights(samples, flights, read_clock(now), sample_rate_hz, broadcast_rows))
     return GoldRun(n_flights, read_back(gold.read(), flights).count())
 
 

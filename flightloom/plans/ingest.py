@@ -20,20 +20,23 @@ from flightloom.operators.signals import (
 from flightloom.operators.status import status_rows
 from flightloom.schemas import BRONZE, FLIGHT_IDS, STATUS
 from flightloom.session import fits_broadcast, settle
-from flightloom.sources.tables import CatalogTable, SnapshotTable, write_flight_files
+from flightloom.sources.tables import CatalogTable, FileLoads, write_flight_files
 
 HASH = "input_file_hash_rel"
 
 
 @dataclass(frozen=True)
 class IntakeTables:
-    ids: SnapshotTable | CatalogTable
-    bronze: SnapshotTable | CatalogTable
-    status: SnapshotTable | CatalogTable
+    ids: CatalogTable
+    bronze: CatalogTable
+    status: CatalogTable
     landing: str  # folder of the per-flight Parquet files
+    lengths: CatalogTable | None = None  # rows of each accepted flight, for Gold
+    silver: CatalogTable | None = None  # with its load log: flights that are loaded are not written again
+    loads: FileLoads | None = None
 
 
-def _read(table: SnapshotTable | CatalogTable, schema: T.StructType) -> DataFrame:
+def _read(table: CatalogTable, schema: T.StructType) -> DataFrame:
     found = table.read_or_none()
     return table.spark.createDataFrame([], schema) if found is None else found
 
@@ -52,8 +55,8 @@ def run_intake(
     ``attrs`` and ``signals`` are the decoded recordings, keyed by ``input_file_hash_rel``;
     ``columns`` are the signal columns of the flight files (see ``assemble``). Data is
     written before Bronze and Bronze before the status rows. After a crash in between the files
-    are still pending, get the ids they were given before, and overwrite the same flight folders;
-    a flight that already has its Bronze row does not get a second one.
+    are still pending, get the ids they were given before, and overwrite the same flight folders,
+    unless Silver has loaded them; a flight that already has its Bronze row does not get a second one.
     """
     pending = settle(
         pending_files(directory_view(listing), _read(tables.status, STATUS), retry_failed), "pending"
@@ -64,13 +67,21 @@ def run_intake(
     return f"Preprocessing completed. Files processed: {n_files}"
 
 
-def _pending_profile(signals: DataFrame, keys: DataFrame) -> DataFrame:
-    """The profile of the pending files. Only a bounded key list goes to the samples; a longer
-    one meets the profile, so that no file's samples are ever shuffled by file alone."""
-    if fits_broadcast(keys):
-        pending = signals.join(F.broadcast(keys), HASH, "left_semi")
-        return signal_profile(pending, key=HASH)
-    return signal_profile(signals, key=HASH).join(keys, HASH, "left_semi")
+def _of_pending(signals: DataFrame, keys: DataFrame) -> DataFrame:
+    """The samples of the pending files. A bounded key list is broadcast; the files that a longer one
+    leaves out are skipped by the range of their hashes, and skewed files are split by the optimizer."""
+    lowest, highest = keys.agg(F.min(HASH), F.max(HASH)).first()
+    in_range = signals.filter(F.col(HASH).between(lowest, highest))
+    return in_range.join(F.broadcast(keys) if fits_broadcast(keys) else keys, HASH, "left_semi")
+
+
+def _loaded_flights(tables: IntakeTables) -> DataFrame | None:
+    """Ids of the flights whose files are in Silver."""
+    if tables.silver is None or tables.loads is None:
+        return None
+    folder = F.regexp_extract("file_path", "/flight=([0-9]+)/", 1)
+    files = tables.loads.loaded(tables.silver).select(folder.alias("id")).filter("id <> ''")
+    return files.select(F.col("id").cast("int").alias("flight_id")).distinct()
 
 
 def _process(
@@ -96,10 +107,14 @@ def _process(
         ),
         "metadata",
     )
-    profile = settle(_pending_profile(signals, ids.select(HASH)), "profile")
+    signals = _of_pending(signals, ids.select(HASH))
+    profile = settle(signal_profile(signals, key=HASH), "profile")
     frames = settle(flight_frames(profile, HASH, columns), "frames")
     departures = metadata.select(HASH, "flight_id", "flight_departure_dttm")
-    silver = assemble(signals, profile, departures, HASH, frames, columns)
+    to_write, loaded = frames, _loaded_flights(tables)
+    if loaded is not None:
+        to_write = settle(frames.join(ids.join(loaded, "flight_id").select(HASH), HASH, "left_anti"), "to-write")
+    silver = assemble(signals, profile, departures, HASH, to_write, columns)
     write_flight_files(silver, tables.landing)
 
     outcome = metadata.join(frames.select(HASH, "base_len", "fault"), HASH, "left")
@@ -109,13 +124,17 @@ def _process(
         .otherwise(F.col("fault"))
     )
     done = outcome.filter(F.col("fault").isNull())
+    if tables.lengths is not None:
+        lengths = done.select("flight_id", F.col("base_len").alias("n_rows"))
+        noted = _read(tables.lengths, lengths.schema).select("flight_id")
+        tables.lengths.append(lengths.join(noted, "flight_id", "left_anti"))
     present = _read(tables.bronze, BRONZE).select("flight_id")
     tables.bronze.append(bronze_rows(done.join(present, "flight_id", "left_anti"), now))
     tables.status.append(
         status_rows(
             outcome.select(
                 "relative_path",
-                F.concat_ws("/", F.lit("output-files"), "output_name").alias("output_file_path"),
+                F.concat(F.lit(f"{tables.landing}/flight="), "flight_id").alias("output_file_path"),
                 F.col("base_len").alias("n_rows"),
                 "fault",
             ),

@@ -1,32 +1,43 @@
-"""The whole chain: intake, streamed load into Silver, Gold."""
+"""The whole chain: intake, streamed load into Silver, Gold; once or whenever files arrive."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from flightloom.plans.gold_job import GoldRun, run_gold
+from flightloom.plans.gold_job import Clock, GoldRun, read_clock, run_gold, utc_now
 from flightloom.plans.ingest import IntakeTables, run_intake
-from flightloom.sources.tables import CatalogTable, SnapshotTable
-from flightloom.streaming.intake import landed_files, start_load
+from flightloom.sources.tables import CatalogTable
+from flightloom.streaming.intake import ANY_AGE, landed_files, start_load
 
 
 def load_landed(
     spark: SparkSession,
     landing: str,
-    silver: SnapshotTable | CatalogTable,
+    silver: CatalogTable,
     checkpoint: str,
-    gold: SnapshotTable | CatalogTable | None = None,
-    now: datetime | str | None = None,
+    gold: CatalogTable | None = None,
+    now: Clock = utc_now,
     every: str | None = None,
-):
-    """Load new files into Silver and, given a Gold table, refresh Gold after each load."""
-    refresh = (lambda: run_gold(silver, gold, now)) if gold is not None else None
-    return start_load(
-        landed_files(spark, landing), silver, checkpoint, every=every, after_load=refresh
-    )
+    lengths: CatalogTable | None = None,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Load new files into Silver and, given a Gold table, refresh Gold after each load.
+
+    ``now`` is read in each refresh. With the intake's ``lengths`` a flight enters Gold when
+    all its rows are in Silver.
+    """
+
+    def refresh() -> None:
+        if silver.exists():
+            expected = None if lengths is None else lengths.read_or_none()
+            run_gold(silver, gold, now, expected=expected)
+
+    stream = landed_files(spark, landing, files_per_batch=files_per_batch)
+    return start_load(stream, silver, checkpoint, every=every, after_load=refresh if gold is not None else None)
 
 
 def run_pipeline(
@@ -35,14 +46,14 @@ def run_pipeline(
     attrs: DataFrame,
     signals: DataFrame,
     tables: IntakeTables,
-    silver: SnapshotTable | CatalogTable,
-    gold: SnapshotTable | CatalogTable,
+    silver: CatalogTable,
+    gold: CatalogTable,
     checkpoint: str,
-    now: datetime | str,
+    now: Clock = utc_now,
 ) -> tuple[str, GoldRun]:
     """One pass over everything that is new. Gold runs even if nothing was loaded, so a Gold run
     that failed earlier is made up for."""
-    message = run_intake(listing, attrs, signals, tables, now)
+    message = run_intake(listing, attrs, signals, tables, read_clock(now))
     try:
         load = load_landed(spark, tables.landing, silver, checkpoint)
     except AnalysisException as error:
@@ -52,4 +63,42 @@ def run_pipeline(
     load.awaitTermination()
     if not silver.exists():
         return message, GoldRun(0, 0)  # every file so far was rejected
-    return message, run_gold(silver, gold, now)
+    expected = None if tables.lengths is None else tables.lengths.read_or_none()
+    return message, run_gold(silver, gold, now, expected=expected)
+
+
+Recordings = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
+
+
+def repeat_pipeline(
+    spark: SparkSession,
+    incoming: str,
+    recordings: Recordings,
+    tables: IntakeTables,
+    silver: CatalogTable,
+    gold: CatalogTable,
+    checkpoint: str,
+    now: Clock = utc_now,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Run the whole chain whenever files have arrived in ``incoming``.
+
+    Arrivals only set it off: each pass asks ``recordings`` for the listing, attributes and samples as
+    they are then, and the status log decides what is new. Contents of incoming files are not read here.
+    ``every`` repeats on a schedule; by default what is there is processed and the query ends.
+    """
+    arrivals = (
+        spark.readStream.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("maxFileAge", ANY_AGE)
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .load(incoming)
+        .select("path")
+    )
+
+    def process(_: DataFrame, number: int) -> None:
+        run_pipeline(spark, *recordings(), tables, silver, gold, f"{checkpoint}/load", now)
+
+    writer = arrivals.writeStream.foreachBatch(process).option("checkpointLocation", f"{checkpoint}/arrivals")
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()

@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightloom.functions.columns import utc_literal
-from flightloom.operators.mutation import delete_where, merge_update
+from flightloom.operators.mutation import (
+    delete_like_statement,
+    delete_where,
+    merge_statement,
+    merge_update,
+)
 from flightloom.operators.status import PENDING, TEST_NAMES, named_like
 from flightloom.schemas import STATUS
-from flightloom.sources.tables import SnapshotTable
+from flightloom.sources.tables import CatalogTable
 
 UPDATED = ("status", "status_msg", "file_processed_dt")
 
@@ -37,12 +42,22 @@ def pending_rows(log: DataFrame, files: Sequence[tuple], now: datetime | str) ->
     return stamped.select(*STATUS.names)
 
 
-def update_status(table: SnapshotTable, changes: DataFrame) -> None:
-    """``changes`` has the file name and the updated columns."""
-    table.replace(merge_update(table.read(), changes, "input_file_name", UPDATED))
+def update_status(table: CatalogTable, changes: DataFrame) -> None:
+    """``changes`` has the file name and the updated columns. A catalog that can change rows runs
+    MERGE; elsewhere the table is written anew."""
+    if table.row_level:
+        changes.createOrReplaceTempView("status_changes")
+        statement = merge_statement(table.name, "status_changes", "input_file_name", UPDATED)
+        table.spark.sql(statement)
+    else:
+        table.replace(merge_update(table.read(), changes, "input_file_name", UPDATED))
 
 
-def delete_test_rows(table: SnapshotTable, pattern: str = TEST_NAMES) -> int:
+def delete_test_rows(table: CatalogTable, pattern: str = TEST_NAMES) -> int:
     """Delete rows by name pattern; returns how many are left, which is 0."""
-    table.replace(delete_where(table.read(), F.col("input_file_name").like(pattern)))
+    if table.row_level:
+        statement = delete_like_statement(table.name, "input_file_name")
+        table.spark.sql(statement, {"pattern": pattern})
+    else:
+        table.replace(delete_where(table.read(), F.col("input_file_name").like(pattern)))
     return named_like(table.read(), pattern).count()

@@ -18,8 +18,11 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
         .option("recursiveFileLookup", "true")
         .load(folder)
     )
-    root = folder.rstrip("/").split(":", 1)[-1].lstrip("/")
-    start = F.instr(F.col("path"), root) + F.lit(len(root) + 1)
+    # the folder as the file system writes it, which every path below it starts with
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = system.makeQualified(path).toString().rstrip("/")
+    start = F.lit(len(root) + 2)
     return found.select(
         F.substr(F.col("path"), start).alias("relative_path"),
         F.col("path").alias("file_url"),

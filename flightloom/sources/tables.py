@@ -1,121 +1,120 @@
-"""Tables that jobs read, append to and replace.
-
-``CatalogTable`` is a named table of the session's catalog. ``SnapshotTable`` is a folder of
-Parquet parts and a list of commits, for sessions without a catalog that can change rows: parts
-are written first and become visible with one appended commit row, so a failed write leaves the
-table as it was. One writer at a time.
-"""
+"""Catalog tables that jobs read, append to and replace, and the log of loaded files."""
 
 from __future__ import annotations
 
-from uuid import uuid4
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightloom.sources.by_name import project_by_name
 
-
-class MissingTable(LookupError):
-    pass
+BATCH = "load_batch"  # partition column of tables that streams load
+ROW_LEVEL_FORMATS = ("iceberg", "delta")
 
 
 class CatalogTable:
+    """A named table of the session's catalog. The partition column of batches is not shown."""
+
     def __init__(self, spark: SparkSession, name: str, table_format: str = "parquet"):
         self.spark, self.name, self.format = spark, name, table_format
 
+    @property
+    def row_level(self) -> bool:
+        """Whether the catalog can change rows by MERGE and DELETE."""
+        return self.format in ROW_LEVEL_FORMATS
+
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
-    def read(self) -> DataFrame:
+    def rows(self) -> DataFrame:
+        """All columns. Streams write in sessions of their own, so the list of files is looked up anew."""
+        self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
+    def read(self) -> DataFrame:
+        return self.rows().drop(BATCH)
+
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
 
-    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> bool:
-        """Add rows by column name; the first append creates the table.
-
-        For a batch of a stream, its number is kept as a table property afterwards, and batches up
-        to that number are not added again.
-        """
+    def append(self, df: DataFrame) -> None:
+        """Add rows by column name; the first append creates the table."""
         if self.exists():
-            if batch is not None and batch[1] <= self._last_batch(batch[0]):
-                return False
             df = project_by_name(df, self.read().schema)
         df.write.mode("append").format(self.format).saveAsTable(self.name)
-        if batch is not None:
-            key, number = f"loaded.{batch[0]}", batch[1]
-            self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{key}' = '{number}')")
-        return True
-
-    def _last_batch(self, stream: str) -> int:
-        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}")
-        row = found.filter(F.col("key") == f"loaded.{stream}").first()
-        return int(row["value"]) if row else -1
-
 
-class SnapshotTable:
-    COMMIT = "version long, kind string, part string, batch string"
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def _commits(self) -> list:
-        """All commits, oldest first: one short row per write."""
-        try:
-            log = self.spark.read.schema(self.COMMIT).json(f"{self.path}/commits").collect()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        return sorted(log, key=lambda c: c["version"])
+    def write_batch(self, df: DataFrame, label: str) -> None:
+        """Put ``df`` into the partition ``label`` in one commit; a replayed batch overwrites itself."""
+        if not self.exists():
+            empty = df.limit(0).withColumn(BATCH, F.lit("").cast("string"))
+            empty.write.format(self.format).partitionBy(BATCH).saveAsTable(self.name)
+        rows = project_by_name(df, self.read().schema)
+        # a stream's batch belongs to a session of its own
+        rows.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {self.name} PARTITION ({BATCH} = '{label}') SELECT * FROM {{rows}}",
+            rows=rows,
+        )
 
-    def exists(self) -> bool:
-        return bool(self._commits())
+    def has_batch(self, label: str) -> bool:
+        """Whether a batch left rows; only its partition is looked at."""
+        return self.exists() and not self.rows().filter(F.col(BATCH) == label).isEmpty()
 
-    def read_or_none(self) -> DataFrame | None:
-        """The rows of the last replacement and of the appends after it."""
-        commits = self._commits()
-        if not commits:
-            return None
-        base = max((i for i, c in enumerate(commits) if c["kind"] == "replace"), default=0)
-        parts = [f"{self.path}/parts/{c['part']}" for c in commits[base:]]
-        return self.spark.read.schema(self.schema).parquet(*parts)
+    def replace(self, df: DataFrame) -> None:
+        """Put ``df``, which may be derived from the table, in place of all rows.
 
-    def read(self) -> DataFrame:
-        found = self.read_or_none()
-        if found is None:
-            raise MissingTable(self.path)
-        return found
-
-    def _commit(self, df: DataFrame, kind: str, batch: str | None, version: int) -> None:
-        part = uuid4().hex
-        project_by_name(df, self.schema).write.parquet(f"{self.path}/parts/{part}")
-        row = self.spark.range(1).selectExpr(
-            f"{version}L AS version", f"'{kind}' AS kind", f"'{part}' AS part"
-        )
-        row.withColumn("batch", F.lit(batch).cast("string")).coalesce(1).write.mode(
-            "append"
-        ).json(f"{self.path}/commits")
-
-    def _next_version(self, commits: list) -> int:
-        return commits[-1]["version"] + 1 if commits else 1
-
-    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> bool:
-        """Add rows. A batch of a stream that was added before is not added again."""
-        commits = self._commits()
-        label = None if batch is None else f"{batch[0]}-{batch[1]}"
-        if label is not None and any(c["batch"] == label for c in commits):
-            return False
-        self._commit(df, "append", label, self._next_version(commits))
-        return True
+        The new rows are written under another name before the old table goes, so a failed
+        write leaves it as it was.
+        """
+        fresh = f"{self.name}_next"
+        self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        df.write.format(self.format).saveAsTable(fresh)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {self.name}")
+
+
+FILE = T.StructType(
+    [
+        T.StructField("file_path", T.StringType()),
+        T.StructField("file_modification_time", T.TimestampType()),
+        T.StructField("file_size", T.LongType()),
+    ]
+)
+FINISHED = "-finished"
+
+
+class FileLoads:
+    """Which files a table holds, by path, time and length.
+
+    A batch's files are noted before its rows are written and noted as finished afterwards. A
+    batch that was begun and not finished counts if its partition has rows, which appear in one
+    commit. So a crash at any point neither loses nor doubles a file, also when a new
+    checkpoint or another stream meets it next. One load of a table at a time.
+    """
 
-    def replace(self, df: DataFrame) -> None:
-        """Put ``df`` in place of all rows; it may be derived from the table itself."""
-        self._commit(df, "replace", None, self._next_version(self._commits()))
+    def __init__(self, spark: SparkSession, name: str, table_format: str = "parquet"):
+        self.table = CatalogTable(spark, name, table_format)
+
+    def begin(self, files: DataFrame, label: str) -> None:
+        self.table.write_batch(files.select(FILE.names), label)
+
+    def finish(self, label: str) -> None:
+        mark = self.table.spark.createDataFrame([(label, None, None)], FILE)
+        self.table.write_batch(mark, label + FINISHED)
+
+    def loaded(self, target: CatalogTable, other_than: str | None = None) -> DataFrame:
+        """The files whose rows are in ``target``, without those of the batch ``other_than``."""
+        spark = self.table.spark
+        if not self.table.exists():
+            return spark.createDataFrame([], FILE)
+        notes = self.table.rows()
+        ends = F.col(BATCH).endswith(FINISHED)
+        finished = notes.filter(ends).select(F.col("file_path").alias(BATCH))
+        begun = notes.filter(~ends & (F.col(BATCH) != F.lit(other_than or "")))
+        open_batches = begun.join(finished, BATCH, "left_anti").select(BATCH).distinct()
+        # only batches that a crash interrupted
+        held = [r[0] for r in open_batches.collect() if target.has_batch(r[0])]
+        done = begun.join(finished, BATCH, "left_semi")
+        return done.unionByName(begun.filter(F.col(BATCH).isin(held))).select(FILE.names).distinct()
 
 
 def write_flight_files(silver: DataFrame, path: str) -> None:

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flightloom.schemas import SILVER
-from flightloom.sources.by_name import project_by_name
-from flightloom.sources.tables import CatalogTable, SnapshotTable
+from flightloom.session import fits_broadcast, settle
+from flightloom.sources.tables import FILE, CatalogTable, FileLoads
+
+ANY_AGE = "36500d"  # files are loaded however much older than the newest they are
 
 
 def landed_files(
@@ -19,40 +23,51 @@ def landed_files(
     schema: T.StructType = SILVER,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New Parquet files below ``path`` as a stream.
-
-    Files are recognised by path: one that is rewritten under its old name is not read again.
-    """
+    """New Parquet files below ``path`` as a stream, each row with its file's path, time and length."""
     reader = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", ANY_AGE)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).select("*", *[F.col(f"_metadata.{name}") for name in FILE.names])
+
+
+def loads_of(silver: CatalogTable) -> FileLoads:
+    return FileLoads(silver.spark, f"{silver.name}_loads", silver.format)
 
 
 def start_load(
     stream: DataFrame,
-    silver: SnapshotTable | CatalogTable,
+    silver: CatalogTable,
     checkpoint: str,
-    name: str = "silver_load",
     every: str | None = None,
     after_load: Callable[[], object] | None = None,
-    schema: T.StructType = SILVER,
 ) -> StreamingQuery:
-    """Append each batch to Silver once, then call ``after_load``.
+    """Append the files of each batch that Silver does not hold yet, then call ``after_load``.
 
     By default everything that is there is loaded and the query ends; ``every`` (for example
-    "5 minutes") keeps it running. A batch that is replayed after a failure is recognised by its
-    number and not appended a second time, and ``after_load`` must be repeatable. Gold takes a
-    flight as complete once it is in Silver, so files should be landed before the load starts
-    (as the whole chain does) or appear all at once.
+    "5 minutes") keeps it running. Each batch is a partition of its own, named by checkpoint and
+    number, so a replay overwrites it. Files are recognised by path, time and length
+    in the load log, whatever stream or checkpoint they came by. ``after_load`` must be repeatable.
     """
+    loads = loads_of(silver)
+    prefix = md5(checkpoint.encode()).hexdigest()[:16]
 
     def load(batch: DataFrame, number: int) -> None:
-        silver.append(project_by_name(batch, schema), batch=(name, number))
+        label = f"{prefix}-{number}"
+        files = settle(batch.select(FILE.names).distinct(), "batch-files")
+        new = settle(files.join(loads.loaded(silver, other_than=label), FILE.names, "left_anti"), "new-files")
+        if not new.isEmpty():
+            rows = batch
+            if new.count() < files.count():
+                wanted = F.broadcast(new) if fits_broadcast(new) else new
+                rows = batch.join(wanted, FILE.names, "left_semi")
+            loads.begin(new, label)
+            silver.write_batch(rows.drop(*FILE.names), label)
+            loads.finish(label)
         if after_load is not None:
             after_load()
 

@@ -443,7 +443,7 @@ def _long(source: str, where: str = "TRUE") -> str:
 def sql() -> dict[str, str]:
     log = ", ".join(STATUS.names)
     recorded = _with(*PROFILE_CTES, *FLIGHTS_CTES, OUTCOMES_CTE, body="")
-    return {
+    found = {
         "scan_all": _with(TELEMETRY_CTE, body="SELECT * FROM telemetry"),
         "scan_sql": _with(LOG_CTE, body=_LATEST),
         "load_by_name": """
@@ -643,3 +643,5 @@ def sql() -> dict[str, str]:
             """,
         ),
     }
+    found["pipeline_repeat"] = found["intake_to_gold"]  # the same files in two arrivals
+    return found

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,13 @@ from flightloom.operators import audits, gold, keys, manifest, metadata, mutatio
 from flightloom.plans import status_session
 from flightloom.plans.gold_job import gold_of_flights, read_back, run_gold
 from flightloom.plans.ingest import IntakeTables
-from flightloom.plans.refresh import load_landed, run_pipeline
-from flightloom.schemas import BRONZE, FLIGHT_IDS, GOLD, SILVER, STATUS
+from flightloom.plans.refresh import load_landed, repeat_pipeline, run_pipeline
+from flightloom.schemas import SILVER
 from flightloom.session import fresh_path, settle
 from flightloom.sources.by_name import load_by_name
 from flightloom.sources.listing import list_files
-from flightloom.sources.tables import SnapshotTable, write_flight_files
+from flightloom.sources.tables import CatalogTable, write_flight_files
+from flightloom.streaming.intake import loads_of
 from flightloom.workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +52,11 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
+def fresh_table(spark: SparkSession, label: str) -> CatalogTable:
+    """A table name of its own for each run."""
+    return CatalogTable(spark, f"{label}_{uuid4().hex}")
+
+
 # -- Gold ------------------------------------------------------------------------------------
 
 
@@ -93,12 +100,13 @@ def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    everything = gold.gold_rows(fx.telemetry(spark, sf_dir), fx.NOW)
-    return rounded(read_back(everything, _new_ids(spark, sf_dir)))
+    table = fresh_table(spark, "gold")
+    table.append(gold.gold_rows(fx.telemetry(spark, sf_dir), fx.NOW))
+    return rounded(read_back(table.read(), _new_ids(spark, sf_dir)))
 
 
 def gold_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = SnapshotTable(spark, fresh_path(spark, "gold"), GOLD)
+    table = fresh_table(spark, "gold")
     table.append(fx.gold_prev(spark, sf_dir))
     silver = fx.telemetry(spark, sf_dir)
     ids = settle(keys.new_flights(silver, table.read()), "new-flights")
@@ -123,7 +131,7 @@ class _GivenSilver:
 
 
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = SnapshotTable(spark, fresh_path(spark, "gold"), GOLD)
+    table = fresh_table(spark, "gold")
     table.append(fx.gold_prev(spark, sf_dir))
     silver = _GivenSilver(fx.telemetry(spark, sf_dir))
     run_gold(silver, table, fx.NOW)
@@ -266,7 +274,7 @@ def silver_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = SnapshotTable(spark, fresh_path(spark, "status"), STATUS)
+    log = fresh_table(spark, "status")
     log.append(fx.status_log(spark, sf_dir))
     files = _outcomes(spark, sf_dir).select(
         fx.recording_path(F.col("flight_id")).alias("relative_path"),
@@ -302,10 +310,10 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def verify_mutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge and delete on a stored log, then count what the checks look at."""
-    log = SnapshotTable(spark, fresh_path(spark, "status"), STATUS)
+    log = fresh_table(spark, "status")
     log.append(fx.status_log(spark, sf_dir))
     status_session.update_status(log, fx.status_updates(spark, sf_dir))
-    updated = log.read()
+    updated = settle(log.read(), "updated")
     status_session.delete_test_rows(log)
     return audits.table_counts(
         {
@@ -333,18 +341,20 @@ def count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _loaded(spark: SparkSession, sf_dir: str, with_gold: bool):
-    landing = fresh_path(spark, "landing")
-    silver = SnapshotTable(spark, fresh_path(spark, "silver"), SILVER)
-    gold_table = SnapshotTable(spark, fresh_path(spark, "gold"), GOLD)
-    checkpoint = fresh_path(spark, "stream")
+    """Files arrive in three portions, the last in a second folder; in between nothing new is found,
+    also under a checkpoint that knows of nothing."""
+    landing, other = fresh_path(spark, "landing"), fresh_path(spark, "landing")
+    silver, gold_table = fresh_table(spark, "silver"), fresh_table(spark, "gold")
+    first, second, third = (fresh_path(spark, "stream") for _ in range(3))
     rows = fx.telemetry(spark, sf_dir)
-    odd = F.col("flight_id") % 2 == 1
-    # files arrive in two portions; the last run finds nothing new
-    for portion in (rows.filter(odd), rows.filter(~odd), None):
-        if portion is not None:
-            portion.write.mode("append").parquet(landing)
+    portion = F.col("flight_id") % 3
+    for folder, checkpoint, part in (
+        (landing, first, 0), (landing, first, 1), (landing, first, None), (landing, second, None), (other, third, 2),
+    ):
+        if part is not None:
+            rows.filter(portion == part).write.mode("append").parquet(folder)
         load_landed(
-            spark, landing, silver, checkpoint, gold_table if with_gold else None, fx.NOW
+            spark, folder, silver, checkpoint, gold_table if with_gold else None, fx.NOW
         ).awaitTermination()
     return silver, gold_table
 
@@ -357,23 +367,41 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_loaded(spark, sf_dir, with_gold=True)[1].read())
 
 
-def intake_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recordings to Gold in one run; a second run over the same files changes nothing."""
+def _chain(spark: SparkSession):
+    silver = fresh_table(spark, "silver")
     tables = IntakeTables(
-        ids=SnapshotTable(spark, fresh_path(spark, "ids"), FLIGHT_IDS),
-        bronze=SnapshotTable(spark, fresh_path(spark, "bronze"), BRONZE),
-        status=SnapshotTable(spark, fresh_path(spark, "status"), STATUS),
+        *[fresh_table(spark, label) for label in ("ids", "bronze", "status")],
         landing=fresh_path(spark, "landing"),
+        lengths=fresh_table(spark, "lengths"),
+        silver=silver,
+        loads=loads_of(silver),
     )
-    silver = SnapshotTable(spark, fresh_path(spark, "silver"), SILVER)
-    gold_table = SnapshotTable(spark, fresh_path(spark, "gold"), GOLD)
-    checkpoint = fresh_path(spark, "stream")
+    return tables, silver, fresh_table(spark, "gold"), fresh_path(spark, "stream")
+
+
+def intake_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings to Gold in one run; a second run over the same files changes nothing."""
+    tables, silver, gold_table, checkpoint = _chain(spark)
     files = fx.recordings(spark, sf_dir)
     for _ in range(2):
         run_pipeline(spark, *files, tables, silver, gold_table, checkpoint, fx.NOW)
     return rounded(gold_table.read())
 
 
+def pipeline_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain set off by two arrivals; the second brings the files with the higher hashes."""
+    tables, silver, gold_table, checkpoint = _chain(spark)
+    incoming = fresh_path(spark, "incoming")
+    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    for arrived in (F.md5("relative_path") < "8", F.lit(True)):
+        listing.filter(arrived).select("relative_path").write.mode("append").text(incoming)
+        here = listing.filter(arrived)
+        repeat_pipeline(
+            spark, incoming, lambda here=here: (here, attrs, samples), tables, silver, gold_table, checkpoint, fx.NOW
+        ).awaitTermination()
+    return rounded(gold_table.read())
+
+
 # -- Audits ----------------------------------------------------------------------------------
 
 
@@ -449,6 +477,7 @@ def registry() -> dict[str, Query]:
         "stream_load": stream_load,
         "stream_gold": stream_gold,
         "intake_to_gold": intake_to_gold,
+        "pipeline_repeat": pipeline_repeat,
         "dq_pk": dq_pk,
         "dq_fk": dq_fk,
         "dq_name_collision": dq_name_collision,

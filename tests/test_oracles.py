@@ -7,10 +7,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from flightloom.workload import oracles
+from flightloom.workload.queries import registry
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registry()
+SQL = oracles.sql()
 ROWS_ONLY = {"list_files"}
+KINDS = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "date": "DATE",
+}
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +43,9 @@ def table(columns, rows):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(name, spark, sf_dir, db):
     found = QUERIES[name](spark, sf_dir)
+    described = db.execute("DESCRIBE " + SQL[name]).fetchall()
+    types = {f.name: KINDS[f.dataType.simpleString()] for f in found.schema.fields}
+    assert types == {row[0]: row[1] for row in described}
     expected = db.execute(SQL[name])
     columns = [c[0] for c in expected.description]
     assert sorted(found.columns) == sorted(columns)
@@ -47,22 +56,10 @@ def test_query_equals_sql(name, spark, sf_dir, db):
     assert not different, different[:3]
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
-def test_types_equal_sql(name, spark, sf_dir, db):
-    kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-             "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "date": "DATE"}
-    if name in {"stream_load", "stream_gold", "intake_to_gold", "verify_mutation",
-                "silver_write", "gold_append", "gold_incremental"}:
-        pytest.skip("writes; its rows are compared above")
-    found = {f.name: kinds[f.dataType.simpleString()]
-             for f in QUERIES[name](spark, sf_dir).schema.fields}
-    described = db.execute("DESCRIBE " + SQL[name]).fetchall()
-    assert found == {row[0]: row[1] for row in described}
-
-
 def test_every_query_is_checked():
     assert set(QUERIES) - set(SQL) == ROWS_ONLY
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
 
 
 def test_listing(spark, sf_dir):

@@ -1,5 +1,9 @@
 """Whole runs: Gold job, streamed load, intake, and what happens when they are repeated."""
 
+import os
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,27 +12,26 @@ from flightloom.operators.keys import new_flights
 from flightloom.plans import ingest
 from flightloom.plans.gold_job import GoldRun, gold_of_flights, run_gold
 from flightloom.plans.ingest import IntakeTables, run_intake
-from flightloom.plans.refresh import load_landed, run_pipeline
-from flightloom.schemas import BRONZE, FLIGHT_IDS, GOLD, SILVER, STATUS
+from flightloom.plans.refresh import load_landed, repeat_pipeline, run_pipeline
+from flightloom.schemas import BRONZE, GOLD, SILVER
 from flightloom.session import fresh_path, settle
-from flightloom.sources.tables import CatalogTable, SnapshotTable
-from flightloom.streaming.intake import landed_files, start_load
+from flightloom.sources.tables import CatalogTable, FileLoads
+from flightloom.streaming.intake import landed_files, loads_of, start_load
 from flightloom.workload import fixtures as fx
+from flightloom.workload.queries import fresh_table
 
 NOW = "2024-05-05 10:00:00"
 
 
-def snapshot(spark, schema):
-    return SnapshotTable(spark, fresh_path(spark, "t"), schema)
+def new_table(spark):
+    return fresh_table(spark, "t")
 
 
-def intake_tables(spark):
+def intake_tables(spark, silver=None):
     return IntakeTables(
-        ids=snapshot(spark, FLIGHT_IDS),
-        bronze=snapshot(spark, BRONZE),
-        status=snapshot(spark, STATUS),
-        landing=fresh_path(spark, "landing"),
-    )
+        new_table(spark), new_table(spark), new_table(spark), fresh_path(spark, "landing"),
+        lengths=new_table(spark), silver=silver, loads=silver and loads_of(silver),
+    )
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +40,7 @@ def telemetry(spark, sf_dir):
 
 
 def test_gold_runs_are_incremental(spark, telemetry):
-    silver, gold = snapshot(spark, SILVER), snapshot(spark, GOLD)
+    silver, gold = new_table(spark), new_table(spark)
     silver.append(telemetry.filter("flight_id % 2 = 0"))
     first = run_gold(silver, gold, NOW)
     assert first.flights > 0 and first.rows == gold.read().count()
@@ -62,7 +65,7 @@ def test_many_ids_give_the_same_gold(spark, telemetry):
 
 def test_stream_picks_up_only_new_files(spark, telemetry):
     landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
-    silver = snapshot(spark, SILVER)
+    silver = new_table(spark)
     counts = []
     for step in (0, None, 1):
         if step is not None:
@@ -74,19 +77,139 @@ def test_stream_picks_up_only_new_files(spark, telemetry):
     assert counts == [even, even, telemetry.count()]
 
 
-def test_replayed_batch_is_not_loaded_twice(spark, telemetry):
-    landing = fresh_path(spark, "landing")
-    telemetry.limit(50).coalesce(1).write.parquet(landing)
-    silver = snapshot(spark, SILVER)
-    for _ in range(2):  # a lost checkpoint starts again at batch 0
-        stream = landed_files(spark, landing, files_per_batch=1)
-        start_load(stream, silver, fresh_path(spark, "checkpoint")).awaitTermination()
-    assert silver.read().count() == 50
+def load(spark, landing, silver, checkpoint=None, **options):
+    load_landed(spark, landing, silver, checkpoint or fresh_path(spark, "checkpoint"), **options).awaitTermination()
+
+
+def same_rows(silver, expected):
+    found = silver.read().select(expected.columns)
+    return found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_a_new_checkpoint_loads_only_further_files(spark, telemetry):
+    landing, silver = fresh_path(spark, "landing"), new_table(spark)
+    for part in (telemetry.filter("flight_id % 2 = 0"), None, telemetry.filter("flight_id % 2 = 1")):
+        if part is not None:
+            part.coalesce(2).write.mode("append").parquet(landing)
+        load(spark, landing, silver, files_per_batch=1)
+    assert same_rows(silver, telemetry)
+
+
+def test_two_landing_folders(spark, telemetry):
+    silver = new_table(spark)
+    for odd in (0, 1):
+        landing = fresh_path(spark, "landing")
+        telemetry.filter(F.col("flight_id") % 2 == odd).coalesce(1).write.parquet(landing)
+        load(spark, landing, silver)
+    assert same_rows(silver, telemetry)
+
+
+def test_old_files_are_loaded(spark, telemetry):
+    landing, checkpoint, silver = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint"), new_table(spark)
+    telemetry.filter("flight_id % 2 = 0").coalesce(1).write.parquet(landing)
+    load(spark, landing, silver, checkpoint)
+    telemetry.filter("flight_id % 2 = 1").coalesce(1).write.mode("append").parquet(landing)
+    loaded = {r.file_path for r in loads_of(silver).loaded(silver).collect()}
+    for file in Path(landing.removeprefix("file://")).glob("*.parquet"):
+        if file.name not in {p.rsplit("/", 1)[-1] for p in loaded}:
+            os.utime(file, (time.time() - 9 * 86_400,) * 2)
+    load(spark, landing, silver, checkpoint)
+    assert same_rows(silver, telemetry)
+
+
+@pytest.mark.parametrize("step", ["begin", "write", "finish"])
+@pytest.mark.parametrize("same_checkpoint", [True, False])
+def test_a_crash_neither_loses_nor_doubles(spark, telemetry, monkeypatch, step, same_checkpoint):
+    """The load breaks off after noting the files, after writing rows, or before the last note."""
+    landing, silver = fresh_path(spark, "landing"), new_table(spark)
+    checkpoint = fresh_path(spark, "checkpoint")
+    telemetry.coalesce(2).write.parquet(landing)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        owner = CatalogTable if step == "write" else FileLoads
+        if step == "write":
+            plain = CatalogTable.write_batch
+            patch.setattr(owner, "write_batch", lambda t, df, b: crash() if t.name == silver.name else plain(t, df, b))
+        else:
+            patch.setattr(owner, step, crash)
+        with pytest.raises(Exception, match="lost"):
+            load(spark, landing, silver, checkpoint)
+    load(spark, landing, silver, checkpoint if same_checkpoint else None)
+    load(spark, landing, silver, checkpoint)
+    assert same_rows(silver, telemetry)
+
+
+def test_intake_after_a_crash_and_a_load(spark, sf_dir, monkeypatch):
+    """Flights that are loaded already are not written again under new names."""
+    silver, gold = new_table(spark), new_table(spark)
+    tables, checkpoint = intake_tables(spark, silver), fresh_path(spark, "checkpoint")
+    files = fx.recordings(spark, sf_dir)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "status_rows", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_intake(*files, tables, NOW)
+    load(spark, tables.landing, silver, checkpoint)
+    before = silver.read().count()
+    run_pipeline(spark, *files, tables, silver, gold, checkpoint, NOW)
+    assert silver.read().count() == before > 0
+    assert before == tables.lengths.read().agg(F.sum("n_rows")).first()[0]
+
+
+def test_gold_waits_for_complete_flights(spark, telemetry):
+    """A flight that arrives in two files enters Gold once, with all its rows."""
+    silver, gold, lengths = new_table(spark), new_table(spark), new_table(spark)
+    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
+    flights = telemetry.filter("flight_id < 6")
+    lengths.append(flights.groupBy("flight_id").agg(F.count("*").alias("n_rows")))
+    half = F.col("flight_phase") <= 3
+    seen = []
+    for part in (flights.filter((F.col("flight_id") != 3) | half), flights.filter((F.col("flight_id") == 3) & ~half)):
+        part.coalesce(1).write.mode("append").parquet(landing)
+        load(spark, landing, silver, checkpoint, gold=gold, lengths=lengths)
+        seen.append({r.flight_id for r in gold.read().collect()})
+    assert 3 not in seen[0] and 3 in seen[1]
+    expected = gold_rows(flights, NOW).select("flight_id", "flight_phase", "duration_sec")
+    found = gold.read().select(expected.columns)
+    assert found.exceptAll(expected).isEmpty() and found.count() == expected.count()
+
+
+def test_each_refresh_reads_the_clock(spark, telemetry):
+    silver, gold = new_table(spark), new_table(spark)
+    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
+    times = iter(["2024-01-01 00:00:00", "2024-01-02 00:00:00"])
+    for flight in (1, 2):
+        telemetry.filter(F.col("flight_id") == flight).coalesce(1).write.mode("append").parquet(landing)
+        load(spark, landing, silver, checkpoint, gold=gold, now=lambda: next(times))
+    days = {(r.flight_id, str(r.record_created_at)[:10]) for r in gold.read().collect()}
+    assert days == {(1, "2024-01-01"), (2, "2024-01-02")}
+
+
+def test_the_chain_repeats_when_files_arrive(spark, sf_dir):
+    silver, gold = new_table(spark), new_table(spark)
+    tables, checkpoint, incoming = intake_tables(spark, silver), fresh_path(spark, "stream"), fresh_path(spark, "in")
+    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    for here in (listing.filter("relative_path < 'in/5'"), None, listing):
+        if here is not None:
+            here.select("relative_path").coalesce(1).write.mode("append").text(incoming)
+        asked = []
+        repeat_pipeline(
+            spark, incoming, lambda: asked.append(1) or (here, attrs, samples), tables, silver, gold, checkpoint, NOW
+        ).awaitTermination()
+        assert len(asked) == (here is not None)
+        assert here is None or tables.status.read().count() == here.count()
+    assert gold.read().select("flight_id").distinct().count() == tables.bronze.read().count()
 
 
 def test_failed_refresh_is_repeated_without_loading_twice(spark, telemetry):
     landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
-    silver = snapshot(spark, SILVER)
+    silver = new_table(spark)
     telemetry.limit(40).coalesce(1).write.parquet(landing)
     calls = []
 
@@ -106,7 +229,7 @@ def test_failed_refresh_is_repeated_without_loading_twice(spark, telemetry):
 
 def test_stream_on_a_schedule(spark, telemetry):
     landing = fresh_path(spark, "landing")
-    silver = snapshot(spark, SILVER)
+    silver = new_table(spark)
     telemetry.limit(30).coalesce(1).write.parquet(landing)
     query = load_landed(
         spark, landing, silver, fresh_path(spark, "checkpoint"), every="1 second"
@@ -133,7 +256,7 @@ def test_stream_into_catalog_tables(spark, telemetry):
 
 def test_stream_calls_gold_after_each_load(spark, telemetry):
     landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
-    silver, gold = snapshot(spark, SILVER), snapshot(spark, GOLD)
+    silver, gold = new_table(spark), new_table(spark)
     telemetry.filter("flight_id < 20").coalesce(1).write.parquet(landing)
     load_landed(spark, landing, silver, checkpoint, gold, NOW).awaitTermination()
     assert gold.read().select("flight_id").distinct().count() == (
@@ -196,7 +319,7 @@ def test_pipeline_without_any_good_file(spark, sf_dir):
     listing, attrs, signals = fx.recordings(spark, sf_dir)
     message, run = run_pipeline(
         spark, listing, attrs, signals.filter("param <> 'FlightPhase'"), tables,
-        snapshot(spark, SILVER), snapshot(spark, GOLD), fresh_path(spark, "checkpoint"), NOW,
+        new_table(spark), new_table(spark), fresh_path(spark, "checkpoint"), NOW,
     )
     assert run == GoldRun(0, 0)
     assert tables.status.read().filter("status = 'Failed'").count() == listing.count()
@@ -207,7 +330,7 @@ def test_pipeline_with_an_empty_listing(spark, sf_dir):
     listing, attrs, signals = fx.recordings(spark, sf_dir)
     message, run = run_pipeline(
         spark, listing.limit(0), attrs, signals, tables,
-        snapshot(spark, SILVER), snapshot(spark, GOLD), fresh_path(spark, "checkpoint"), NOW,
+        new_table(spark), new_table(spark), fresh_path(spark, "checkpoint"), NOW,
     )
     assert message.endswith("processed: 0") and run == GoldRun(0, 0)
 
@@ -231,7 +354,9 @@ def test_intake_with_more_files_than_are_broadcast(spark, sf_dir, monkeypatch):
     run_intake(*files, few, NOW)
     monkeypatch.setattr(ingest, "fits_broadcast", lambda _: False)
     run_intake(*files, many, NOW)
-    assert few.status.read().exceptAll(many.status.read()).count() == 0
+    # the folder, which the message names too, is each run's own
+    without_folder = [t.status.read().drop("output_file_path", "status_msg") for t in (few, many)]
+    assert without_folder[0].exceptAll(without_folder[1]).count() == 0
 
 
 def test_intake_into_catalog_tables(spark, sf_dir):

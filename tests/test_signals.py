@@ -156,6 +156,16 @@ def test_index_gap_is_a_fault(spark):
     assert [f.fault for f in faults] == ["gaps in FlightPhase"]
 
 
+@pytest.mark.parametrize("places", [(0, 0, 2), (1, 1, 1, 3), (-1, 0, 2)])
+def test_repeated_and_negative_places(spark, places):
+    """Count and last place alone would look complete."""
+    rows = [(1, "FlightPhase", i, 1.0, None) for i in range(3)]
+    rows += [(1, "Airspeed", i, 1.0, None) for i in places]
+    faults = sg.rejected_flights(sg.signal_profile(spark.createDataFrame(rows, SIGNALS))).collect()
+    kind = "repeated samples" if len(set(places)) < len(places) else "gaps"
+    assert [f.fault for f in faults] == [f"{kind} in Airspeed"]
+
+
 def test_text_is_cleaned_and_its_maximum_used(spark):
     rows, _ = run(spark, {1: {"FlightPhase": [1, 2, 3], "AircraftTail": ["TL-1 x", "TL-9ab", "A"]}})
     assert [r.aircraft_tail for r in rows] == ["TL-9"] * 3

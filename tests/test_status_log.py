@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 from flightloom.operators import audits, keys, manifest, metadata, mutation, status
 from flightloom.plans import status_session
 from flightloom.schemas import BRONZE, FLIGHT_ATTRS, FLIGHT_IDS, STATUS
-from flightloom.session import fresh_path
-from flightloom.sources.tables import SnapshotTable
+from flightloom.workload.queries import fresh_table
 
 NOW = "2024-05-05 10:00:00"
 
@@ -92,7 +91,7 @@ def test_statements_parse(spark):
 
 
 def test_session_round_trip(spark):
-    table = SnapshotTable(spark, fresh_path(spark, "log"), STATUS)
+    table = fresh_table(spark, "log")
     table.append(log(spark, [("flight_1", "Completed")]))
     new = [("/test/pyspark_a.h5", "pyspark_a.h5", "h1", "out/a", "first"),
            ("/test/pyspark_b.h5", "pyspark_b.h5", "h2", "out/b", "second")]

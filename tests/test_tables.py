@@ -1,4 +1,4 @@
-"""Snapshot tables, loads by name, listings, catalog settings."""
+"""Catalog tables, loads by name, listings, catalog settings."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +9,7 @@ from flightloom.session import fresh_path, settle, shared_folder
 from flightloom.sources.by_name import AmbiguousColumns, load_by_name, project_by_name
 from flightloom.sources.catalog import rest_catalog_settings
 from flightloom.sources.listing import list_files
-from flightloom.sources.tables import CatalogTable, MissingTable, SnapshotTable
+from flightloom.workload.queries import fresh_table
 
 NUMBERS = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.StringType())])
 
@@ -24,14 +24,12 @@ def ids(table):
 
 @pytest.fixture
 def table(spark):
-    return SnapshotTable(spark, fresh_path(spark, "t"), NUMBERS)
+    return fresh_table(spark, "t")
 
 
 def test_missing_table(table):
     assert not table.exists()
     assert table.read_or_none() is None
-    with pytest.raises(MissingTable):
-        table.read()
 
 
 def test_append_and_replace(spark, table):
@@ -43,14 +41,6 @@ def test_append_and_replace(spark, table):
     assert ids(table) == [2, 3, 4]
 
 
-def test_named_batch_is_added_once(spark, table):
-    assert table.append(numbers(spark, 1), batch=("b", 0))
-    assert not table.append(numbers(spark, 1), batch=("b", 0))
-    table.replace(table.read())
-    assert not table.append(numbers(spark, 1), batch=("b", 0))
-    assert ids(table) == [1]
-
-
 def test_failed_write_leaves_the_old_rows(spark, table):
     table.append(numbers(spark, 1))
     bad = numbers(spark, 2).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
@@ -59,27 +49,20 @@ def test_failed_write_leaves_the_old_rows(spark, table):
     assert ids(table) == [1]
 
 
-def test_empty_append(spark, table):
-    table.append(numbers(spark, 1).filter("id > 5"))
-    assert table.exists() and ids(table) == []
-
-
-def test_catalog_table_appends_by_name(spark):
-    table = CatalogTable(spark, "by_name_test")
-    assert table.read_or_none() is None
+def test_append_by_name(spark, table):
     table.append(numbers(spark, 1))
     table.append(numbers(spark, 2).select("v", "id"))
     assert sorted((r.id, r.v) for r in table.read().collect()) == [(1, "v1"), (2, "v2")]
 
 
-def test_catalog_table_adds_a_batch_once(spark):
-    table = CatalogTable(spark, "batch_test")
-    assert table.append(numbers(spark, 1), batch=("s", 0))
-    assert not table.append(numbers(spark, 1), batch=("s", 0))
-    assert table.append(numbers(spark, 2), batch=("s", 1))
-    assert not table.append(numbers(spark, 1), batch=("s", 0))
-    assert table.append(numbers(spark, 3), batch=("other", 0))
-    assert ids(table) == [1, 2, 3]
+def test_a_batch_overwrites_itself_only(spark, table):
+    table.write_batch(numbers(spark, 1, 2), "a-0")
+    table.write_batch(numbers(spark, 3), "b-0")
+    table.write_batch(numbers(spark, 4), "a-0")
+    assert ids(table) == [3, 4] and table.read().columns == NUMBERS.names
+    assert table.has_batch("b-0") and not table.has_batch("c-0")
+    table.write_batch(numbers(spark, 5).limit(0), "a-0")
+    assert ids(table) == [3]
 
 
 def test_load_by_name(spark):
@@ -131,6 +114,14 @@ def test_listing(spark, tmp_path):
     assert after.etag != before
 
 
+def test_listing_of_a_folder_whose_name_occurs_earlier(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "e" / "f"
+    folder.mkdir(parents=True)
+    (folder / "x.h5").write_bytes(b"1")
+    for name in (str(tmp_path / "e"), f"file:{tmp_path}/e/", f"file://{tmp_path}/e"):
+        assert [r.relative_path for r in list_files(spark, name).collect()] == ["f/x.h5"]
+
+
 def test_listing_reads_no_contents(spark, tmp_path):
     (tmp_path / "x.h5").write_bytes(b"1")
     plan = list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
