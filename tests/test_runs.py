@@ -372,3 +372,26 @@ def test_intake_into_catalog_tables(spark, sf_dir):
     message = run_intake(*files, tables, NOW, retry_failed=True)
     assert message.endswith(f"processed: {failed}")
     assert tables.ids.read().count() == total
+
+
+def test_commands_from_files_to_gold(spark, sf_dir, tmp_path):
+    """intake, load and run on named tables; the incoming files only set off the work."""
+    from flightloom.__main__ import intake_command, load_command, parser, run_command
+
+    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    names = sorted(r.relative_path for r in listing.collect())
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    attrs.write.saveAsTable("cmd_attrs")
+    samples.write.saveAsTable("cmd_signals")
+    common = ["--incoming", str(tmp_path), "--attrs", "cmd_attrs", "--signals", "cmd_signals", "--silver", "cmd_silver"]
+    landing = ["--landing", fresh_path(spark, "landing"), "--prefix", "cmd_"]
+    args = parser().parse_args(["intake", *common, *landing])
+    assert intake_command(spark, args).endswith(f"processed: {len(names)}")
+    stream = ["--silver", "cmd_silver", "--gold", "cmd_gold", "--checkpoint", fresh_path(spark, "stream")]
+    load_command(spark, parser().parse_args(["load", *stream, *landing[:2], "--lengths", "cmd_lengths"]))
+    before = spark.table("cmd_gold").count()
+    assert before > 0
+    run_command(spark, parser().parse_args(["run", *common, *landing, *stream[2:]]))
+    assert spark.table("cmd_gold").count() == before
