@@ -51,6 +51,7 @@ class Metric:
         return f"{value} AS {self.name}"
 
 
+# The metrics, their channels and limits.
 METRIC_GROUPS: dict[str, tuple[Metric, ...]] = {
     "fuel": (Metric("fuel_mean_flow_kg_hr", "fuel_flow_total", "mean"),),
     "n1": (

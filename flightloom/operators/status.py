@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flightloom.functions.columns import file_name_of, short_message, utc_literal
 from flightloom.schemas import STATUS
 
+# States, the name pattern of test rows, and below the texts of messages.
 COMPLETED, FAILED, PENDING = "Completed", "Failed", "Pending"
 TEST_NAMES = "pyspark_%"  # `_` stands for any one character
 LITERAL_TEST_NAMES = r"pyspark\_%"

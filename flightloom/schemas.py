@@ -63,6 +63,7 @@ def _silver_type(column: str) -> T.DataType:
     return T.IntegerType() if column == "flight_phase" else T.DoubleType()
 
 
+# Column names, types and order.
 STATUS = _struct(
     ("file_relative_path", T.StringType()),
     ("input_file_name", T.StringType()),
@@ -73,6 +74,7 @@ STATUS = _struct(
     ("file_processed_dt", T.TimestampNTZType()),
 )
 
+# Column names, types and order.
 BRONZE = _struct(
     ("flight_id", T.IntegerType()),
     ("file_name", T.StringType()),

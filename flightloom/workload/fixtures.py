@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flightloom.functions.columns import utc_literal
 from flightloom.operators.gold import gold_rows
-from flightloom.operators.ranking import running_counts
+from flightloom.workload.ranking import running_counts
 from flightloom.schemas import FLIGHT_ATTRS, SILVER
 
 EARLIER = "2024-06-01 00:00:00"
@@ -88,30 +88,37 @@ def _page_file_name() -> Column:
     return F.concat(prefix, F.col("page_id").cast("string"), F.lit(".h5"))
 
 
-def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _log(pages: DataFrame) -> DataFrame:
     failed = F.col("page_id") % 5 == 0
     start = utc_literal("2024-01-01 00:00:00")
     path = _page_path("in/", ".h5")
-    return (
-        table(spark, sf_dir, "pages")
-        .filter(F.col("page_id") % 3 == 0)
-        .select(
-            path.alias("file_relative_path"),
-            _page_file_name().alias("input_file_name"),
-            F.md5(path).alias("input_file_hash_rel"),
-            _page_path("out/", ".parquet").alias("output_file_path"),
-            F.when(failed, "Failed").otherwise("Completed").alias("status"),
-            F.when(failed, "error").otherwise("ok").alias("status_msg"),
-            F.timestamp_add("MINUTE", F.col("page_id"), start).alias("file_processed_dt"),
-        )
+    return pages.select(
+        path.alias("file_relative_path"),
+        _page_file_name().alias("input_file_name"),
+        F.md5(path).alias("input_file_hash_rel"),
+        _page_path("out/", ".parquet").alias("output_file_path"),
+        F.when(failed, "Failed").otherwise("Completed").alias("status"),
+        F.when(failed, "error").otherwise("ok").alias("status_msg"),
+        F.timestamp_add("MINUTE", F.col("page_id"), start).alias("file_processed_dt"),
     )
 
 
+def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _log(table(spark, sf_dir, "pages"))
+
+
+def earlier_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log while two thirds of the files were still pending."""
+    return _log(table(spark, sf_dir, "pages").filter(F.col("page_id") % 3 == 0))
+
+
 def status_updates(spark: SparkSession, sf_dir: str, now: str = NOW) -> DataFrame:
-    """Every fifth page is reported again; most of these names are not in the log."""
+    """Every fifth page is reported again, half of them under names that are not in the log."""
+    unknown = F.when(F.col("page_id") % 10 == 0, F.col("page_id") + 1_000_000)
     return (
         table(spark, sf_dir, "pages")
         .filter(F.col("page_id") % 5 == 0)
+        .withColumn("page_id", F.coalesce(unknown, F.col("page_id")))
         .select(
             _page_file_name().alias("input_file_name"),
             F.lit("Completed").alias("status"),

@@ -74,7 +74,7 @@ LOG_CTE = (
            CASE WHEN page_id % 5 = 0 THEN 'Failed' ELSE 'Completed' END AS status,
            CASE WHEN page_id % 5 = 0 THEN 'error' ELSE 'ok' END AS status_msg,
            TIMESTAMP '2024-01-01 00:00:00' + to_minutes(page_id) AS file_processed_dt
-    FROM pages WHERE page_id % 3 = 0
+    FROM pages
     """,
 )
 
@@ -84,7 +84,8 @@ UPDATES_CTE = (
     SELECT {_FILE_NAME} AS input_file_name, 'Completed' AS status,
            concat('retried ', CAST(page_id AS VARCHAR)) AS status_msg,
            TIMESTAMP '{NOW}' AS file_processed_dt
-    FROM pages WHERE page_id % 5 = 0
+    FROM (SELECT CASE WHEN page_id % 10 = 0 THEN page_id + 1000000 ELSE page_id END AS page_id
+          FROM pages WHERE page_id % 5 = 0)
     """,
 )
 
@@ -550,8 +551,11 @@ def sql() -> dict[str, str]:
             LOG_CTE,
             body="""
             SELECT v.relative_path, v.file_hash_relpath, v.source_stage, v.target_stage
-            FROM dir_view v LEFT JOIN status_log s
-              ON md5(v.relative_path) = s.input_file_hash_rel
+            FROM dir_view v LEFT JOIN (
+              SELECT s.* FROM status_log s JOIN pages p
+                ON s.file_relative_path = concat('in/', CAST(p.page_id AS VARCHAR), '.h5')
+              WHERE p.page_id % 3 = 0
+            ) s ON md5(v.relative_path) = s.input_file_hash_rel
             WHERE s.file_relative_path IS NULL AND v.size > 0
             """,
         ),

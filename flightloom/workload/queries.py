@@ -164,14 +164,14 @@ def dir_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = manifest.directory_view(fx.dir_listing(spark, sf_dir))
-    return manifest.pending_files(view, fx.status_log(spark, sf_dir)).select(
+    return manifest.pending_files(view, fx.earlier_log(spark, sf_dir)).select(
         "relative_path", "file_hash_relpath", "source_stage", "target_stage"
     )
 
 
 def assign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logged files keep the id of their page; pending files continue after the highest."""
-    assigned = fx.status_log(spark, sf_dir).select(
+    assigned = fx.earlier_log(spark, sf_dir).select(
         "input_file_hash_rel",
         F.regexp_extract("file_relative_path", "([0-9]+)", 1).cast("int").alias("flight_id"),
     )

@@ -190,7 +190,7 @@ def test_fixture_expectations(spark, sf_dir):
 
     queries = contract.queries()
     assert queries["pending_files"](spark, sf_dir).count() == 156
-    assert queries["filter_like"](spark, sf_dir).count() == 21
+    assert queries["filter_like"](spark, sf_dir).count() == 63
     assert queries["new_flights"](spark, sf_dir).count() == 34
     assert queries["dq_pk"](spark, sf_dir).count() == 4
     orphans = queries["dq_fk"](spark, sf_dir).agg(F.sum("n_rows")).first()[0]
