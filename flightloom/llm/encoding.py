@@ -10,10 +10,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 import numpy as np  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-KNOWN_CHUNKS = 400_000  # of them kept in a task, about 100 MB
-KEPT_CHUNKS = 150_000  # of them kept when it is full: the first ones met, which are the common ones
+KNOWN_CHUNKS = 800_000  # of them kept in a task, about 200 MB
+KEPT_CHUNKS = 400_000  # of them kept when it is full: the first ones met, which are the common ones
 LONGEST_CHUNK = 80  # characters; longer chunks are not remembered
-TEXTS_AT_ONCE = 200
+CHARACTERS_AT_ONCE = 2_000_000  # of the texts that are cut up together
 MARKS = ".,!|;:?"
 LATIN = "ɏ"
 
@@ -21,10 +21,10 @@ LATIN = "ɏ"
 class ChunkEncoder:
     """``encode`` gives each text's ids, exactly those of the tokenizer on the whole text.
 
-    A text is cut at single spaces. That is safe where the tokenizer's own word splitting puts a
-    boundary at such a space: with ``space_joins_next`` a space belongs to the word that follows it
-    (byte-level BPE), else spaces are dropped. Texts in which a cut would touch other white space are
-    encoded whole. Ids are little-endian unsigned numbers of ``width`` bytes.
+    A text is cut at single spaces and newlines. That is safe where the tokenizer's own word splitting
+    puts a boundary there: with ``space_joins_next`` a space belongs to the word that follows it and a
+    newline between words is a piece of its own (byte-level BPE), else white space is dropped. Texts in
+    which a cut would touch further white space are encoded whole. Ids are little-endian unsigned numbers of ``width`` bytes.
     """
 
     def __init__(self, path: str, space_joins_next: bool, width: int = 4):
@@ -35,8 +35,8 @@ class ChunkEncoder:
         self.between = "\n" if space_joins_next else " <|startoftext|> "
         self.mark = self.between.strip() or self.between
         self.mark_id = self._ids([self.mark])[0][0]
-        self.starts: dict[str, bytes | None] = {}
         self.known: dict[str, bytes | None] = {}
+        self.newline = self._bytes(["\n"])[0] if space_joins_next else b""
         self.marks = {m: self._bytes([m])[0] for m in MARKS}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -45,57 +45,76 @@ class ChunkEncoder:
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(ids, self.dtype).tobytes() for ids in self._ids(texts)]
 
+    def _together(self, pieces: list[str], lead: str, head: bytes = b"") -> None:
+        """Learns many chunks, each lead + piece, from one encoded string."""
+        if not pieces:
+            return
+        text = self.between.join((lead if lead != "\n" else "") + p for p in pieces)
+        ids = np.array(self._ids([text])[0], self.dtype)
+        bounds = np.r_[-1, np.flatnonzero(ids == self.mark_id), ids.size]
+        size, data, known = self.dtype.itemsize, ids.tobytes(), self.known
+        name = "\n" if lead == "\n" else ""
+        for p, a, b in zip(pieces, ((bounds[:-1] + 1) * size).tolist(), (bounds[1:] * size).tolist()):
+            known[name + p] = head + data[a:b]
+
     def _learn(self, chunks: set[str]) -> None:
-        known = self.known
-        together, apart, ending = [], [], []
+        known, marks = self.known, self.marks
+        lines: set[str] = set()
+        words: set[str] = set()
+        lined, ending, apart = [], [], []
         for c in chunks:
-            if c[-1:] in self.marks and c[:-1].isalpha() and max(c) <= LATIN:
+            if self.space and c[:1] == "\n":  # the start of a line: no space before it
+                body = c[1:]
+                if not body or len(body.split()) != 1 or body[0].isspace() or body[-1].isspace():
+                    known[c] = None
+                elif body[-1] in marks and body[:-1].isalpha() and max(body) <= LATIN:
+                    lines.add(body[:-1])
+                    lined.append(c)
+                elif "<|" in body or len(body) > LONGEST_CHUNK:
+                    apart.append(c)
+                else:
+                    lines.add(body)
+            elif c[-1:] in marks and c[:-1].isalpha() and max(c) <= LATIN:
+                words.add(c[:-1])
                 ending.append(c)
             elif self.space and (not c or c[0].isspace() or c[-1].isspace()):
                 known[c] = None
-            elif "<|" in c or len(c) > LONGEST_CHUNK or len(c.split()) != 1 or self.mark in c:
+            elif "<|" in c or len(c) > LONGEST_CHUNK or len(c.split()) != 1:
                 apart.append(c)
             else:
-                together.append(c)
-        words = {c[:-1] for c in ending}
-        together += [w for w in words if w not in known and w not in chunks]
-        if together:
-            joined = self.between.join(self.space + c for c in together)
-            ids = np.array(self._ids([joined])[0], self.dtype)
-            cuts = np.flatnonzero(ids == self.mark_id)
-            bounds = np.r_[-1, cuts, ids.size]
-            size, data = self.dtype.itemsize, ids.tobytes()
-            for c, a, b in zip(together, (bounds[:-1] + 1).tolist(), bounds[1:].tolist()):
-                known[c] = data[a * size : b * size]
-        if apart:
-            known.update(zip(apart, self._bytes([self.space + c for c in apart])))
-        for c in ending:
-            known[c] = known[c[:-1]] + self.marks[c[-1]]
+                words.add(c)
+        self._together([w for w in words if w not in known], self.space)
+        self._together([w for w in lines if "\n" + w not in known], "\n", self.newline)
+        known.update(zip(apart, self._bytes([c if self.space and c[0] == "\n" else self.space + c for c in apart])))
+        for c in ending + lined:
+            known[c] = known[c[:-1]] + marks[c[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for i in range(0, len(texts), TEXTS_AT_ONCE):
-            out += self._encode(texts[i : i + TEXTS_AT_ONCE])
-        return out
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= CHARACTERS_AT_ONCE:
+                out += self._encode(group)
+                group, size = [], 0
+        return out + self._encode(group)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        firsts: dict[str, bytes | None] = {}
         if self.space:
-            heads = {cs[0] for cs in split}
-            firsts = {c: None if c[:1].isspace() or c[-1:].isspace() else b"" for c in heads}
-            asked = [c for c in heads if c and firsts[c] is not None]
-            firsts.update(zip(asked, self._bytes(asked)))
-            rests = [cs[1:] for cs in split]
+            # a text starts like a line, but without the newline's id
+            split = [("\n" + t).replace("\n", " \n")[1:].split(" ") for t in texts]
         else:
-            rests = split
-        new = set().union(*rests).difference(self.known)
+            split = [t.replace("\n", " ").split(" ") for t in texts]
+        new = set().union(*split).difference(self.known)
         self._learn(new)
-        get, out = self.known.__getitem__, []
-        for text, chunks, rest in zip(texts, split, rests):
-            head = firsts[chunks[0]] if self.space else b""
+        get, skip, out = self.known.__getitem__, len(self.newline), []
+        for text, chunks in zip(texts, split):
             try:
-                out.append(head + b"".join(map(get, rest)))
+                if self.space and " \n" in text:
+                    raise TypeError
+                out.append(b"".join(map(get, chunks))[skip:])
             except TypeError:  # a chunk without ids of its own
                 out.append(self._bytes([text])[0])
         for c in new:

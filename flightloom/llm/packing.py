@@ -17,6 +17,7 @@ from flightloom.session import settle
 
 LENGTH = 1024  # ids per sequence
 END_ID = 0
+ROWS_AT_ONCE = 1_000
 WINDOW = 256 * LENGTH  # ids in which the target proportions hold
 QUEUES = 1024  # the largest sources have a queue each; all others share the last
 WIDTH = 2  # bytes per stored id; the vocabulary has 50,257
@@ -29,8 +30,8 @@ def tokenized(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iter
     end = np.array([end_id], f"<u{WIDTH}").tobytes()
     part, source, at = TaskContext.get().partitionId(), None, 0
     for batch in batches:
-        for i in range(0, batch.num_rows, 100):
-            rows = batch.slice(i, 100)
+        for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+            rows = batch.slice(i, ROWS_AT_ONCE)
             ids = [b + end for b in encode(rows.column(2).to_pylist())]
             starts = []
             for name, data in zip(rows.column(0).to_pylist(), ids):
@@ -102,9 +103,9 @@ def pieces(
     batches: Iterator[pa.RecordBatch], rounds: Rounds, length: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i in range(0, batch.num_rows, 500):
+        for i in range(0, batch.num_rows, ROWS_AT_ONCE):
             out: list[tuple] = []
-            rows = batch.slice(i, 500)
+            rows = batch.slice(i, ROWS_AT_ONCE)
             for doc_id, queue, start, n, data in zip(*(c.to_pylist() for c in rows.columns)):
                 ids = np.frombuffer(data, f"<u{WIDTH}").astype("<u4").tobytes()
                 for at, place, size in rounds.spans(queue, start, n):
