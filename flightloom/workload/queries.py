@@ -191,8 +191,10 @@ def output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- Signals ---------------------------------------------------------------------------------
 
 
-def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settle(signals.signal_profile(fx.signals(spark, sf_dir)), "profile")
+def _settled_signals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The samples and their profile, each derived once and read back."""
+    samples = settle(fx.signals(spark, sf_dir), "samples")
+    return samples, settle(signals.signal_profile(samples), "profile")
 
 
 def rename_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,8 +216,8 @@ def signal_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resampled(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        profile = _profile(spark, sf_dir)
-        return rounded(signals.resample(fx.signals(spark, sf_dir), profile, [kind]))
+        samples, profile = _settled_signals(spark, sf_dir)
+        return rounded(signals.resample(samples, profile, [kind]))
 
     return run
 
@@ -230,11 +232,14 @@ def _departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attrs.select("flight_id", "flight_departure_dttm")
 
 
+def _aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples, profile = _settled_signals(spark, sf_dir)
+    frames = settle(signals.flight_frames(profile), "frames")
+    return signals.assemble(samples, profile, _departures(spark, sf_dir), frames=frames)
+
+
 def silver_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = signals.assemble(
-        fx.signals(spark, sf_dir), _profile(spark, sf_dir), _departures(spark, sf_dir)
-    )
-    return rounded(wide)
+    return rounded(_aligned(spark, sf_dir))
 
 
 def reject_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,12 +264,7 @@ def silver_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flights are written twice; the second write replaces the files of the first."""
     path = fresh_path(spark, "flights")
-    wide = settle(
-        signals.assemble(
-            fx.signals(spark, sf_dir), _profile(spark, sf_dir), _departures(spark, sf_dir)
-        ),
-        "silver",
-    )
+    wide = settle(_aligned(spark, sf_dir), "silver")
     write_flight_files(wide, path)
     write_flight_files(wide, path)
     return rounded(load_by_name(spark, path, SILVER))
