@@ -1,20 +1,6 @@
 import pytest
 
-COLUMNS = (
-    "doc_id long, text string, lang string, source string, n_chars long, "
-    # names that operators use inside or return
-    "key string, size long, shard int, slice int, digest string, host string, line string, words string, "
-    "fp long, kept boolean, rank int, target double, content string, label string, score double, part int"
-)
-
-
-def rows_of(texts):
-    """(doc_id, text, source) with the other columns filled."""
-    return [
-        (d, t, "en", s, None if t is None else len(t), "k", 1, 2, 3, "d", "h", "l", "w", 4, True, 5, 0.5, "c", "x", 0.1, 6)
-        for d, t, s in texts
-    ]
-
+from edge_rows import COLUMNS, EDGE, rows_of  # noqa: I001
 
 @pytest.fixture(scope="session")
 def make_docs(spark):
@@ -24,24 +10,6 @@ def make_docs(spark):
     return make
 
 
-EDGE = [
-    (1, "alpha beta gamma delta", "a"),
-    (2, "alpha beta gamma delta", "b"),
-    (2, "alpha beta gamma delta", "b"),  # a repeated row
-    (3, None, "a"),
-    (4, "", None),
-    (5, " \t\n ", "a"),
-    (None, "no id", None),
-    (7, None, None),
-    (8, "Alpha beta gamma delta", "a"),
-    (9, "x" * 30_000 + " end", "b"),
-    (10, "All rights reserved. cc by 4.0, General Public License", "b"),
-    (11, "ünï çödé 日本 \U0001f600 ĳ", "é"),
-    (2, "another text under the id 2", "a"),
-    (12, "word " * 20_000, "c"),
-]
-
-
 @pytest.fixture(scope="session")
 def edge(make_docs):
     return make_docs(EDGE)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flightloom.llm.exact_dedup import exact_dedup, sha256_of
 
-from conftest import EDGE  # noqa: I001
+from edge_rows import EDGE  # noqa: I001
 
 
 def expected(rows):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from flightloom.llm.licenses import BASE, license_passages, scan_licenses
 
-from conftest import EDGE  # noqa: I001
+from edge_rows import EDGE  # noqa: I001
 
 
 def words_of(text):

@@ -2,7 +2,7 @@ from collections import defaultdict
 
 from flightloom.llm.line_dedup import dedup_lines
 
-from conftest import EDGE  # noqa: I001
+from edge_rows import EDGE  # noqa: I001
 
 
 def expected(rows, ratio, least):

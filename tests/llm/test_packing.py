@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from flightloom.llm.packing import Rounds, pack
 
-from conftest import EDGE  # noqa: I001
+from edge_rows import EDGE  # noqa: I001
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)

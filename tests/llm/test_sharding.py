@@ -8,7 +8,7 @@ import pytest
 from flightloom.llm import sharding
 from flightloom.llm.sharding import minimax_cuts, shard_documents
 
-from conftest import EDGE  # noqa: I001
+from edge_rows import EDGE  # noqa: I001
 
 
 def smallest_capacity(sizes, shards):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from flightloom.llm import simhash
 from flightloom.llm.simhash import fingerprint, fingerprint_links, keep_one_of_each, near_duplicates
 
-from conftest import EDGE  # noqa: I001
+from edge_rows import EDGE  # noqa: I001
 from test_components import brute as components_of
 
 

@@ -12,7 +12,7 @@ from flightloom.llm.encoding import ChunkEncoder
 from flightloom.llm.token_codes import Codes, encode_codes, token_round_trip, write_token_files
 from flightloom.session import fresh_path
 
-from conftest import EDGE  # noqa: I001
+from edge_rows import EDGE  # noqa: I001
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
