@@ -147,9 +147,11 @@ def component_of_fingerprints(rows: DataFrame, radius: int = RADIUS) -> DataFram
     linked = roots.withColumnRenamed("node", "fp").join(fps, "fp")
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_linked = linked.join(smallest, "root").select("fp", "component_id")
-    return fps.join(of_linked, "fp", "left").select(
+    labelled = fps.join(of_linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")
     )
+    # settled, so that the join with the documents reads shuffles only and hot keys can be split
+    return settle(labelled, "component-of-fingerprints")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
