@@ -30,6 +30,7 @@ MAGIC = b"DAC1"
 CHUNK_BITS = 8
 BLOCK = 512  # positions per directory entry
 END_ID = 1
+ROWS_AT_ONCE = 1_000
 CONTAINER_IDS = 1_000_000  # a container is closed at the document that reaches it
 
 
@@ -135,8 +136,9 @@ def containers(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Ite
     for batch in batches:
         ids = batch.column(0).to_pylist()
         texts = batch.column(1)
-        for i in range(0, len(ids), 100):
-            for doc_id, tokens in zip(ids[i : i + 100], encode(texts.slice(i, 100).to_pylist())):
+        for i in range(0, len(ids), ROWS_AT_ONCE):
+            encoded = encode(texts.slice(i, ROWS_AT_ONCE).to_pylist())
+            for doc_id, tokens in zip(ids[i : i + ROWS_AT_ONCE], encoded):
                 doc_ids.append(doc_id)
                 pieces.append(tokens + end)
                 held += len(tokens) // 4 + 1
