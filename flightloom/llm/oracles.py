@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flightloom.llm import licenses, line_dedup, mixing
+from flightloom.llm import licenses, line_dedup, mixing, quality_rules
 
 SIZE = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT"
 
@@ -137,9 +137,53 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, fir
 FROM w LEFT JOIN f USING (doc_id)
 """
 
+BLANK = r"[\x20\x09-\x0D]+"
+NORMAL = f"trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{BLANK}', ' ', 'g'))"
+OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS lines,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), g AS (
+  SELECT doc_id, unnest(range(len(words) - 2)) AS i, unnest(words[:-3]) AS a, unnest(words[2:-2]) AS b, unnest(words[3:]) AS c
+  FROM d WHERE len(words) > 2
+), r AS (
+  SELECT doc_id, count(DISTINCT place)::BIGINT AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place
+        FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS k FROM g) WHERE k > 1)
+  GROUP BY doc_id
+), l AS (
+  SELECT doc_id, source, t, raw, place, {NORMAL} AS line,
+         len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, source, t, unnest(lines) AS raw, unnest(range(len(lines))) AS place FROM d)
+), bad AS (
+  SELECT source, line FROM (SELECT source, line, count(DISTINCT md5(t)) AS k FROM l WHERE line <> '' GROUP BY ALL) AS x
+  JOIN (SELECT source AS s, count(DISTINCT md5(t)) AS n FROM d GROUP BY source) ON source IS NOT DISTINCT FROM s
+  WHERE k >= {quality_rules.LEAST_DOCS} AND k > n * {quality_rules.SHARE}::DOUBLE
+), x AS (
+  SELECT doc_id, count(bad.line)::BIGINT AS lines_removed,
+         sum(CASE WHEN bad.line IS NULL THEN n ELSE 0 END)::BIGINT AS words_left
+  FROM l LEFT JOIN bad ON bad.source IS NOT DISTINCT FROM l.source AND bad.line = l.line GROUP BY doc_id
+), w AS (
+  SELECT doc_id, (count(*) - count(DISTINCT raw))::BIGINT AS n_dup_lines FROM l WHERE line <> '' GROUP BY doc_id
+), m AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '{BLANK}', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+         len(words) < {quality_rules.LEAST_WORDS}
+           OR 100 * coalesce(r.n, 0) > {quality_rules.MOST_REPEATED} * len(words) AS base_failed,
+         lines_removed, words_left
+  FROM d LEFT JOIN r USING (doc_id) LEFT JOIN w USING (doc_id) JOIN x USING (doc_id)
+)
+SELECT *, NOT base_failed AND words_left >= {quality_rules.LEAST_WORDS}
+       AND 100 * words_left >= {quality_rules.LEAST_LEFT} * n_words AS kept
+FROM m
+"""
+
 SQL = {
     "op1_exact_dedup": OP1,
     "op3_line_dedup": OP3,
     "op6_mixing": OP6,
     "op9_license_scan": OP9,
+    "op12_quality_rules": OP12,
 }

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from flightloom.llm import oracles
-from flightloom.llm.common import table
+from flightloom.llm.common import table, whole_text
 from flightloom.llm.embedding_graph import near_duplicate_vectors
 from flightloom.llm.exact_dedup import exact_dedup
 from flightloom.llm.licenses import scan_licenses
 from flightloom.llm.line_dedup import dedup_lines
 from flightloom.llm.mixing import plan_mix
 from flightloom.llm.packing import pack
+from flightloom.llm.periodic_runs import find_runs
+from flightloom.llm.prefix_trie import chained, trie_nodes, turn_lists
+from flightloom.llm.quality_rules import judge_documents, words_of
 from flightloom.llm.sharding import shard_documents
 from flightloom.llm.simhash import near_duplicates
 from flightloom.llm.token_codes import token_round_trip
@@ -66,6 +70,57 @@ def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def with_planted_repeats(docs):
+    """The query's rows: in every tenth document, by crc32 of its id, the end of the text becomes periodic."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    docs = docs.select("doc_id", whole_text().alias("text"))
+    docs = docs.withColumn("__words", F.when(h % 10 == 0, words_of(F.col("text"))))
+    n = F.size("__words")
+    docs = docs.withColumn("__n", n).withColumn("__a", F.when(F.col("__n") > 0, (g % F.col("__n")).cast("int")))
+    rest = F.col("__n") - F.col("__a")
+    docs = docs.withColumn("__p", (1 + F.floor(rest / (3 + g % 8))).cast("int"))
+    period = F.slice("__words", F.col("__a") + 1, F.col("__p"))
+    repeats = F.ceil(rest / F.col("__p")).cast("int")
+    whole = F.concat(F.slice("__words", F.lit(1), F.col("__a")), F.flatten(F.array_repeat(period, repeats)))
+    planted = F.array_join(F.slice(whole, F.lit(1), F.col("__n")), " ")
+    return docs.select("doc_id", F.when(F.col("__a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    rows = find_runs(with_planted_repeats(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = {name: F.col(f"strongest.{name}") for name in ("start", "length", "period")}
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[c.alias(name) for name, c in best.items()],
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_quality_rules(spark, sf_dir):
+    return judge_documents(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def with_shared_openings(lists):
+    """The query's paths: each conversation begins with the first turns of the first one of its block of five ids."""
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    firsts = lists.filter("conv_id = __group").select("__group", F.col("turns").alias("__first"))
+    rows = lists.join(firsts, "__group", "left")
+    none = F.array().cast(lists.schema["turns"].dataType)
+    opening = F.slice(F.coalesce("__first", none), F.lit(1), h)
+    return rows.select("conv_id", F.concat(opening, F.slice("turns", h + 1, F.size("turns"))).alias("turns"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    block = F.col("conv_id") - F.col("conv_id") % 5
+    lists = turn_lists(table(spark, sf_dir, "conversations"), block)
+    return trie_nodes(chained(with_shared_openings(lists)))
+
+
 def registry():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -1,0 +1,166 @@
+import random
+import re
+import zlib
+from fractions import Fraction
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from flightloom.llm import periodic_runs
+from flightloom.llm.periodic_runs import find_runs, runs_of
+from flightloom.llm.workload import op11_periodic_runs
+
+from edge_rows import EDGE  # noqa: I001
+
+
+def brute_runs(words):
+    """Every lag over the whole text."""
+    found = {}
+    for q in range(1, len(words) // 3 + 1):
+        i = 0
+        while i < len(words) - q:
+            j = i
+            while j < len(words) - q and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(24, 3 * q):
+                found.setdefault((i, j - i + q), q)
+            i = j + 1 if j == i else j
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def words_of(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+
+
+def collapsed(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return b" ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def strongest(runs):
+    return min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+
+
+def codes(words):
+    """Word numbers and the one that ends a text."""
+    return np.array([*words, 10**9], dtype=np.int64)
+
+
+def planted(rng, n, letters):
+    words = [rng.randrange(letters) for _ in range(n)]
+    for _ in range(rng.randrange(4)):
+        if n > 3:
+            at, p = rng.randrange(n), rng.randrange(1, max(2, n // 3))
+            for i in range(at, min(n, at + rng.randrange(3 * p, 6 * p + 1))):
+                words[i] = words[at + (i - at) % p]
+    return words
+
+
+def test_runs_equal_every_lag():
+    rng = random.Random(7)
+    for _ in range(600):
+        n = rng.choice([0, 1, 23, 24, 60, 150, 400])
+        words = planted(rng, n, rng.choice([1, 2, 3, 50]))
+        assert runs_of(codes(words), n) == brute_runs(words), words
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=40), st.integers(1, 6), st.lists(st.integers(0, 2), max_size=20))
+def test_powers(unit, times, rest):
+    words = rest + unit * times + rest
+    assert runs_of(codes(words), len(words)) == brute_runs(words)
+
+
+def test_words_that_repeat_at_every_scale():
+    fibonacci, last = [0], [0, 1]
+    while len(last) < 1500:
+        fibonacci, last = last, last + fibonacci
+    for words in (last[:1500], [0] * 1000, list(range(200)) * 5, [bin(i).count("1") % 2 for i in range(1024)]):
+        assert runs_of(codes(words), len(words)) == brute_runs(words)
+
+
+def expected(rows):
+    out = []
+    for d, t, _ in rows:
+        words = words_of(t)
+        runs = brute_runs(words)
+        out.append((d, len(words), runs, strongest(runs), collapsed(words, runs).decode()))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted(
+        ((r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.strongest and tuple(r.strongest), r.collapsed)
+         for r in df.collect()),
+        key=repr,
+    )
+
+
+def test_edge_rows(edge):
+    """The long repeated text is checked by hand: the brute-force version is quadratic there."""
+    got = found(find_runs(edge))
+    rest = [r for r in EDGE if r[0] != 12]
+    assert [r for r in got if r[0] != 12] == expected(rest)
+    assert [r[1:] for r in got if r[0] == 12] == [(20000, [(0, 20000, 1)], (0, 20000, 1), "word")]
+
+
+def test_texts_searched_together(make_docs, monkeypatch):
+    """Texts of one chunk, and chunks of one batch, don't touch each other."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(map(str, planted(rng, rng.choice([5, 40, 200]), 3))), "a") for i in range(80)]
+    want = expected(rows)
+    assert found(find_runs(make_docs(rows))) == want
+    monkeypatch.setattr(periodic_runs, "CHUNK_WORDS", 100)
+    texts = [words_of(t) for _, t, _ in rows]
+    runs = {}
+    for chunk in periodic_runs._chunks(texts):
+        runs |= periodic_runs._search(texts, chunk, 24, 3)
+    assert [runs.get(i, []) for i in range(len(rows))] == [brute_runs(w) for w in texts]
+
+
+def test_ties_take_the_smallest_start(make_docs):
+    text = " ".join([*(["a", "b"] * 12), "x", *(["c", "d"] * 12)])
+    (row,) = find_runs(make_docs([(1, text, "a")])).collect()
+    assert [tuple(r) for r in row.runs] == [(0, 24, 2), (25, 24, 2)] and tuple(row.strongest) == (0, 24, 2)
+    assert row.collapsed == "a b x c d"
+
+
+def test_empty_table(nothing):
+    assert find_runs(nothing).count() == 0
+
+
+def test_fewer_repeats_are_refused(edge):
+    with pytest.raises(ValueError):
+        find_runs(edge, repeats=2)
+
+
+def contract(doc_id, text):
+    words = words_of(text)
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and n > 0:
+        a = (h // 10) % n
+        p = 1 + (n - a) // (3 + (h // 10) % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = brute_runs(words)
+    best = strongest(runs) or (None, None, None)
+    return (
+        doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+        sha256("".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()).hexdigest(),
+        sha256(collapsed(words, runs)).hexdigest(),
+    )
+
+
+def test_whole_table(spark, sf_dir, documents):
+    got = sorted(map(tuple, op11_periodic_runs(spark, sf_dir).collect()))
+    assert got == sorted(contract(r.doc_id, r.text) for r in documents.collect())
+    assert sum(r[1] > 0 for r in got) > 50
+
+
+def test_query_on_edge_rows(spark, make_docs, tmp_path):
+    rows = [r for r in EDGE if r[0] != 12]
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, op11_periodic_runs(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted((contract(d, t) for d, t, _ in rows), key=repr)

@@ -1,0 +1,109 @@
+import re
+from collections import Counter, defaultdict
+
+from flightloom.llm import quality_rules
+from flightloom.llm.quality_rules import judge_documents
+
+from edge_rows import EDGE  # noqa: I001
+
+NAMES = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+         "lines_removed", "words_left", "kept", "clean_text")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def normal(line):
+    return " ".join(words_of(line.translate(LOWER)))
+
+
+def expected(rows, share=0.05, least=5):
+    texts, on = defaultdict(set), defaultdict(set)
+    for _, t, s in rows:
+        texts[s].add(t or "")
+        for line in map(normal, (t or "").split("\n")):
+            if line:
+                on[s, line].add(t or "")
+    common = {k for k, v in on.items() if len(v) >= least and len(v) > share * len(texts[k[0]])}
+    out = []
+    for d, t, s in rows:
+        t = t or ""
+        w, lines = words_of(t), t.split("\n")
+        windows = Counter(zip(w, w[1:], w[2:]))
+        covered = {i + k for i, x in enumerate(zip(w, w[1:], w[2:])) if windows[x] > 1 for k in range(3)}
+        worded = [x for x in lines if words_of(x)]
+        kept = [x for x in lines if (s, normal(x)) not in common]
+        left = len(words_of("\n".join(kept)))
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        out.append(
+            (d, len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(worded) - len(set(worded)),
+             len(covered), failed, len(lines) - len(kept), left,
+             not failed and left >= 50 and 100 * left >= 50 * len(w), "\n".join(kept))
+        )
+    return sorted(out, key=repr)
+
+
+def found(df):
+    assert tuple(df.columns) == NAMES
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def prose(i, n):
+    return " ".join(f"w{i}x{k}" for k in range(n))
+
+
+ROWS = [
+    *[(i, f"Main  MENU\t\n{prose(i, 60)}\n\nfooter # {i % 2}", "a" if i % 3 else None) for i in range(40)],
+    *[(100 + i, "\n".join([f"shared {k} line of some words here" for k in range(9)] + [prose(i, 20)]), "b") for i in range(30)],
+    *[(200 + i, prose(i, 55), "b") for i in range(10)],
+    (300, " ".join(["one two three four"] * 20), "c"),
+    (301, prose(1, 40) + "\n" + prose(1, 20), "c"),
+    (302, "<a> | *b* & #c $1 100% " + prose(2, 60), "c"),
+]
+
+
+def test_rules(make_docs):
+    got = found(judge_documents(make_docs(ROWS)))
+    assert got == expected(ROWS)
+    kept = {r[0]: r[9] for r in got}
+    assert all(kept[i] for i in range(40))  # lost their menus, kept their text
+    assert not any(kept[100 + i] for i in range(30))  # nothing but shared lines and 20 words
+    assert all(kept[200 + i] for i in range(10)) and not kept[300] and kept[302]
+
+
+def test_repeated_windows(make_docs):
+    rows = [(0, "a b c", "s"), (1, "a b c a b c", "s"), (2, "a a a a", "s"), (3, "a b c d a b", "s"), (4, "a b", "s"),
+            (5, "a b c x a b c d y b c d", "s")]
+    got = {r.doc_id: r.n_repeat_words for r in judge_documents(make_docs(rows)).collect()}
+    assert got == {0: 0, 1: 6, 2: 4, 3: 0, 4: 0, 5: 10}
+
+
+def test_copies_count_once(make_docs):
+    rows = [(i, prose(0, 60), "a") for i in range(50)] + [(100 + i, prose(i, 60), "a") for i in range(20)]
+    assert all(r.kept and r.lines_removed == 0 for r in judge_documents(make_docs(rows)).collect())
+
+
+def test_edge_rows(edge):
+    assert found(judge_documents(edge, share=0.3, least_docs=1)) == expected(EDGE, 0.3, 1)
+
+
+def test_no_broadcast_beyond_the_bound(make_docs, monkeypatch):
+    monkeypatch.setattr(quality_rules, "BROADCAST_LINES", 0)
+    assert found(judge_documents(make_docs(ROWS))) == expected(ROWS)
+
+
+def test_any_column_is_the_host(make_docs):
+    rows = [(d, t, s) for d, t, s in ROWS if s is not None]
+    df = make_docs(rows).drop("host").withColumnRenamed("source", "host")
+    assert found(judge_documents(df, host="host")) == expected(rows)
+
+
+def test_empty_table(nothing):
+    assert judge_documents(nothing).count() == 0
+
+
+def test_no_python_on_the_way(edge):
+    plan = judge_documents(edge)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -51,5 +51,5 @@ def test_query_equals_sql(name, spark, sf_dir, db):
 
 def test_one_query_per_operator():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in contract.queries() and "pipeline" not in contract.oracle_sql()
