@@ -13,6 +13,7 @@ from flightloom.operators.gold import DEFAULT_SAMPLE_RATE_HZ
 from flightloom.plans.gold_job import GoldRun, run_gold, utc_now
 from flightloom.plans.ingest import IntakeTables, run_intake
 from flightloom.plans.refresh import load_landed, repeat_pipeline
+from flightloom.plans.status_session import status_table
 from flightloom.session import build_session
 from flightloom.sources.listing import list_files
 from flightloom.sources.tables import CatalogTable
@@ -42,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     for command in (load, run):
         command.add_argument("--checkpoint", required=True, help="folder for the state of the stream")
         command.add_argument("--every", help='repeat on a schedule, for example "5 minutes"')
+    load.add_argument("--archive", help="folder outside the landing folder to which loaded files move")
     load.add_argument("--lengths", help="table of flight lengths; Gold then waits for complete flights")
     gold.add_argument("--sample-rate", type=float, default=DEFAULT_SAMPLE_RATE_HZ)
     for command in (gold, load, intake, run):
@@ -66,14 +68,16 @@ def gold_command(spark: SparkSession, args: argparse.Namespace) -> GoldRun:
 def load_command(spark: SparkSession, args: argparse.Namespace) -> None:
     silver, gold, lengths = (table(spark, args, n) for n in (args.silver, args.gold, args.lengths))
     load_landed(
-        spark, args.landing, silver, args.checkpoint, gold, every=args.every, lengths=lengths
+        spark, args.landing, silver, args.checkpoint, gold, every=args.every, lengths=lengths,
+        archive=args.archive,
     ).awaitTermination()
 
 
 def intake_tables(spark: SparkSession, args: argparse.Namespace) -> IntakeTables:
     named = [table(spark, args, f"{args.prefix}{n}") for n in ("ids", "bronze", "status", "lengths")]
     silver = table(spark, args, args.silver)
-    return IntakeTables(*named[:3], args.landing, named[3], silver, silver and loads_of(silver))
+    ids, bronze, status, lengths = named
+    return IntakeTables(ids, bronze, status_table(status), args.landing, lengths, silver, silver and loads_of(silver))
 
 
 def intake_command(spark: SparkSession, args: argparse.Namespace) -> str:

@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightloom.operators.gold import DEFAULT_SAMPLE_RATE_HZ, gold_rows
+from flightloom.operators.gold_states import SAMPLES, gold_of_states
 from flightloom.operators.keys import distinct_flights, new_flights, rows_of
 from flightloom.session import BROADCAST_ROWS, settle
+from flightloom.sources.tables import BATCH, CatalogTable, append_whole, batch_log
+
+MOST_LABELS = 1000  # partitions that are named in a filter; with more, all states are read
 
 Clock = Callable[[], datetime | str] | datetime | str
 
@@ -29,10 +33,6 @@ def read_clock(clock: Clock) -> datetime | str:
 class Table(Protocol):
     def read(self) -> DataFrame: ...
 
-    def read_or_none(self) -> DataFrame | None: ...
-
-    def append(self, df: DataFrame): ...
-
 
 @dataclass(frozen=True)
 class GoldRun:
@@ -69,40 +69,86 @@ def gold_of_flights(
     return everything.join(flights, "flight_id").select(everything.columns)
 
 
-def complete_flights(silver: DataFrame, expected: DataFrame, gold: DataFrame | None) -> DataFrame:
-    """Flights that Gold does not have and of which Silver has all rows.
-
-    ``expected`` has one row (flight_id, n_rows) per accepted flight. Silver is counted in the id range
-    of the missing flights only; a flight of which some files are still to come waits for them.
-    """
-    missing = expected if gold is None else expected.join(distinct_flights(gold), "flight_id", "left_anti")
-    missing = settle(missing.select("flight_id", "n_rows").distinct(), "missing-flights")
-    counts = in_id_range(silver, missing).groupBy("flight_id").agg(F.count("*").alias("found"))
-    return missing.join(counts, "flight_id").filter("found >= n_rows").select("flight_id")
-
-
 def run_gold(
     silver: Table,
-    gold: Table,
+    gold: CatalogTable,
     now: Clock,
     sample_rate_hz: float = DEFAULT_SAMPLE_RATE_HZ,
     broadcast_rows: int = BROADCAST_ROWS,
-    expected: DataFrame | None = None,
 ) -> GoldRun:
     """Append the metrics of flights that Gold does not have yet; a repeated run adds nothing.
 
-    With ``expected`` (see ``complete_flights``) only complete flights are taken and the ids come from
-    that table; without it, every flight in Silver counts as complete. The new ids are
+    Every flight in Silver counts as complete. The new ids are
     stored before Gold changes, so the count read back refers to this run.
     """
-    samples, present = silver.read(), gold.read_or_none()
-    found = new_flights(samples, present) if expected is None else complete_flights(samples, expected, present)
-    flights = settle(found, "new-flights")
-    n_flights = flights.count()
-    if n_flights == 0:
+    samples = silver.read()
+    flights = settle(new_flights(samples, whole_rows(gold)), "new-flights")
+    if flights.isEmpty():
+        return GoldRun(0, 0)
+    return _append(gold, flights, gold_of_flights(samples, flights, read_clock(now), sample_rate_hz, broadcast_rows))
+
+
+def refresh_gold(
+    states: CatalogTable,
+    gold: CatalogTable,
+    now: Clock,
+    expected: DataFrame | None = None,
+    sample_rate_hz: float = DEFAULT_SAMPLE_RATE_HZ,
+) -> GoldRun:
+    """The same from the states that loads leave (see ``gold_states``); Silver is not read.
+
+    ``expected`` has one row (flight_id, n_rows) per accepted flight: a flight is taken when that many of its
+    samples are loaded. Without it a flight is taken as it is. A load whose flights Gold has all is no longer
+    needed, and its states go; so what is read here grows with the flights under way, not with Silver.
+    """
+    if not states.exists():
         return GoldRun(0, 0)
-    gold.append(gold_of_flights(samples, flights, read_clock(now), sample_rate_hz, broadcast_rows))
-    return GoldRun(n_flights, read_back(gold.read(), flights).count())
+    present = whole_rows(gold)
+    done = None if present is None else distinct_flights(present)
+    # per load and flight: a narrow table, one row per flight that a load brought
+    loaded = states.rows().groupBy("flight_id", BATCH).agg(F.sum(SAMPLES).alias("found"))
+    waiting = settle(loaded if done is None else loaded.join(done, "flight_id", "left_anti"), "flights-under-way")
+    found = waiting.groupBy("flight_id").agg(F.sum("found").alias("found"))
+    if expected is not None:
+        needed = expected.groupBy("flight_id").agg(F.max("n_rows").alias("n_rows"))
+        found = found.join(needed, "flight_id").filter("found >= n_rows")
+    flights = settle(found.select("flight_id"), "new-flights")
+    run = GoldRun(0, 0)
+    if not flights.isEmpty():
+        run = _append(gold, flights, gold_of_states(_of_loads(states, waiting, flights), read_clock(now), sample_rate_hz))
+    _retire(states, waiting.join(flights, "flight_id", "left_anti"))
+    return run
+
+
+def _of_loads(states: CatalogTable, waiting: DataFrame, flights: DataFrame) -> DataFrame:
+    """The states of the given flights; only the partitions of loads that brought one of them are read."""
+    brought = waiting.join(flights, "flight_id", "left_semi").select(BATCH).distinct()
+    labels = [r[0] for r in brought.limit(MOST_LABELS + 1).collect()]
+    rows = states.rows()
+    if len(labels) <= MOST_LABELS:
+        rows = rows.filter(F.col(BATCH).isin(labels))
+    return rows.join(flights, "flight_id", "left_semi")
+
+
+def _retire(states: CatalogTable, waiting: DataFrame) -> None:
+    """Drop the states of loads none of whose flights waits any longer, in turn from the oldest on."""
+    open_ = {r[0] for r in waiting.select(BATCH).distinct().collect()}  # labels of loads that are kept anyway
+    for label in states.batches()[:-1]:  # the last one tells whether its load is whole
+        if label not in open_:
+            states.drop_batch(label)
+
+
+def whole_rows(gold: CatalogTable) -> DataFrame | None:
+    """Gold without what an interrupted run left."""
+    if not gold.exists():
+        return None
+    batch_log(gold).recover()
+    return gold.read()
+
+
+def _append(gold: CatalogTable, flights: DataFrame, rows: DataFrame) -> GoldRun:
+    append_whole(gold, rows)
+    return GoldRun(flights.count(), read_back(gold.read(), flights).count())
 
 
 def read_back(gold: DataFrame, flights: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from flightloom.operators.signals import (
 from flightloom.operators.status import status_rows
 from flightloom.schemas import BRONZE, FLIGHT_IDS, STATUS
 from flightloom.session import fits_broadcast, settle
-from flightloom.sources.tables import CatalogTable, FileLoads, write_flight_files
+from flightloom.sources.tables import BatchLog, CatalogTable, write_flight_files
 
 HASH = "input_file_hash_rel"
 
@@ -33,7 +33,7 @@ class IntakeTables:
     landing: str  # folder of the per-flight Parquet files
     lengths: CatalogTable | None = None  # rows of each accepted flight, for Gold
     silver: CatalogTable | None = None  # with its load log: flights that are loaded are not written again
-    loads: FileLoads | None = None
+    loads: BatchLog | None = None
 
 
 def _read(table: CatalogTable, schema: T.StructType) -> DataFrame:
@@ -77,10 +77,10 @@ def _of_pending(signals: DataFrame, keys: DataFrame) -> DataFrame:
 
 def _loaded_flights(tables: IntakeTables) -> DataFrame | None:
     """Ids of the flights whose files are in Silver."""
-    if tables.silver is None or tables.loads is None:
+    if tables.loads is None:
         return None
     folder = F.regexp_extract("file_path", "/flight=([0-9]+)/", 1)
-    files = tables.loads.loaded(tables.silver).select(folder.alias("id")).filter("id <> ''")
+    files = tables.loads.files().select(folder.alias("id")).filter("id <> ''")
     return files.select(F.col("id").cast("int").alias("flight_id")).distinct()
 
 

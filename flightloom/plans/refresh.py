@@ -8,10 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from flightloom.plans.gold_job import Clock, GoldRun, read_clock, run_gold, utc_now
+from flightloom.plans.gold_job import Clock, GoldRun, read_clock, refresh_gold, utc_now
 from flightloom.plans.ingest import IntakeTables, run_intake
 from flightloom.sources.tables import CatalogTable
-from flightloom.streaming.intake import ANY_AGE, landed_files, start_load
+from flightloom.streaming.intake import ANY_AGE, landed_files, start_load, states_of
 
 
 def load_landed(
@@ -24,19 +24,19 @@ def load_landed(
     every: str | None = None,
     lengths: CatalogTable | None = None,
     files_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Load new files into Silver and, given a Gold table, refresh Gold after each load.
 
     ``now`` is read in each refresh. With the intake's ``lengths`` a flight enters Gold when
-    all its rows are in Silver.
+    all its rows are in Silver. Loaded files move to ``archive`` if it is given.
     """
 
     def refresh() -> None:
-        if silver.exists():
-            expected = None if lengths is None else lengths.read_or_none()
-            run_gold(silver, gold, now, expected=expected)
+        expected = None if lengths is None else lengths.read_or_none()
+        refresh_gold(states_of(silver), gold, now, expected)
 
-    stream = landed_files(spark, landing, files_per_batch=files_per_batch)
+    stream = landed_files(spark, landing, files_per_batch=files_per_batch, archive=archive)
     return start_load(stream, silver, checkpoint, every=every, after_load=refresh if gold is not None else None)
 
 
@@ -61,10 +61,8 @@ def run_pipeline(
             raise
         return message, GoldRun(0, 0)  # no flight file has ever been written
     load.awaitTermination()
-    if not silver.exists():
-        return message, GoldRun(0, 0)  # every file so far was rejected
     expected = None if tables.lengths is None else tables.lengths.read_or_none()
-    return message, run_gold(silver, gold, now, expected=expected)
+    return message, refresh_gold(states_of(silver), gold, now, expected)
 
 
 Recordings = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]

@@ -17,8 +17,10 @@ from flightloom.operators.mutation import (
 )
 from flightloom.operators.status import PENDING, TEST_NAMES, named_like
 from flightloom.schemas import STATUS
-from flightloom.sources.tables import CatalogTable
+from flightloom.session import settle
+from flightloom.sources.tables import CatalogTable, KeyedTable
 
+FILE_NAME = "input_file_name"
 UPDATED = ("status", "status_msg", "file_processed_dt")
 
 
@@ -42,22 +44,29 @@ def pending_rows(log: DataFrame, files: Sequence[tuple], now: datetime | str) ->
     return stamped.select(*STATUS.names)
 
 
-def update_status(table: CatalogTable, changes: DataFrame) -> None:
+def status_table(table: CatalogTable) -> KeyedTable:
+    """The status log as a table whose rows can be changed by file name."""
+    return KeyedTable(table.spark, table.name, FILE_NAME, table.format)
+
+
+def update_status(table: KeyedTable, changes: DataFrame) -> None:
     """``changes`` has the file name and the updated columns. A catalog that can change rows runs
-    MERGE; elsewhere the table is written anew."""
+    MERGE; elsewhere the buckets of the changed names are written anew."""
     if table.row_level:
         changes.createOrReplaceTempView("status_changes")
-        statement = merge_statement(table.name, "status_changes", "input_file_name", UPDATED)
+        statement = merge_statement(table.name, "status_changes", FILE_NAME, UPDATED)
         table.spark.sql(statement)
     else:
-        table.replace(merge_update(table.read(), changes, "input_file_name", UPDATED))
+        changes = settle(changes, "status-changes")
+        table.change(lambda _: changes, lambda rows: merge_update(rows, changes, FILE_NAME, UPDATED))
 
 
-def delete_test_rows(table: CatalogTable, pattern: str = TEST_NAMES) -> int:
+def delete_test_rows(table: KeyedTable, pattern: str = TEST_NAMES) -> int:
     """Delete rows by name pattern; returns how many are left, which is 0."""
     if table.row_level:
-        statement = delete_like_statement(table.name, "input_file_name")
+        statement = delete_like_statement(table.name, FILE_NAME)
         table.spark.sql(statement, {"pattern": pattern})
     else:
-        table.replace(delete_where(table.read(), F.col("input_file_name").like(pattern)))
+        gone = F.col(FILE_NAME).like(pattern)
+        table.change(lambda rows: rows.filter(gone), lambda rows: delete_where(rows, gone))
     return named_like(table.read(), pattern).count()

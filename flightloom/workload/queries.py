@@ -19,7 +19,7 @@ from flightloom.schemas import SILVER
 from flightloom.session import fresh_path, settle
 from flightloom.sources.by_name import load_by_name
 from flightloom.sources.listing import list_files
-from flightloom.sources.tables import CatalogTable, write_flight_files
+from flightloom.sources.tables import CatalogTable, append_whole, write_flight_files
 from flightloom.streaming.intake import loads_of
 from flightloom.workload import fixtures as fx
 
@@ -101,16 +101,16 @@ def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = fresh_table(spark, "gold")
-    table.append(gold.gold_rows(fx.telemetry(spark, sf_dir), fx.NOW))
+    append_whole(table, gold.gold_rows(fx.telemetry(spark, sf_dir), fx.NOW))
     return rounded(read_back(table.read(), _new_ids(spark, sf_dir)))
 
 
 def gold_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = fresh_table(spark, "gold")
-    table.append(fx.gold_prev(spark, sf_dir))
+    append_whole(table, fx.gold_prev(spark, sf_dir))
     silver = fx.telemetry(spark, sf_dir)
     ids = settle(keys.new_flights(silver, table.read()), "new-flights")
-    table.append(gold_of_flights(silver, ids, fx.NOW))
+    append_whole(table, gold_of_flights(silver, ids, fx.NOW))
     return rounded(table.read())
 
 
@@ -123,16 +123,10 @@ class _GivenSilver:
     def read(self) -> DataFrame:
         return self.df
 
-    def read_or_none(self) -> DataFrame:
-        return self.df
-
-    def append(self, df: DataFrame):
-        raise NotImplementedError
-
 
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = fresh_table(spark, "gold")
-    table.append(fx.gold_prev(spark, sf_dir))
+    append_whole(table, fx.gold_prev(spark, sf_dir))
     silver = _GivenSilver(fx.telemetry(spark, sf_dir))
     run_gold(silver, table, fx.NOW)
     run_gold(silver, table, fx.NOW)  # finds nothing new
@@ -310,7 +304,7 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def verify_mutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge and delete on a stored log, then count what the checks look at."""
-    log = fresh_table(spark, "status")
+    log = status_session.status_table(fresh_table(spark, "status"))
     log.append(fx.status_log(spark, sf_dir))
     status_session.update_status(log, fx.status_updates(spark, sf_dir))
     updated = settle(log.read(), "updated")
@@ -347,6 +341,10 @@ def _loaded(spark: SparkSession, sf_dir: str, with_gold: bool):
     silver, gold_table = fresh_table(spark, "silver"), fresh_table(spark, "gold")
     first, second, third = (fresh_path(spark, "stream") for _ in range(3))
     rows = fx.telemetry(spark, sf_dir)
+    lengths = None
+    if with_gold:
+        lengths = fresh_table(spark, "lengths")
+        lengths.append(rows.groupBy("flight_id").agg(F.count("*").alias("n_rows")))
     portion = F.col("flight_id") % 3
     for folder, checkpoint, part in (
         (landing, first, 0), (landing, first, 1), (landing, first, None), (landing, second, None), (other, third, 2),
@@ -354,7 +352,7 @@ def _loaded(spark: SparkSession, sf_dir: str, with_gold: bool):
         if part is not None:
             rows.filter(portion == part).write.mode("append").parquet(folder)
         load_landed(
-            spark, folder, silver, checkpoint, gold_table if with_gold else None, fx.NOW
+            spark, folder, silver, checkpoint, gold_table if with_gold else None, fx.NOW, lengths=lengths
         ).awaitTermination()
     return silver, gold_table
 

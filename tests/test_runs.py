@@ -1,6 +1,7 @@
 """Whole runs: Gold job, streamed load, intake, and what happens when they are repeated."""
 
 import os
+import shutil
 import time
 from pathlib import Path
 
@@ -15,8 +16,8 @@ from flightloom.plans.ingest import IntakeTables, run_intake
 from flightloom.plans.refresh import load_landed, repeat_pipeline, run_pipeline
 from flightloom.schemas import BRONZE, GOLD, SILVER
 from flightloom.session import fresh_path, settle
-from flightloom.sources.tables import CatalogTable, FileLoads
-from flightloom.streaming.intake import landed_files, loads_of, start_load
+from flightloom.sources.tables import CatalogTable
+from flightloom.streaming.intake import landed_files, loads_of, start_load, states_of
 from flightloom.workload import fixtures as fx
 from flightloom.workload.queries import fresh_table
 
@@ -109,7 +110,7 @@ def test_old_files_are_loaded(spark, telemetry):
     telemetry.filter("flight_id % 2 = 0").coalesce(1).write.parquet(landing)
     load(spark, landing, silver, checkpoint)
     telemetry.filter("flight_id % 2 = 1").coalesce(1).write.mode("append").parquet(landing)
-    loaded = {r.file_path for r in loads_of(silver).loaded(silver).collect()}
+    loaded = {r.file_path for r in loads_of(silver).files().collect()}
     for file in Path(landing.removeprefix("file://")).glob("*.parquet"):
         if file.name not in {p.rsplit("/", 1)[-1] for p in loaded}:
             os.utime(file, (time.time() - 9 * 86_400,) * 2)
@@ -117,29 +118,67 @@ def test_old_files_are_loaded(spark, telemetry):
     assert same_rows(silver, telemetry)
 
 
-@pytest.mark.parametrize("step", ["begin", "write", "finish"])
+CRASHES = [("note", "before"), ("note", "after"), ("states", "after"), ("rows", "before"), ("rows", "half"), ("rows", "after")]
+
+
+@pytest.mark.parametrize("step, when", CRASHES)
 @pytest.mark.parametrize("same_checkpoint", [True, False])
-def test_a_crash_neither_loses_nor_doubles(spark, telemetry, monkeypatch, step, same_checkpoint):
-    """The load breaks off after noting the files, after writing rows, or before the last note."""
+def test_a_crash_neither_loses_nor_doubles(spark, telemetry, monkeypatch, step, when, same_checkpoint):
+    """The load breaks off before, after or in the middle of one of its three writes."""
     landing, silver = fresh_path(spark, "landing"), new_table(spark)
     checkpoint = fresh_path(spark, "checkpoint")
-    telemetry.coalesce(2).write.parquet(landing)
-
-    def crash(*_):
+    telemetry.repartition(2).write.parquet(landing)
+    plain = CatalogTable.write_batch
+    broken = {"note": loads_of(silver).table.name, "states": states_of(silver).name, "rows": silver.name}[step]
+
+    def write(table, df, label):
+        if table.name != broken:
+            return plain(table, df, label)
+        if when != "before":
+            plain(table, df, label)
+        if when == "half":  # only a part of the files has moved into place
+            files = [f for f in table.rows().inputFiles() if label in f]
+            assert len(files) == 2
+            os.remove(files[0].removeprefix("file://"))
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        owner = CatalogTable if step == "write" else FileLoads
-        if step == "write":
-            plain = CatalogTable.write_batch
-            patch.setattr(owner, "write_batch", lambda t, df, b: crash() if t.name == silver.name else plain(t, df, b))
-        else:
-            patch.setattr(owner, step, crash)
+        patch.setattr(CatalogTable, "write_batch", write)
         with pytest.raises(Exception, match="lost"):
             load(spark, landing, silver, checkpoint)
     load(spark, landing, silver, checkpoint if same_checkpoint else None)
     load(spark, landing, silver, checkpoint)
     assert same_rows(silver, telemetry)
+    found = states_of(silver).read().agg(F.sum("samples")).first()[0]
+    assert found == telemetry.filter("flight_id IS NOT NULL").count()
+
+
+def test_a_checkpoint_begun_anew_under_the_same_path(spark, telemetry):
+    """The loaded file has left the landing folder, another one is there."""
+    landing, silver = fresh_path(spark, "landing"), new_table(spark)
+    checkpoint = fresh_path(spark, "checkpoint")
+    for odd in (0, 1):
+        telemetry.filter(F.col("flight_id") % 2 == odd).coalesce(1).write.mode("overwrite").parquet(landing)
+        shutil.rmtree(checkpoint.removeprefix("file://"), ignore_errors=True)
+        load(spark, landing, silver, checkpoint)
+    assert same_rows(silver, telemetry)
+
+
+def test_loaded_files_leave_the_landing_folder(spark, telemetry):
+    """The source moves the files of a batch when the next one is done."""
+    landing, silver = fresh_path(spark, "landing"), new_table(spark)
+    checkpoint, archive = fresh_path(spark, "checkpoint"), fresh_path(spark, "archive")
+    here, left = Path(landing.removeprefix("file://")), []
+    for odd in (0, 1):
+        telemetry.filter(F.col("flight_id") % 2 == odd).repartition(2).write.mode("append").parquet(landing)
+        load(spark, landing, silver, checkpoint, archive=archive)
+        for _ in range(30 * odd):  # a thread of their own moves them
+            if len(list(here.glob("*.parquet"))) == 2:
+                break
+            time.sleep(0.1)
+        left.append(len(list(here.glob("*.parquet"))))
+    assert left == [2, 2] and same_rows(silver, telemetry)
+    assert len(list(Path(archive.removeprefix("file://")).rglob("*.parquet"))) == 2
 
 
 def test_intake_after_a_crash_and_a_load(spark, sf_dir, monkeypatch):
@@ -180,6 +219,68 @@ def test_gold_waits_for_complete_flights(spark, telemetry):
     assert found.exceptAll(expected).isEmpty() and found.count() == expected.count()
 
 
+def test_gold_of_flights_split_over_loads(spark, telemetry):
+    """States of several loads, put together, are the Gold of all samples; Silver is not read."""
+    silver, gold, lengths = new_table(spark), new_table(spark), new_table(spark)
+    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
+    odd = telemetry.withColumn("airspeed", F.expr("if(longitude > 100, double('nan'), if(latitude < -80, NULL, airspeed))"))
+    odd = settle(odd.withColumn("pitch_rate", F.expr("pitch_rate + 1e9")), "odd")
+    lengths.append(odd.groupBy("flight_id").agg(F.count("*").alias("n_rows")))
+    left = []
+    for part in range(4):
+        piece = odd.filter(F.pmod(F.hash("latitude", "longitude", "airspeed"), F.lit(4)) == part)
+        piece.coalesce(1).write.mode("append").parquet(landing)
+        load(spark, landing, silver, checkpoint, gold=gold, lengths=lengths, now=NOW)
+        left.append(len(states_of(silver).batches()))
+    want = settle(gold_rows(odd, NOW), "want")
+    names = [c for c in want.columns if not c.startswith("record")]
+    keyed = {(r.flight_id, r.flight_phase): r for r in gold.read().select(names).collect()}
+    assert len(keyed) == want.count() == gold.read().count()
+    for row in want.select(names).collect():
+        other = keyed[row.flight_id, row.flight_phase]
+        for name in names:
+            assert other[name] == pytest.approx(row[name], rel=1e-9, abs=1e-6, nan_ok=True), name
+    assert left[-1] == 1  # what Gold has needs no states
+
+
+def test_gold_is_refreshed_without_silver(spark, telemetry, monkeypatch):
+    silver, gold = new_table(spark), new_table(spark)
+    telemetry_of = lambda *ids: telemetry.filter(F.col("flight_id").isin(*ids)).coalesce(1)
+    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
+    lengths = new_table(spark)
+    lengths.append(telemetry.groupBy("flight_id").agg((F.count("*") + F.expr("int(flight_id = 1)")).alias("n_rows")))
+    read = []
+    plain = CatalogTable.rows
+    monkeypatch.setattr(CatalogTable, "rows", lambda t: read.append(t.name) or plain(t))
+    for ids in ((1, 2), (3,), (4,)):  # flight 1 stays incomplete
+        telemetry_of(*ids).write.mode("append").parquet(landing)
+        load(spark, landing, silver, checkpoint, gold=gold, lengths=lengths)
+    assert {r.flight_id for r in gold.read().collect()} == {2, 3, 4}
+    assert silver.name not in [t for t in read if t != loads_of(silver).table.name][-8:]
+    batches = states_of(silver).batches()
+    assert len(batches) == 2 and batches[0].startswith("000000000")  # that of flight 1, and the last
+
+
+def test_an_interrupted_gold_run_is_made_up_for(spark, telemetry, monkeypatch):
+    silver, gold = new_table(spark), new_table(spark)
+    silver.append(telemetry.filter("flight_id < 9"))
+    plain = CatalogTable.write_batch
+
+    def half(table, df, label):
+        plain(table, df if table.name != gold.name else df.limit(5), label)
+        if table.name == gold.name:
+            raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(CatalogTable, "write_batch", half)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_gold(silver, gold, NOW)
+    run_gold(silver, gold, NOW)
+    want = gold_rows(telemetry.filter("flight_id < 9"), NOW).select("flight_id", "flight_phase", "duration_sec")
+    found = gold.read().select(want.columns)
+    assert found.count() == want.count() and found.exceptAll(want).isEmpty()
+
+
 def test_each_refresh_reads_the_clock(spark, telemetry):
     silver, gold = new_table(spark), new_table(spark)
     landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "checkpoint")
@@ -345,7 +446,7 @@ def test_gold_command_on_catalog_tables(spark, telemetry):
     assert gold_command(spark, args) == GoldRun(0, 0)
     telemetry.filter("flight_id = 7").write.mode("append").saveAsTable("cli_silver")
     assert gold_command(spark, args).flights == 1
-    assert spark.table("cli_gold").columns == GOLD.names
+    assert spark.table("cli_gold").columns == [*GOLD.names, "load_batch"]
 
 
 def test_intake_with_more_files_than_are_broadcast(spark, sf_dir, monkeypatch):

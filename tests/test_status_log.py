@@ -91,7 +91,7 @@ def test_statements_parse(spark):
 
 
 def test_session_round_trip(spark):
-    table = fresh_table(spark, "log")
+    table = status_session.status_table(fresh_table(spark, "log"))
     table.append(log(spark, [("flight_1", "Completed")]))
     new = [("/test/pyspark_a.h5", "pyspark_a.h5", "h1", "out/a", "first"),
            ("/test/pyspark_b.h5", "pyspark_b.h5", "h2", "out/b", "second")]

@@ -1,5 +1,7 @@
 """Catalog tables, loads by name, listings, catalog settings."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,7 +10,9 @@ from flightloom.schemas import STATUS
 from flightloom.session import fresh_path, settle, shared_folder
 from flightloom.sources.by_name import AmbiguousColumns, load_by_name, project_by_name
 from flightloom.sources.catalog import rest_catalog_settings
+from flightloom.sources import tables
 from flightloom.sources.listing import list_files
+from flightloom.sources.tables import NOTE, CatalogTable, KeyedTable, append_whole, batch_log
 from flightloom.workload.queries import fresh_table
 
 NUMBERS = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.StringType())])
@@ -32,21 +36,10 @@ def test_missing_table(table):
     assert table.read_or_none() is None
 
 
-def test_append_and_replace(spark, table):
+def test_append(spark, table):
     table.append(numbers(spark, 1, 2))
     table.append(numbers(spark, 3))
     assert ids(table) == [1, 2, 3]
-    table.replace(table.read().filter("id > 1"))
-    table.append(numbers(spark, 4))
-    assert ids(table) == [2, 3, 4]
-
-
-def test_failed_write_leaves_the_old_rows(spark, table):
-    table.append(numbers(spark, 1))
-    bad = numbers(spark, 2).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
-    with pytest.raises(Exception, match="lost"):
-        table.replace(bad)
-    assert ids(table) == [1]
 
 
 def test_append_by_name(spark, table):
@@ -55,14 +48,148 @@ def test_append_by_name(spark, table):
     assert sorted((r.id, r.v) for r in table.read().collect()) == [(1, "v1"), (2, "v2")]
 
 
-def test_a_batch_overwrites_itself_only(spark, table):
+def test_batches(spark, table):
+    assert table.batches() == [] and table.batch_rows("a-0") == 0
     table.write_batch(numbers(spark, 1, 2), "a-0")
     table.write_batch(numbers(spark, 3), "b-0")
     table.write_batch(numbers(spark, 4), "a-0")
     assert ids(table) == [3, 4] and table.read().columns == NUMBERS.names
-    assert table.has_batch("b-0") and not table.has_batch("c-0")
-    table.write_batch(numbers(spark, 5).limit(0), "a-0")
-    assert ids(table) == [3]
+    assert table.batches() == ["a-0", "b-0"] and table.batch_rows("b-0") == 1 and table.batch_rows("c-0") == 0
+    table.drop_batch("a-0")
+    table.drop_batch("c-0")
+    assert ids(table) == [3] and table.batches() == ["b-0"]
+
+
+# -- Tables whose rows are changed -----------------------------------------------------------------
+
+
+@pytest.fixture
+def keyed(spark, table):
+    log = KeyedTable(spark, table.name, "v", buckets=4)
+    log.append(numbers(spark, *range(100)).unionByName(spark.createDataFrame([(-1, None)], NUMBERS)))
+    return log
+
+
+def changed(keyed, *gone, plus=0):
+    """Drop the rows of some keys; the ids of the others in their buckets grow."""
+    names = [f"v{i}" for i in gone]
+    here = F.coalesce(F.col("v").isin(names), F.lit(False))
+    keyed.change(lambda rows: rows.filter(here), lambda rows: rows.filter(~here).withColumn("id", F.col("id") + plus))
+
+
+def test_changes_touch_their_buckets_only(spark, keyed):
+    bucket = {r.v: r.b for r in numbers(spark, *range(100)).select("v", keyed.bucket().alias("b")).collect()}
+    before = {f for f in keyed.rows().inputFiles()}
+    changed(keyed, 7, plus=1000)
+    same = bucket["v7"]
+    want = [i if bucket[f"v{i}"] != same else i + 1000 for i in range(100) if i != 7]
+    assert sorted(i for i in ids(keyed) if i not in (-1, 999)) == sorted(want)
+    assert {f for f in keyed.rows().inputFiles() if f"={same}/" not in f} == {f for f in before if f"={same}/" not in f}
+    assert spark.sql(f"SHOW TABLES LIKE '{keyed.name}_change_*'").isEmpty()
+
+
+def test_a_bucket_can_become_empty(spark, keyed):
+    rows = numbers(spark, *range(100)).select("id", keyed.bucket().alias("b")).collect()
+    gone = [r.id for r in rows if r.b == rows[0].b]
+    changed(keyed, *gone)
+    left = [i for i in range(100) if i not in gone]
+    assert [i for i in ids(keyed) if i >= 0] == left
+    keyed.append(numbers(spark, gone[0]))
+    assert [i for i in ids(keyed) if i >= 0] == sorted([*left, gone[0]])
+
+
+def test_a_change_of_nothing(spark, keyed):
+    changed(keyed)
+    assert ids(keyed) == list(range(-1, 100))
+
+
+@pytest.mark.parametrize("then", ["append", "change", "read"])
+@pytest.mark.parametrize("step", ["write", "before", "half", "after"])
+def test_a_crash_leaves_old_or_new_rows(spark, keyed, monkeypatch, step, then):
+    """The change breaks off while its rows are written, before its buckets are overwritten, between the
+    removal of old files and the arrival of new ones, or before its own table goes."""
+    plain = KeyedTable._overwrite
+
+    def crash(table, change):
+        if step == "after":
+            plain(table, change)
+        if step == "half":
+            for r in spark.table(change).select("key_bucket").distinct().collect():
+                folder = table.spark.sql(f"DESCRIBE FORMATTED {table.name}").filter("col_name = 'Location'").first()[1]
+                shutil.rmtree(f"{folder.removeprefix('file:')}/key_bucket={r[0]}")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        if step != "write":
+            patch.setattr(KeyedTable, "_overwrite", crash)
+        with pytest.raises(Exception, match="lost"):
+            if step == "write":
+                keyed.change(lambda rows: rows, lambda rows: rows.withColumn("id", F.raise_error(F.lit("lost")).cast("int")))
+            else:
+                changed(keyed, 3, 4, 5)
+    want = set(range(-1, 100)) - (set() if step == "write" else {3, 4, 5})
+    assert ids(keyed) == sorted(want)
+    if then == "append":
+        keyed.append(numbers(spark, 500))
+        want |= {500}
+    if then == "change":
+        changed(keyed, 50)
+        want -= {50}
+    assert ids(KeyedTable(spark, keyed.name, "v", buckets=4)) == sorted(want)
+
+
+# -- The log of batches ------------------------------------------------------------------------------
+
+
+def notes(spark, name, n):
+    return spark.createDataFrame([(name, None, 1, n)], NOTE)
+
+
+def test_an_interrupted_batch_is_dropped(spark, table):
+    log = batch_log(table)
+    log.write(numbers(spark, 1, 2), notes(spark, "a", 2))
+    log.write(numbers(spark, 3), notes(spark, "b", 2))  # as if a file of the batch had not arrived
+    assert ids(table) == [1, 2, 3]
+    later = batch_log(table)
+    assert [r.file_path for r in later.files().collect()] == ["a"]
+    assert ids(table) == [1, 2]
+    later.write(numbers(spark, 3, 4), notes(spark, "b", 2))
+    assert sorted(r.file_path for r in batch_log(table).files().collect()) == ["a", "b"]
+    assert ids(table) == [1, 2, 3, 4]
+
+
+def test_the_log_stays_small(spark, table, monkeypatch):
+    monkeypatch.setattr(tables, "COMPACT_AFTER", 4)
+    log = batch_log(table)
+    read = []
+    for i in range(14):
+        log.write(numbers(spark, i), notes(spark, f"f{i}", 1))
+        read.append(len(log.table.rows().inputFiles()))
+    assert max(read) <= 5 and ids(table) == list(range(14))
+    assert sorted(r.file_path for r in batch_log(table).files().collect()) == sorted(f"f{i}" for i in range(14))
+
+
+def test_notes_twice_count_once(spark, table, monkeypatch):
+    """Folding breaks off after the common note is written."""
+    log = batch_log(table)
+    for i in range(3):
+        log.write(numbers(spark, i), notes(spark, f"f{i}", 1))
+    with monkeypatch.context() as patch:
+        patch.setattr(CatalogTable, "drop_batch", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            log.fold(log.table.batches())
+    again = batch_log(table)
+    assert sorted(r.file_path for r in again.files().collect()) == ["f0", "f1", "f2"]
+    again.write(numbers(spark, 3), notes(spark, "f3", 1))
+    assert ids(table) == [0, 1, 2, 3]
+
+
+def test_whole_appends(spark, table):
+    append_whole(table, numbers(spark, 1, 2))
+    append_whole(table, numbers(spark, 3))
+    table.write_batch(numbers(spark, 3).limit(0), table.batches()[-1])  # the rows of the last append are lost
+    append_whole(table, numbers(spark, 4))
+    assert ids(table) == [1, 2, 4]
 
 
 def test_load_by_name(spark):
