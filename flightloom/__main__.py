@@ -37,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--attrs", required=True, help="table of decoded attributes")
         command.add_argument("--signals", required=True, help="table of decoded samples")
         command.add_argument("--prefix", required=True, help="of the names of the ids, bronze, status and lengths tables")
+        command.add_argument("--others", help="folder of the signals that Silver has no column for")
     intake.add_argument("--silver", help="table of samples, whose flights are not written again")
     for command in (load, intake, run):
         command.add_argument("--landing", required=True, help="folder of the flight files")
@@ -77,7 +78,8 @@ def intake_tables(spark: SparkSession, args: argparse.Namespace) -> IntakeTables
     named = [table(spark, args, f"{args.prefix}{n}") for n in ("ids", "bronze", "status", "lengths")]
     silver = table(spark, args, args.silver)
     ids, bronze, status, lengths = named
-    return IntakeTables(ids, bronze, status_table(status), args.landing, lengths, silver, silver and loads_of(silver))
+    return IntakeTables(ids, bronze, status_table(status), args.landing, lengths, silver, silver and loads_of(silver),
+                        args.others)
 
 
 def intake_command(spark: SparkSession, args: argparse.Namespace) -> str:

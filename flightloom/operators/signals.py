@@ -174,36 +174,55 @@ def _spread_is_small(profile: DataFrame) -> bool:
     return (rows or 0) <= BROADCAST_ROWS
 
 
-def _placed(
+def _pieces(
     signals: DataFrame, plan: DataFrame, small: bool, key: str, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Give every sample its output rows ``row_idx``.
+    """The output rows of every sample: (key, param, carry, slice, first_row, last_row, value), a row per
+    slice of the output that a sample touches; nothing is repeated here.
 
     ``plan`` holds the profile rows to resample. It is joined on a block of the index as well, so
     that one long signal is not one join key. A small plan is broadcast; a large one is hashed
-    block by block, so that the samples are shuffled once and never sorted.
+    block by block, so that the samples are shuffled once and never sorted. Samples that share a row are
+    averaged first, and mostly in the task that read them: a fast signal goes on as one row per output row.
     """
     blocks = F.sequence(F.lit(0).cast("long"), F.expr(f"greatest(n - 1, 0) div {INPUT_BLOCK}"))
     spread = plan.select(
         key, "param", "base_len", "factor", "repeat", *carry, F.explode(blocks).alias("block")
-    ).hint("broadcast" if small else "shuffle_hash")
-    last = F.least(F.col("first_row") + F.col("repeat"), F.col("base_len")) - 1
-    return (
-        signals.filter(F.col("idx").isNotNull())
-        .select(key, "param", "idx", "num_value", F.expr(f"idx div {INPUT_BLOCK}").alias("block"))
-        .join(spread, [key, "param", "block"])
-        .withColumn("first_row", F.expr("(idx div factor) * repeat"))
-        # a cut-off run at the end and samples past the base length make no row
-        .filter(F.col("first_row") < F.col("base_len"))
-        .select(
-            key,
-            "param",
-            *carry,
-            F.explode(F.sequence(F.col("first_row"), last)).alias("row_idx"),
-            F.col("num_value").alias("value"),
-        )
+    )
+    samples = signals.filter(F.col("idx").isNotNull()).select(
+        key, "param", "idx", F.col("num_value").alias("value"), F.expr(f"idx div {INPUT_BLOCK}").alias("block")
     )
 
+    def placed(part: DataFrame) -> DataFrame:
+        met = samples.join(part.hint("broadcast" if small else "shuffle_hash"), [key, "param", "block"])
+        # a cut-off run at the end and samples past the base length make no row
+        return met.withColumn("first_row", F.expr("(idx div factor) * repeat")).filter("first_row < base_len")
+
+    names = [key, "param", *carry]
+    faster = (
+        placed(spread.filter("factor > 1"))
+        .groupBy(*names, "first_row")
+        .agg(F.avg("value").alias("value"))
+        .select(*names, F.expr(f"first_row div {OUTPUT_SLICE}").alias("slice"), "first_row",
+                F.col("first_row").alias("last_row"), "value")
+    )
+    end = F.least(F.col("first_row") + F.col("repeat"), F.col("base_len")) - 1
+    slices = F.sequence(F.expr(f"first_row div {OUTPUT_SLICE}"), F.expr(f"end_row div {OUTPUT_SLICE}"))
+    others = (
+        placed(spread.filter("factor = 1"))
+        .withColumn("end_row", end)
+        .select("*", F.explode(slices).alias("slice"))
+        .select(*names, "slice",
+                F.greatest(F.col("first_row"), F.col("slice") * OUTPUT_SLICE).alias("first_row"),
+                F.least(F.col("end_row"), (F.col("slice") + 1) * OUTPUT_SLICE - 1).alias("last_row"), "value")
+    )
+    return faster.unionByName(others)
+
+
+def _rows_of(pieces: DataFrame, *columns: str) -> DataFrame:
+    """One row per output row of each piece; at most a slice at a time."""
+    return pieces.select(*columns, F.explode(F.sequence("first_row", "last_row")).alias("row_idx"), "value")
+
 
 def resample(
     signals: DataFrame,
@@ -212,12 +231,42 @@ def resample(
     key: str = KEY,
 ) -> DataFrame:
     """Resampled numeric signals in long form: (flight, param, row_idx, value)."""
-    kinds = list(kinds)
-    plan = profile.filter(F.col("signal_kind").isin(kinds) & F.col("base_len").isNotNull())
-    placed = _placed(signals, plan, _spread_is_small(profile), key)
-    if "down" not in kinds:
-        return placed
-    return placed.groupBy(key, "param", "row_idx").agg(F.avg("value").alias("value"))
+    plan = profile.filter(F.col("signal_kind").isin(list(kinds)) & F.col("base_len").isNotNull())
+    return _rows_of(_pieces(signals, plan, _spread_is_small(profile), key), key, "param")
+
+
+def other_signals(
+    signals: DataFrame,
+    profile: DataFrame,
+    frames: DataFrame | None = None,
+    key: str = KEY,
+    columns: dict[str, str] = SILVER_SIGNALS,
+) -> DataFrame:
+    """The signals of accepted flights that are no column of the aligned rows, in long form:
+    (flight, idx, name, num_value, str_value), placed on the same rows as the columns are.
+
+    Whatever a recording contains comes along; no list of names is needed and none is gathered. A text
+    signal contributes its value to every row.
+    """
+    frames = flight_frames(profile, key, columns) if frames is None else frames
+    accepted = frames.filter(F.col("fault").isNull()).select(key)
+    unknown = profile.filter(F.col("used") & ~F.col("column_name").isin(list(columns)))
+    unknown = unknown.join(accepted, key, "left_semi")
+    text = F.col("signal_kind") == "text"
+    pieces = _pieces(signals, unknown.filter(~text), _spread_is_small(profile), key, carry=["column_name"])
+    numbers = _rows_of(pieces, key, "column_name").select(
+        key, F.col("row_idx").alias("idx"), F.col("column_name").alias("name"), F.col("value").alias("num_value"),
+        F.lit(None).cast("string").alias("str_value"),
+    )
+    slices = F.sequence(F.lit(0).cast("long"), F.expr(f"(base_len - 1) div {OUTPUT_SLICE}"))
+    spread = unknown.filter(text).select(key, "column_name", "text_value", "base_len", F.explode(slices).alias("slice"))
+    first = F.col("slice") * OUTPUT_SLICE
+    last = F.least(first + OUTPUT_SLICE, F.col("base_len")) - 1
+    texts = spread.select(
+        key, F.explode(F.sequence(first, last)).alias("idx"), F.col("column_name").alias("name"),
+        F.lit(None).cast("double").alias("num_value"), F.col("text_value").alias("str_value"),
+    )
+    return numbers.unionByName(texts)
 
 
 def assemble(
@@ -231,14 +280,14 @@ def assemble(
     """Silver rows of every accepted flight, plus the row number ``idx``.
 
     ``columns`` may name further signals with their types; they follow the Silver columns and
-    are dropped again when the rows are loaded by name.
+    are dropped again when the rows are loaded by name. All others are in ``other_signals``.
 
     ``profile`` (and ``frames``, if given) should be settled, as they are read more than once.
     ``departures`` has one row per flight with the key and ``flight_departure_dttm`` (and
     ``flight_id`` if that is not the key).
 
-    Averaging, repeating and pivoting are one aggregation: a row's value is the mean of the samples
-    placed on it, which for repeated and passed samples is the sample itself.
+    Pieces of samples are shuffled, not rows: samples that share a row are averaged before, and a
+    sample that fills many rows is repeated after. Then a row has one value of each signal.
     """
     frames = flight_frames(profile, key, columns) if frames is None else frames
     accepted = frames.filter(F.col("fault").isNull())
@@ -253,19 +302,19 @@ def assemble(
         .join(accepted.select(key), key, "left_semi")
     )
     known = [*SIGNAL_COLUMNS, *columns]
-    placed = _placed(
+    pieces = _pieces(
         signals.filter(F.col("param").isin(known)),
         plan,
         _spread_is_small(profile),
         key,
         carry=["slot"],
-    ).select(key, F.expr(f"row_idx div {OUTPUT_SLICE}").alias("slice"), "row_idx", "slot", "value")
+    ).select(key, "slice", "first_row", "last_row", "slot", "value")
     wide = (
-        placed.repartition(key, "slice")
+        _rows_of(pieces.repartition(key, "slice"), key, "slice", "slot")
         .groupBy(key, "slice", "row_idx")
         .agg(
             *[
-                F.expr(f"avg(if(slot = {i}, value, NULL)) AS `{c}_num`")
+                F.expr(f"max(if(slot = {i}, value, NULL)) AS `{c}_num`")
                 for c, i in slots.items()
             ]
         )

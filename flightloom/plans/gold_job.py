@@ -78,14 +78,15 @@ def run_gold(
 ) -> GoldRun:
     """Append the metrics of flights that Gold does not have yet; a repeated run adds nothing.
 
-    Every flight in Silver counts as complete. The new ids are
-    stored before Gold changes, so the count read back refers to this run.
+    Every flight in Silver counts as complete. The new ids and rows are stored before Gold changes.
     """
     samples = silver.read()
     flights = settle(new_flights(samples, whole_rows(gold)), "new-flights")
-    if flights.isEmpty():
+    count = flights.count()
+    if not count:
         return GoldRun(0, 0)
-    return _append(gold, flights, gold_of_flights(samples, flights, read_clock(now), sample_rate_hz, broadcast_rows))
+    rows = gold_of_flights(samples, flights, read_clock(now), sample_rate_hz, broadcast_rows)
+    return GoldRun(count, append_whole(gold, rows))
 
 
 def refresh_gold(
@@ -113,11 +114,11 @@ def refresh_gold(
         needed = expected.groupBy("flight_id").agg(F.max("n_rows").alias("n_rows"))
         found = found.join(needed, "flight_id").filter("found >= n_rows")
     flights = settle(found.select("flight_id"), "new-flights")
-    run = GoldRun(0, 0)
-    if not flights.isEmpty():
-        run = _append(gold, flights, gold_of_states(_of_loads(states, waiting, flights), read_clock(now), sample_rate_hz))
+    count, rows = flights.count(), 0
+    if count:
+        rows = append_whole(gold, gold_of_states(_of_loads(states, waiting, flights), read_clock(now), sample_rate_hz))
     _retire(states, waiting.join(flights, "flight_id", "left_anti"))
-    return run
+    return GoldRun(count, rows)
 
 
 def _of_loads(states: CatalogTable, waiting: DataFrame, flights: DataFrame) -> DataFrame:
@@ -146,11 +147,6 @@ def whole_rows(gold: CatalogTable) -> DataFrame | None:
     return gold.read()
 
 
-def _append(gold: CatalogTable, flights: DataFrame, rows: DataFrame) -> GoldRun:
-    append_whole(gold, rows)
-    return GoldRun(flights.count(), read_back(gold.read(), flights).count())
-
-
 def read_back(gold: DataFrame, flights: DataFrame) -> DataFrame:
     """The Gold rows of the flights of a run."""
     return rows_of(gold, flights)

@@ -15,6 +15,7 @@ from flightloom.operators.signals import (
     SILVER_SIGNALS,
     assemble,
     flight_frames,
+    other_signals,
     signal_profile,
 )
 from flightloom.operators.status import status_rows
@@ -34,6 +35,7 @@ class IntakeTables:
     lengths: CatalogTable | None = None  # rows of each accepted flight, for Gold
     silver: CatalogTable | None = None  # with its load log: flights that are loaded are not written again
     loads: BatchLog | None = None
+    others: str | None = None  # folder of the signals that Silver has no column for, in long form
 
 
 def _read(table: CatalogTable, schema: T.StructType) -> DataFrame:
@@ -116,6 +118,9 @@ def _process(
         to_write = settle(frames.join(ids.join(loaded, "flight_id").select(HASH), HASH, "left_anti"), "to-write")
     silver = assemble(signals, profile, departures, HASH, to_write, columns)
     write_flight_files(silver, tables.landing)
+    if tables.others is not None:
+        further = other_signals(signals, profile, to_write, HASH, columns)
+        write_flight_files(further.join(ids, HASH).drop(HASH), tables.others)
 
     outcome = metadata.join(frames.select(HASH, "base_len", "fault"), HASH, "left")
     # a file without any samples has no frame at all

@@ -175,6 +175,7 @@ FILE = T.StructType(
 NOTE = T.StructType([*FILE.fields, T.StructField("n_rows", T.LongType())])
 COMPACT_AFTER = 64  # batches noted one by one; beyond it they are put together
 FOLDED = "+"  # ends the label of notes that were put together
+_whole: dict[str, str] = {}  # the last batch that this process saw whole, by the name of the log
 
 
 class BatchLog:
@@ -191,17 +192,16 @@ class BatchLog:
     def __init__(self, target: CatalogTable, name: str, followers: tuple[CatalogTable, ...] = ()):
         self.target, self.followers = target, followers
         self.table = CatalogTable(target.spark, name, target.format)
-        self._whole: str | None = None  # the last batch, if it was written here
 
     def recover(self) -> list[str]:
         """Drop the last batch if it is not whole. Returns the labels that are left."""
         labels = self.table.batches()
         last = labels[-1] if labels else FOLDED
-        if last.endswith(FOLDED) or last == self._whole:
+        if last.endswith(FOLDED) or last == _whole.get(self.table.name):
             return labels
         noted = self.table.rows().filter(F.col(BATCH) == last).agg(F.sum("n_rows")).first()[0]
         if self.target.batch_rows(last) == (noted or 0):
-            self._whole = last
+            _whole[self.table.name] = last
             return labels
         for table in (self.target, *self.followers, self.table):  # the note last: it calls for the others
             table.drop_batch(last)
@@ -216,7 +216,7 @@ class BatchLog:
         for table, part in further:
             table.write_batch(part, label)
         self.target.write_batch(rows, label)
-        self._whole = label
+        _whole[self.table.name] = label
         if len(labels) >= COMPACT_AFTER:
             self.fold(labels)
         return label
@@ -235,13 +235,15 @@ class BatchLog:
         return self.table.rows().select(FILE.names).distinct()
 
 
-def append_whole(table: CatalogTable, df: DataFrame) -> None:
-    """Append rows as one batch: after a crash the next append finds all of them or none."""
+def append_whole(table: CatalogTable, df: DataFrame) -> int:
+    """Append rows as one batch: after a crash the next append finds all of them or none. Returns their number."""
     rows = settle(df, "batch")
-    count = table.spark.range(1).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in FILE.fields], F.lit(rows.count()).alias("n_rows")
+    count = rows.count()
+    note = table.spark.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in FILE.fields], F.lit(count).cast("long").alias("n_rows")
     )
-    batch_log(table).write(rows, count)
+    batch_log(table).write(rows, note)
+    return count
 
 
 def batch_log(table: CatalogTable, *followers: CatalogTable) -> BatchLog:
@@ -257,7 +259,7 @@ def write_flight_files(silver: DataFrame, path: str) -> None:
     """
     # the files keep their id column
     placed = silver.withColumn("flight", F.col("flight_id"))
-    order = [c for c in ("flight", "idx") if c in placed.columns]
+    order = [c for c in ("flight", "name", "idx") if c in placed.columns]
     (
         placed.sortWithinPartitions(*order)
         .write.mode("overwrite")

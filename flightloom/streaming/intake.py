@@ -73,9 +73,10 @@ def start_load(
         files = batch.groupBy(FILE.names).agg(F.count("*").alias("n_rows"))
         files = settle(files.join(held, FILE.names, "left"), "batch-files")
         new = files.filter("held IS NULL").drop("held")
-        if not new.isEmpty():
+        n_new, n_all = files.agg(F.count_if(F.col("held").isNull()), F.count("*")).first()
+        if n_new:
             rows = batch
-            if not files.filter("held").isEmpty():
+            if n_new < n_all:
                 names = new.select(FILE.names)
                 rows = batch.join(F.broadcast(names) if fits_broadcast(names) else names, FILE.names, "left_semi")
             rows = rows.drop(*FILE.names)

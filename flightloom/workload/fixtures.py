@@ -128,8 +128,10 @@ def status_updates(spark: SparkSession, sf_dir: str, now: str = NOW) -> DataFram
     )
 
 
-def signals(spark: SparkSession, sf_dir: str, order_block: int = ORDER_BLOCK) -> DataFrame:
-    """Long-form samples of five signals per flight.
+def signals(
+    spark: SparkSession, sf_dir: str, order_block: int = ORDER_BLOCK, others: bool = False
+) -> DataFrame:
+    """Long-form samples of five signals per flight, and on request of three that are no Silver column.
 
     A sample's index is its place among the flight's rows of that signal. All five are counted in
     one pass over lineitem, in blocks of orders, so a large flight is not one task.
@@ -144,6 +146,7 @@ def signals(spark: SparkSession, sf_dir: str, order_block: int = ORDER_BLOCK) ->
         table(spark, sf_dir, "lineitem")
         .selectExpr(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+            "l_linestatus", "l_extendedprice", "l_discount",
             f"l_orderkey div {order_block} AS block",
         )
         .filter("l_linenumber <= 4 OR l_linenumber = 7")
@@ -158,8 +161,14 @@ def signals(spark: SparkSession, sf_dir: str, order_block: int = ORDER_BLOCK) ->
             f"CAST({number} AS double) AS num_value, CAST({text} AS string) AS str_value), NULL)"
         )
 
+    unknown = [
+        sample("OilTemp", "at_n1", "l_extendedprice / 100"),
+        sample("Flap", "at_wind", "l_discount"),
+        sample("Squawk", "at_tail", text="concat('SQ', l_linestatus, l_partkey % 10)"),
+    ]
     samples = ", ".join(
         [
+            *(unknown if others else []),
             sample("FlightPhase", "at_base", "l_linenumber"),
             sample("Airspeed", "at_base", "100 + l_quantity * 8"),
             sample("EngineN1_1", "at_n1", "60 + l_quantity / 2"),

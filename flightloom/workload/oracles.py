@@ -131,6 +131,19 @@ SIGNALS_CTE = (
     ),
 )
 
+OTHER_SIGNALS_CTE = (
+    "signals",
+    " UNION ALL ".join(
+        [
+            SIGNALS_CTE[1],
+            _branch("OilTemp", "l_linenumber <= 4", "l_extendedprice / 100"),
+            _branch("Flap", "l_linenumber = 1 AND l_quantity > 25", "l_discount"),
+            _branch("Squawk", "l_linenumber = 7", "NULL",
+                    "concat('SQ', l_linestatus, CAST(l_partkey % 10 AS VARCHAR))"),
+        ]
+    ),
+)
+
 _CLEAN = "regexp_replace(str_value, '[^A-Z0-9-]', '', 'g')"
 
 PROFILE_CTES = (
@@ -441,6 +454,17 @@ def _long(source: str, where: str = "TRUE") -> str:
     )
 
 
+_OTHERS = f"""
+    SELECT flight_id, row_idx AS idx, param AS name, {_six('value')} AS num_value, CAST(NULL AS VARCHAR) AS str_value
+    FROM (SELECT flight_id, param, row_idx, value FROM down UNION ALL SELECT flight_id, param, row_idx, value FROM up
+          UNION ALL SELECT flight_id, param, row_idx, value FROM pass)
+    WHERE param IN ('OilTemp', 'Flap') AND flight_id NOT IN (SELECT flight_id FROM rejects)
+    UNION ALL
+    SELECT flight_id, unnest(range(base_len)), param, CAST(NULL AS DOUBLE), text_value
+    FROM profile WHERE param = 'Squawk' AND flight_id NOT IN (SELECT flight_id FROM rejects)
+"""
+
+
 def sql() -> dict[str, str]:
     log = ", ".join(STATUS.names)
     recorded = _with(*PROFILE_CTES, *FLIGHTS_CTES, OUTCOMES_CTE, body="")
@@ -453,6 +477,7 @@ def sql() -> dict[str, str]:
                    l_shipdate AS "l_shipDate", CAST(NULL AS DOUBLE) AS l_not_recorded
             FROM lineitem
         """,
+        "other_signals": _with(OTHER_SIGNALS_CTE, *PROFILE_CTES[1:], *SAMPLES_CTES, body=_OTHERS),
         "silver_write": _with(*WIDE_CTES, body=_silver_select(with_idx=False)),
         "gold_append": _with(TELEMETRY_CTE, body=_gold_body("telemetry", _STAMP)),
         "status_append": _with(

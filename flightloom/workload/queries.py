@@ -236,6 +236,13 @@ def silver_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_aligned(spark, sf_dir))
 
 
+def other_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recorded signals that Silver has no column for."""
+    samples = settle(fx.signals(spark, sf_dir, others=True), "samples")
+    profile = settle(signals.signal_profile(samples), "profile")
+    return rounded(signals.other_signals(samples, profile))
+
+
 def reject_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.rejected_flights(signals.signal_profile(fx.signals(spark, sf_dir)))
 
@@ -455,6 +462,7 @@ def registry() -> dict[str, Query]:
         "resample_pass": resampled("pass"),
         "text_signal": text_signal,
         "silver_wide": silver_wide,
+        "other_signals": other_signals,
         "reject_flights": reject_flights,
         "silver_counts": silver_counts,
         "pending_files": pending_files,

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from flightloom.operators import signals as sg
@@ -63,12 +64,31 @@ def departures(spark, sf_dir):
     )
 
 
-def test_assembly_shuffles_the_samples_once(spark, sf_dir, samples, profile):
+def test_assembly_shuffles_pieces_once(spark, sf_dir, samples, profile):
     text = plan(sg.assemble(samples, profile, departures(spark, sf_dir)))
     assert text.count("REPARTITION_BY_COL") == 1
     assert "SortMergeJoin" not in text and "hashpartitioning(flight_id#" in text
-    branch = text[text.index("REPARTITION_BY_COL"):text.index("num_value#")]
-    assert "Exchange hashpartitioning" not in branch
+    below = text[text.index("REPARTITION_BY_COL"):]
+    below = below[:below.index("departure")] if "departure" in below else below
+    # rows are repeated above the exchange only; below it a sample is at most a row per slice
+    above = text[:text.index("REPARTITION_BY_COL")]
+    assert "sequence(first_row" in above and "sequence(first_row#" not in below.replace("sequence((first_row", "")
+    # samples that share a row are averaged in the task that reads them
+    assert "partial_avg(value" in below and below.index("partial_avg(value") > below.index("Exchange hashpartitioning")
+
+
+def test_a_fast_signal_is_shuffled_as_its_rows(spark):
+    """16 samples to a row: each task averages its own before the exchange, and a row goes on as one piece."""
+    rows = spark.range(0, 1600, 1, 2).selectExpr(
+        "1 AS flight_id", "'Airspeed' AS param", "id AS idx", "double(id) AS num_value", "string(NULL) AS str_value"
+    )
+    base = rows.filter("idx < 100").withColumn("param", F.lit("FlightPhase"))
+    both = settle(rows.unionByName(base), "fast")
+    profile = settle(sg.signal_profile(both), "profile")
+    pieces = sg._pieces(both, profile.filter("param = 'Airspeed'"), True, "flight_id")
+    text = plan(pieces)
+    assert text.index("partial_avg(value") > text.index("Exchange hashpartitioning")
+    assert pieces.count() == 100
 
 
 def test_large_profile_is_joined_by_block(spark, sf_dir, samples, profile, monkeypatch):

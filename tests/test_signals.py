@@ -195,6 +195,34 @@ def test_further_signals_become_columns_on_request(spark):
     assert [(r.OilTemp, r.Crew) for r in rows.collect()] == [(2.0, "A1"), (6.0, "A1")]
 
 
+def test_signals_without_a_column_come_in_long_form(spark, monkeypatch):
+    monkeypatch.setattr(sg, "OUTPUT_SLICE", 3)
+    samples = frame(
+        spark,
+        {1: {"FlightPhase": [1] * 8, "OilTemp": list(range(16)), "Flap": [5, 6], "Crew": ["A1", "B2 x"], "Airspeed": [1] * 8},
+         2: {"FlightPhase": [1, 2], "OilTemp": []}, 3: {"FlightPhase": [1], "Gear": [7]}},
+    )
+    found = sg.other_signals(samples, sg.signal_profile(samples)).collect()
+    by_name = {(r.flight_id, r.name, r.idx): r.num_value if r.str_value is None else r.str_value for r in found}
+    assert len(by_name) == len(found) == 25
+    for i in range(8):
+        assert by_name[1, "OilTemp", i] == 2 * i + 0.5
+        assert by_name[1, "Flap", i] == 5 + (i >= 4) and by_name[1, "Crew", i] == "B2"
+    assert by_name[3, "Gear", 0] == 7
+
+
+def test_a_signal_of_one_sample_fills_slices(spark, monkeypatch):
+    """It crosses the exchange as one piece per slice."""
+    monkeypatch.setattr(sg, "OUTPUT_SLICE", 10)
+    samples = frame(spark, {1: {"FlightPhase": [1] * 95, "WindSpeed": [4]}})
+    profile = sg.signal_profile(samples)
+    pieces = sg._pieces(samples, profile.filter("param = 'WindSpeed'"), True, "flight_id").collect()
+    assert sorted((r.slice, r.first_row, r.last_row) for r in pieces) == [
+        (i, 10 * i, min(10 * i + 9, 94)) for i in range(10)
+    ]
+    check(spark, {1: {"FlightPhase": [1] * 95, "WindSpeed": [4], "Airspeed": list(range(95 * 16))}})
+
+
 def test_later_of_two_names_for_one_column_wins(spark):
     rows, faults = run(
         spark, {1: {"FlightPhase": [1, 2], "Airspeed": [5], "airspeed": [8, 9]}}
