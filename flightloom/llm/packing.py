@@ -19,7 +19,7 @@ LENGTH = 1024  # ids per sequence
 END_ID = 0
 ROWS_AT_ONCE = 1_000
 WINDOW = 256 * LENGTH  # ids in which the target proportions hold
-QUEUES = 1024  # the largest sources have a queue each; all others share the last
+QUEUES = 1024  # the largest sources, and all that have a target, have a queue each; the others share the last
 WIDTH = 2  # bytes per stored id; the vocabulary has 50,257
 BROADCAST_ROWS = 500_000
 
@@ -119,6 +119,12 @@ def pieces(
             yield pa.RecordBatch.from_arrays(columns, schema=PIECES)
 
 
+def dealt_sources(sources: DataFrame, names: list[str]) -> DataFrame:
+    """The rows of the named sources."""
+    given = sources.sparkSession.createDataFrame([(n,) for n in names], "source_key string")
+    return sources.join(F.broadcast(given), "source_key", "left_semi")  # as long as the argument
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -158,9 +164,14 @@ def pack(
     # a row per (task, source): as many as tasks and sources together, since rows are sorted
     shares = settle(stored.groupBy("source_key", "part").agg(F.sum("doc_tokens").alias("ids")), "token-shares")
     sources = shares.groupBy("source_key").agg(F.sum("ids").alias("size"))
-    largest = sources.orderBy(F.col("size").desc(), "source_key").limit(queues - 1).collect()
-    names = [r.source_key for r in largest]
-    sizes = [r.size for r in largest]
+    wanted = {"n" if k is None else f"s{k}": v for k, v in (targets or {}).items()}
+    # as many rows as queues and targets
+    own = sources.orderBy(F.col("size").desc(), "source_key").limit(queues - 1).collect()
+    if wanted:
+        given = dealt_sources(sources, list(wanted)).collect()
+        own += [r for r in given if r.source_key not in {x.source_key for x in own}]
+    names = [r.source_key for r in own]
+    sizes = [r.size for r in own]
     queue = F.lit(len(names))
     if names:
         places = F.create_map(*[F.lit(x) for pair in zip(names, range(len(names))) for x in pair])
@@ -171,7 +182,6 @@ def pack(
         sizes.append(rest)
     weights = sizes
     if targets is not None:
-        wanted = {"n" if k is None else f"s{k}": v for k, v in targets.items()}
         weights = [wanted.get(k, 1) for k in names] + [1] * (len(sizes) - len(names))
     earlier = Window.partitionBy("queue").orderBy("source_key", "part").rowsBetween(Window.unboundedPreceding, -1)
     starts = in_queue.select(

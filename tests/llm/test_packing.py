@@ -95,6 +95,17 @@ def test_more_sources_than_queues(make_docs):
     check(rows, pack(make_docs(rows), PATH, length=16, window=64, queues=4, with_ids=True).collect(), 16)
 
 
+def test_targets_of_sources_beyond_the_queues(make_docs):
+    """The smallest source has a target and so a queue of its own."""
+    rows = [(i, "word " * 9, f"big{i % 5}") for i in range(300)] + [(1000 + i, "word " * 9, "z") for i in range(40)]
+    for queues in (1024, 3):
+        options = {"targets": {"z": 3, "absent": 7}, "length": 20, "window": 80, "queues": queues}
+        found = pack(make_docs(rows), PATH, with_ids=True, **options).collect()
+        check(rows, found, 20)
+        others = 5 if queues == 1024 else 3  # two of their own and the shared one
+        assert abs(proportions(rows, found, 80, 20)[0]["z"] - 80 * 3 / (3 + others)) <= 1
+
+
 def test_rounds_against_a_queue_simulation():
     """The closed form is deficit round-robin played turn by turn."""
     sizes, weights, window = [50, 7, 0, 123, 31], [5, 2, 1, 9, 4], 37
