@@ -100,6 +100,11 @@ GRAMS = ", ".join(
     for words in [phrase.split(" ")]
     for i, (a, b) in enumerate(zip(words, words[1:]))
 )
+DECIDED = " ".join(
+    f"WHEN phrase = '{phrase}' THEN "
+    + " AND ".join(f"list_has_any(voted, {list(places)})" for places in licenses.deciding_grams(phrase, needed))
+    for phrase, needed in licenses.DECIDING.items()
+)
 OP9 = rf"""
 WITH t(phrase, label, base, grams, place, a, b) AS (VALUES {GRAMS}),
 w AS (
@@ -108,9 +113,11 @@ w AS (
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
   FROM documents
 ), p AS (
-  SELECT doc_id, unnest(words) AS a, unnest(words[2:]) AS b, unnest(range(len(words))) AS pos FROM w
+  SELECT doc_id, unnest(words) AS a, unnest(words[2:]) AS b, unnest(list_concat([''], words[:-2])) AS p1,
+         unnest(list_concat(['', ''], words[:-3])) AS p2, unnest(range(len(words))) AS pos FROM w
 ), v AS (
-  SELECT doc_id, phrase, label, base, grams, pos - place AS diagonal, list(DISTINCT place) AS places
+  SELECT doc_id, phrase, label, base, grams, pos - place AS diagonal, list(DISTINCT place) AS places,
+         bool_or(p1 IN {licenses.NEGATIONS} OR (p2 IN {licenses.NEGATIONS} AND p1 IN {licenses.FILLERS})) AS denied
   FROM p JOIN t USING (a, b) GROUP BY ALL
 ), m AS (
   SELECT *, sum(apart) OVER (PARTITION BY doc_id, phrase, label, base ORDER BY diagonal) AS passage
@@ -118,19 +125,23 @@ w AS (
           PARTITION BY doc_id, phrase, label, base ORDER BY diagonal) > {licenses.SLACK} THEN 1 ELSE 0 END AS apart FROM v)
 ), q AS (
   SELECT doc_id, phrase, label, base, passage,
+         list_distinct(flatten(list(places))) AS voted, bool_or(denied) AS denied,
          len(list_distinct(flatten(list(places)))) / any_value(grams) AS coverage,
          count(*) FILTER (len(places) = grams) AS exact,
          min(diagonal) FILTER (len(places) = grams) AS first_exact,
          max(diagonal) FILTER (len(places) = grams) AS last_exact
   FROM m GROUP BY ALL
+), z AS (
+  SELECT *, CASE {DECIDED} ELSE TRUE END
+         AND NOT (denied AND NOT list_has_any(string_split(phrase, ' '), {list(licenses.NEGATIONS)})) AS verified FROM q
 ), f AS (
   SELECT doc_id, sum(exact) FILTER (base)::BIGINT AS n_base,
          min(first_exact) FILTER (base) AS first_word, max(last_exact) FILTER (base) AS last_word,
          array_to_string(list_sort(list(DISTINCT label) FILTER (base AND exact > 0)), ',') AS base_labels,
          array_to_string(list_sort(list(DISTINCT label) FILTER (
-           CASE WHEN base THEN exact > 0 ELSE coverage >= {licenses.COVERAGE} END)), ',') AS labels,
-         max(coverage) AS score
-  FROM q GROUP BY doc_id
+           CASE WHEN base THEN exact > 0 ELSE verified AND coverage >= {licenses.COVERAGE} END)), ',') AS labels,
+         max(coverage) FILTER (base OR verified) AS score
+  FROM z GROUP BY doc_id
 )
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
@@ -138,7 +149,7 @@ FROM w LEFT JOIN f USING (doc_id)
 """
 
 BLANK = r"[\x20\x09-\x0D]+"
-NORMAL = f"trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{BLANK}', ' ', 'g'))"
+NORMAL = f"trim(regexp_replace(lower(raw), '{BLANK}', ' ', 'g'))"
 OP12 = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS lines,

@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from flightloom.llm.licenses import BASE, license_passages, scan_licenses
+from flightloom.llm.licenses import BASE, DECIDING, TEMPLATES, deciding_grams, license_passages, scan_licenses
 
 from edge_rows import EDGE  # noqa: I001
 
@@ -46,7 +46,8 @@ TEXTS = [
     (3, "all rights are reserved", "a"),
     (4, "Released under the MIT License.", "a"),
     (5, "This is released under the very MIT license", "a"),  # a word put in
-    (6, "Permission is hereby granted, free of charge, to any man obtaining a copy", "a"),  # a word changed
+    (6, "Permission is hereby granted, free of charge, to any man obtaining a copy of this software and associated "
+        "documentation files", "a"),  # a word changed
     (7, "released x x x x x x under the mit x x x license", "a"),
     (8, "under the gnu lesser general public license", "a"),
 ]
@@ -63,6 +64,39 @@ def test_passages(make_docs):
     assert spans[5, "mit"] == (2, 3)
 
 
+SPANS = {
+    "licensed under the GNU General Public License version 2": "gpl,gpl-2.0",
+    "licensed under the GNU General Public License version 3": "gpl,gpl-3.0",
+    "licensed under the GNU General Public License": "gpl",
+    "licensed under the GNU Lesser General Public License, version 3": "gpl,lgpl",
+    "this work is dedicated to the public domain": "public-domain",
+    "this work is not dedicated to the public domain": "",
+    "this work is hereby dedicated to the public domain": "public-domain",
+    "It is not yet released under the MIT license": "",
+    "It was never released under the MIT license": "",
+    "It is released under the MIT license, not sold": "mit",
+    "CC BY SA 4.0": "cc-by,cc-by-sa",
+    "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc-4.0",
+    "Licensed under CC BY-ND 4.0": "cc-by",
+    "you may not use this file except in compliance with the License. You may obtain a copy of the License at": "apache-2.0",
+    "licensed under the Apache license version 1.1": "",
+    "released under the BSD license": "",
+}
+
+
+def test_spans_are_verified(make_docs):
+    """A passage that shares three quarters of a template's grams and yet says something else has no label."""
+    texts = list(SPANS)
+    rows = [(i, f"Some words first. {t} and more follows", "a") for i, t in enumerate(texts)]
+    found = {r.doc_id: r.labels for r in scan_licenses(make_docs(rows)).collect()}
+    assert {t: found[i] for i, t in enumerate(texts)} == SPANS
+
+
+def test_deciding_words_are_in_their_templates():
+    for phrase, needed in DECIDING.items():
+        assert phrase in TEMPLATES and all(0 <= max(places) < len(phrase.split()) for places in deciding_grams(phrase, needed))
+
+
 def test_only_matches_are_shuffled(make_docs):
     """The template table is broadcast below the first exchange of grams."""
     plan = license_passages(make_docs(TEXTS))._jdf.queryExecution().executedPlan().toString()
