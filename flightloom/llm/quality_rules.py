@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.common import ascii_lower, null_safe_key, whole_text
+from flightloom.llm.common import null_safe_key, whole_text
 from flightloom.session import settle
 
 LEAST_WORDS = 50  # a document needs so many words, also after its common lines are removed
@@ -17,7 +17,7 @@ LEAST_LEFT = 50  # percent of the words that have to be left without the common
 BROADCAST_LINES = 500_000  # 16-byte digests, so about 20 MB; beyond it the sites are joined
 
 BLANKS = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 
 
 def words_of(text: Column) -> Column:
@@ -25,8 +25,8 @@ def words_of(text: Column) -> Column:
 
 
 def normal_line(line: Column) -> Column:
-    """A-Z in lower case, blanks as one space; empty for a line without a word."""
-    return F.trim(F.regexp_replace(ascii_lower(line), r"[\x20\x09-\x0D]+", " "))
+    """In lower case, blanks as one space; empty for a line without a word."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
 
 
 def line_digest(line: Column) -> Column:
@@ -35,31 +35,27 @@ def line_digest(line: Column) -> Column:
     return F.when(bare != "", F.unhex(F.md5(bare)))
 
 
-def repeated_words(words: Column) -> Column:
-    """How many words lie in a three-word window that occurs twice or more.
-
-    The windows are sorted with their places, so that equal ones are neighbours: n log n steps.
-    """
-    windows = F.arrays_zip(
-        words.alias("a"), F.slice(words, 2, F.size(words)).alias("b"), F.slice(words, 3, F.size(words)).alias("c")
-    )
-    placed = F.transform(
-        F.slice(windows, 1, F.size(words) - WINDOW + 1),
-        lambda w, i: F.struct(w["a"].alias("a"), w["b"].alias("b"), w["c"].alias("c"), i.alias("i")),
-    )
-    return F.when(F.size(words) <= WINDOW, F.array().cast("array<struct<a:string,b:string,c:string,i:int>>")).otherwise(
-        F.sort_array(placed)
+def hashed_windows(words: Column) -> Column:
+    """The three-word windows as (hash, place), sorted, so that equal ones are neighbours."""
+    later = [F.slice(words, k + 1, F.greatest(F.size(words) - (WINDOW - 1), F.lit(0))) for k in range(WINDOW)]
+    windows = F.arrays_zip(*[part.alias(f"w{k}") for k, part in enumerate(later)])
+    return F.sort_array(
+        F.transform(windows, lambda w, i: F.struct(F.xxhash64(*[w[f"w{k}"] for k in range(WINDOW)]).alias("h"), i.alias("i")))
     )
 
 
-def covered(ordered: Column) -> Column:
-    """The number of different words in neighbours of ``ordered`` that are equal."""
+def repeated_words(ordered: Column, words: Column) -> Column:
+    """How many words lie in a three-word window that occurs twice or more.
+
+    Neighbours of one hash are compared word by word; n log n steps in all.
+    """
     following = F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1)))
 
     def both(x: Column, y: Column) -> Column:
-        equal = (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
-        places = [w["i"] + k for w in (x, y) for k in range(WINDOW)]
-        return F.when(equal, F.array(*places))
+        equal = x["h"] == y["h"]
+        for k in range(WINDOW):
+            equal = equal & (F.get(words, x["i"] + k) == F.get(words, y["i"] + k))
+        return F.when(equal, F.array(*[w["i"] + k for w in (x, y) for k in range(WINDOW)]))
 
     pairs = F.array_compact(F.zip_with(ordered, following, both))
     return F.size(F.array_distinct(F.flatten(pairs)))
@@ -70,14 +66,14 @@ def with_measures(docs: DataFrame) -> DataFrame:
     text = F.col("__text")
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     counted = docs.withColumns({"__words": words_of(text), "__worded": lines})
-    counted = counted.withColumn("__ordered", repeated_words(F.col("__words")))
+    counted = counted.withColumn("__ordered", hashed_windows(F.col("__words")))
     counted = counted.withColumns(
         {
             "n_words": F.size("__words").cast("long"),
-            "word_chars": F.length(F.translate(text, BLANKS, "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.length(F.array_join("__words", "")).cast("long"),
+            "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long"),
             "n_dup_lines": (F.size("__worded") - F.size(F.array_distinct("__worded"))).cast("long"),
-            "n_repeat_words": covered(F.col("__ordered")).cast("long"),
+            "n_repeat_words": repeated_words(F.col("__ordered"), F.col("__words")).cast("long"),
         }
     )
     few = F.col("n_words") < LEAST_WORDS

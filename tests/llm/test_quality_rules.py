@@ -8,7 +8,6 @@ from edge_rows import EDGE  # noqa: I001
 
 NAMES = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
          "lines_removed", "words_left", "kept", "clean_text")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def words_of(text):
@@ -16,7 +15,7 @@ def words_of(text):
 
 
 def normal(line):
-    return " ".join(words_of(line.translate(LOWER)))
+    return " ".join(words_of(line.lower()))
 
 
 def expected(rows, share=0.05, least=5):
