@@ -90,8 +90,8 @@ def intake_command(spark: SparkSession, args: argparse.Namespace) -> str:
 
 
 def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
-    def recordings():
-        return list_files(spark, args.incoming), spark.table(args.attrs), spark.table(args.signals)
+    def recordings(arrived):
+        return arrived, spark.table(args.attrs), spark.table(args.signals)
 
     repeat_pipeline(
         spark, args.incoming, recordings, intake_tables(spark, args), table(spark, args, args.silver),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ from flightloom.session import fits_broadcast, settle
 from flightloom.sources.tables import BatchLog, CatalogTable, write_flight_files
 
 HASH = "input_file_hash_rel"
+SLICE = "hash_slice"  # partition column of stored samples: the first two digits of the hash, 256 values
 
 
 @dataclass(frozen=True)
@@ -69,12 +70,30 @@ def run_intake(
     return f"Preprocessing completed. Files processed: {n_files}"
 
 
+def slice_of(hash_: Column) -> Column:
+    return F.substring(hash_, 1, 2)
+
+
+def store_samples(signals: DataFrame, table: CatalogTable) -> None:
+    """Append decoded samples, laid out by slices of the file hash, so that intake reads those of pending files only."""
+    sliced = signals.withColumn(SLICE, slice_of(F.col(HASH)))
+    # a task per slice and part of it: few files, and no slice is one task
+    dealt = sliced.repartition(SLICE, F.pmod(F.xxhash64(HASH, "param"), F.lit(4)))
+    dealt.write.mode("append").format(table.format).partitionBy(SLICE).saveAsTable(table.name)
+
+
 def _of_pending(signals: DataFrame, keys: DataFrame) -> DataFrame:
-    """The samples of the pending files. A bounded key list is broadcast; the files that a longer one
-    leaves out are skipped by the range of their hashes, and skewed files are split by the optimizer."""
-    lowest, highest = keys.agg(F.min(HASH), F.max(HASH)).first()
-    in_range = signals.filter(F.col(HASH).between(lowest, highest))
-    return in_range.join(F.broadcast(keys) if fits_broadcast(keys) else keys, HASH, "left_semi")
+    """The samples of the pending files. Of samples laid out by ``store_samples`` only the slices that have one are
+    read. A bounded key list is broadcast; with a longer one, skewed files are split by the optimizer."""
+    if SLICE in signals.columns:
+        touched = [r[0] for r in keys.select(slice_of(F.col(HASH))).distinct().collect()]  # at most 256
+        signals = signals.filter(F.col(SLICE).isin(touched)).drop(SLICE)
+    return signals.join(F.broadcast(keys) if fits_broadcast(keys) else keys, HASH, "left_semi")
+
+
+def landed_folder(landing: str) -> Column:
+    """Where the files of a flight lie."""
+    return F.concat(F.lit(f"{landing}/flight="), F.col("flight_id").cast("string"))
 
 
 def _loaded_flights(tables: IntakeTables) -> DataFrame | None:
@@ -139,7 +158,7 @@ def _process(
         status_rows(
             outcome.select(
                 "relative_path",
-                F.concat(F.lit(f"{tables.landing}/flight="), "flight_id").alias("output_file_path"),
+                landed_folder(tables.landing).alias("output_file_path"),
                 F.col("base_len").alias("n_rows"),
                 "fault",
             ),

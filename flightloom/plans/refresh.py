@@ -10,6 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flightloom.plans.gold_job import Clock, GoldRun, read_clock, refresh_gold, utc_now
 from flightloom.plans.ingest import IntakeTables, run_intake
+from flightloom.session import settle
+from flightloom.sources.listing import listed
 from flightloom.sources.tables import CatalogTable
 from flightloom.streaming.intake import ANY_AGE, landed_files, start_load, states_of
 
@@ -65,7 +67,7 @@ def run_pipeline(
     return message, refresh_gold(states_of(silver), gold, now, expected)
 
 
-Recordings = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
+Recordings = Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]]
 
 
 def repeat_pipeline(
@@ -81,8 +83,9 @@ def repeat_pipeline(
 ) -> StreamingQuery:
     """Run the whole chain whenever files have arrived in ``incoming``.
 
-    Arrivals only set it off: each pass asks ``recordings`` for the listing, attributes and samples as
-    they are then, and the status log decides what is new. Contents of incoming files are not read here.
+    The files of a batch of arrivals are the listing; no folder is listed for it. Each pass hands it to
+    ``recordings``, which returns the listing, attributes and samples to work on, and the status log decides what
+    is new. A pass that failed meets the same files again. Contents of incoming files are not read here.
     ``every`` repeats on a schedule; by default what is there is processed and the query ends.
     """
     arrivals = (
@@ -91,11 +94,13 @@ def repeat_pipeline(
         .option("maxFileAge", ANY_AGE)
         .schema("path string, modificationTime timestamp, length long, content binary")
         .load(incoming)
-        .select("path")
+        .select("path", "modificationTime", "length")
     )
 
-    def process(_: DataFrame, number: int) -> None:
-        run_pipeline(spark, *recordings(), tables, silver, gold, f"{checkpoint}/load", now)
+    def process(batch: DataFrame, number: int) -> None:
+        # settled, as it is read more than once
+        arrived = settle(listed(batch, incoming), "arrivals")
+        run_pipeline(spark, *recordings(arrived), tables, silver, gold, f"{checkpoint}/load", now)
 
     writer = arrivals.writeStream.foreachBatch(process).option("checkpointLocation", f"{checkpoint}/arrivals")
     trigger = {"processingTime": every} if every else {"availableNow": True}

@@ -48,17 +48,17 @@ def load_by_name(
     path: str,
     schema: T.StructType,
     pattern: str = "*.parquet",
-    same_columns: bool = False,
+    merge_columns: bool = False,
 ) -> DataFrame:
     """Parquet files below ``path`` in the target schema.
 
-    The columns of all files are merged, as files may carry different signals. Set
-    ``same_columns`` if they all agree; one footer is read then.
+    One footer tells the columns of all files. If files carry different columns, ``merge_columns`` reads the
+    footers of all of them.
     """
     files = (
         spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
-        .option("mergeSchema", str(not same_columns).lower())
+        .option("mergeSchema", str(merge_columns).lower())
         .parquet(path)
     )
     return project_by_name(files, schema)

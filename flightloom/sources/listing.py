@@ -18,6 +18,12 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
         .option("recursiveFileLookup", "true")
         .load(folder)
     )
+    return listed(found, folder)
+
+
+def listed(found: DataFrame, folder: str) -> DataFrame:
+    """The listing of files (path, modificationTime, length) below ``folder``, also of those that a stream brings."""
+    spark = found.sparkSession
     # the folder as the file system writes it, which every path below it starts with
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -431,12 +431,12 @@ _STATUS_ROWS = f"""
     SELECT concat('in/', CAST(flight_id AS VARCHAR), '.h5') AS file_relative_path,
            concat(CAST(flight_id AS VARCHAR), '.h5') AS input_file_name,
            md5(concat('in/', CAST(flight_id AS VARCHAR), '.h5')) AS input_file_hash_rel,
-           CASE WHEN fault IS NULL THEN concat('output-files/', output_name) ELSE '' END
+           CASE WHEN fault IS NULL THEN concat('output-files/flight=', CAST(flight_id AS VARCHAR)) ELSE '' END
                AS output_file_path,
            CASE WHEN fault IS NULL THEN 'Completed' ELSE 'Failed' END AS status,
            CASE WHEN fault IS NULL
                 THEN concat('Processed ', CAST(base_len AS VARCHAR),
-                            ' rows | output-files/', output_name)
+                            ' rows | output-files/flight=', CAST(flight_id AS VARCHAR))
                 ELSE substring(fault, 1, 500) END AS status_msg,
            {_NOW} AS file_processed_dt
     FROM outcomes

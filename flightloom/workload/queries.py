@@ -13,7 +13,7 @@ from flightloom.functions.columns import headwind
 from flightloom.operators import audits, gold, keys, manifest, metadata, mutation, signals, status
 from flightloom.plans import status_session
 from flightloom.plans.gold_job import gold_of_flights, read_back, run_gold
-from flightloom.plans.ingest import IntakeTables
+from flightloom.plans.ingest import IntakeTables, landed_folder
 from flightloom.plans.refresh import load_landed, repeat_pipeline, run_pipeline
 from flightloom.schemas import SILVER
 from flightloom.session import fresh_path, settle
@@ -279,7 +279,7 @@ def status_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     log.append(fx.status_log(spark, sf_dir))
     files = _outcomes(spark, sf_dir).select(
         fx.recording_path(F.col("flight_id")).alias("relative_path"),
-        F.concat(F.lit("output-files/"), F.col("output_name")).alias("output_file_path"),
+        landed_folder("output-files").alias("output_file_path"),
         F.col("base_len").alias("n_rows"),
         "fault",
     )
@@ -402,7 +402,7 @@ def pipeline_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
         listing.filter(arrived).select("relative_path").write.mode("append").text(incoming)
         here = listing.filter(arrived)
         repeat_pipeline(
-            spark, incoming, lambda here=here: (here, attrs, samples), tables, silver, gold_table, checkpoint, fx.NOW
+            spark, incoming, lambda arrived, here=here: (here, attrs, samples), tables, silver, gold_table, checkpoint, fx.NOW
         ).awaitTermination()
     return rounded(gold_table.read())
 

@@ -1,5 +1,6 @@
 """Whole runs: Gold job, streamed load, intake, and what happens when they are repeated."""
 
+import dataclasses
 import os
 import shutil
 import time
@@ -299,11 +300,14 @@ def test_the_chain_repeats_when_files_arrive(spark, sf_dir):
     for here in (listing.filter("relative_path < 'in/5'"), None, listing):
         if here is not None:
             here.select("relative_path").coalesce(1).write.mode("append").text(incoming)
-        asked = []
+        arrivals = []
         repeat_pipeline(
-            spark, incoming, lambda: asked.append(1) or (here, attrs, samples), tables, silver, gold, checkpoint, NOW
-        ).awaitTermination()
-        assert len(asked) == (here is not None)
+            spark, incoming, lambda found: arrivals.append(found.collect()) or (here, attrs, samples), tables, silver,
+            gold, checkpoint, NOW,
+        ).awaitTermination()
+        # each pass lists the one file that has arrived, not the folder
+        assert [len(files) for files in arrivals] == [1] * (here is not None)
+        assert all(r.file_url.endswith(r.relative_path) and r.size > 0 for files in arrivals for r in files)
         assert here is None or tables.status.read().count() == here.count()
     assert gold.read().select("flight_id").distinct().count() == tables.bronze.read().count()
 
@@ -406,6 +410,41 @@ def test_intake_after_a_crash(spark, sf_dir, monkeypatch):
     assert tables.status.read().count() == files[0].count()
 
 
+def test_intake_reads_the_slices_of_pending_files(spark, sf_dir):
+    """Stored samples are laid out by hash; of three pending files at most three slices are read."""
+    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    stored, tables = new_table(spark), intake_tables(spark)
+    ingest.store_samples(samples, stored)
+    few = settle(listing.limit(3), "few")
+    keys = few.select(F.md5("relative_path").alias(ingest.HASH))
+    found = ingest._of_pending(stored.read(), settle(keys, "keys"))
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(hash_slice" in scan or "PartitionFilters: [hash_slice" in scan
+    want = samples.join(keys, ingest.HASH, "left_semi")
+    assert found.count() == want.count() > 0 and found.exceptAll(want.select(found.columns)).isEmpty()
+    assert run_intake(few, attrs, stored.read(), tables, NOW).endswith("processed: 3")
+    assert run_intake(listing, attrs, stored.read(), tables, NOW).endswith(f"processed: {listing.count() - 3}")
+    others = intake_tables(spark)
+    run_intake(listing, attrs, samples, others, NOW)
+    columns = ["input_file_name", "status"]
+    both = [t.status.read().select(columns) for t in (tables, others)]
+    assert both[0].exceptAll(both[1]).isEmpty() and both[0].count() == both[1].count()
+
+
+def test_signals_without_a_column_are_written_too(spark, sf_dir):
+    listing, attrs, _ = fx.recordings(spark, sf_dir)
+    keyed = F.md5(fx.recording_path(F.col("flight_id"))).alias(ingest.HASH)
+    samples = fx.signals(spark, sf_dir, others=True).select(keyed, "param", "idx", "num_value", "str_value")
+    folder = fresh_path(spark, "others")
+    tables = dataclasses.replace(intake_tables(spark), others=folder)
+    run_intake(listing, attrs, samples, tables, NOW)
+    found = spark.read.parquet(folder)
+    assert {r.name for r in found.select("name").distinct().collect()} == {"OilTemp", "Flap", "Squawk"}
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(tables.landing)
+    per_flight = found.filter("name = 'OilTemp'").groupBy("flight_id").count()
+    assert per_flight.exceptAll(rows.groupBy("flight_id").count()).isEmpty() and not per_flight.isEmpty()
+
+
 def test_file_without_samples_fails_alone(spark, sf_dir):
     tables = intake_tables(spark)
     listing, attrs, signals = fx.recordings(spark, sf_dir)

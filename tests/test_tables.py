@@ -199,7 +199,7 @@ def test_load_by_name(spark):
     spark.range(2).selectExpr("CAST(id AS int) AS ID", "'a' AS V", "1 AS extra").write.parquet(path)
     spark.range(2, 3).selectExpr("CAST(id AS int) AS id").write.mode("append").parquet(path)
     spark.range(9).write.mode("append").option("compression", "none").json(path)
-    rows = sorted(load_by_name(spark, path, NUMBERS).collect())
+    rows = sorted(load_by_name(spark, path, NUMBERS, merge_columns=True).collect())
     assert [tuple(r) for r in rows] == [(0, "a"), (1, "a"), (2, None)]
 
 
