@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flightloom.functions.columns import utc_literal
 from flightloom.operators.gold import gold_rows
 from flightloom.workload.ranking import running_counts
-from flightloom.schemas import FLIGHT_ATTRS, SILVER
+from flightloom.schemas import FLIGHT_ATTRS, SIGNAL_COLUMNS, SILVER, TEXT_COLUMNS
 
 EARLIER = "2024-06-01 00:00:00"
 NOW = "2024-06-02 12:30:00"
@@ -51,6 +51,67 @@ TELEMETRY = {
     "flight_departure_dttm": "1704067200000000 + l_suppkey * 3600000000",
 }
 
+# The lines of a flight that are a sample, by rate (base samples to a sample).
+RATES = {
+    "at_base": "l_linenumber = 1",
+    "at_all": "l_linenumber >= 1",  # about seven to one
+    "at_n1": "l_linenumber <= 4",  # four to one
+    "at_late": "l_linenumber >= 5",  # three to one
+    "at_wind": "l_linenumber = 1 AND l_quantity > 25",  # one to two
+    "at_tail": "l_linenumber = 7",  # text
+}
+RATE_OF = {
+    "VerticalAcceleration": "at_all",
+    **dict.fromkeys(["EngineN1_1", "EngineN1_2", "FuelFlowTotal"], "at_n1"),
+    **dict.fromkeys(
+        ["LateralAcceleration", "LongitudinalAcceleration", "PitchRate", "RollAngle", "YawRate"], "at_late"
+    ),
+    **dict.fromkeys(["AirTemperature", "TotalAirTemperature", "WindDirection", "WindSpeed"], "at_wind"),
+}
+# What is recorded other than the value of the signal's Silver column. Where metrics are
+# taken of it, these are whole numbers, halves or quarters, so a mean does not depend on the order of addition.
+RECORDED_AS = {
+    "AirTemperature": "15 - floor(l_extendedprice / 1000)",
+    "BaroAltitude": "floor(l_extendedprice) / 2",
+    "EngineN1_2": "60 + round(l_discount * 400)",
+    "FuelFlowTotal": "floor(l_extendedprice / 10)",
+    "LateralAcceleration": "round(l_discount * 100 - 5) / 2",
+    "LongitudinalAcceleration": "round(l_tax * 100 - 4) / 2",
+    "PitchRate": "round(l_tax * 100 - 4) / 2",
+    "TotalAirTemperature": "20 - floor(l_extendedprice / 1000)",
+    "VerticalAcceleration": "1 + round(l_discount * 100 - 5) / 2",
+    "YawRate": "round(l_discount * 100 - 5) / 2",
+    "FlightPhase": "1 + l_orderkey % 5",
+    "AircraftTail": "concat('TL-', l_returnflag, 'x', CAST(l_suppkey AS STRING), ' ')",
+}
+
+
+def _recorded(param: str) -> tuple[str, str, str]:
+    """Rate, number and text of a known signal."""
+    column = SIGNAL_COLUMNS[param]
+    value = RECORDED_AS.get(param, TELEMETRY[column])
+    if column in TEXT_COLUMNS:
+        return "at_tail", "NULL", value
+    return RATE_OF.get(param, "at_base"), value, "NULL"
+
+
+RECORDED = {param: _recorded(param) for param in SIGNAL_COLUMNS}
+# Signals that are no Silver column.
+OTHERS = {
+    "OilTemp": ("at_n1", "l_extendedprice / 100", "NULL"),
+    "Flap": ("at_wind", "l_discount", "NULL"),
+    "Squawk": ("at_tail", "NULL", "concat('SQ', l_linestatus, CAST(l_partkey % 10 AS STRING))"),
+}
+# Faults by flight % 40, as (signal, index, number, text, which samples are left).
+FAULTS = {
+    31: ("FlightPhase", "idx", "num_value", "str_value", "FALSE"),  # no base samples
+    32: ("Longitude", "NULL", "NULL", "NULL", "idx = 0"),  # an empty signal
+    33: ("HeadingTrue", "idx", "num_value", "str_value", "idx <> 2"),  # a gap
+    34: ("MachNumber", "if(idx = 1, 0, idx)", "num_value", "str_value", "TRUE"),  # a repeated index
+    37: ("Latitude", "idx", "NULL", "NULL", "TRUE"),  # neither numbers nor text
+    36: ("PitchAngle", "idx", "NULL", "'N/A'", "TRUE"),  # text in a numeric column
+}
+
 ORDER_BLOCK = 1 << 20  # order keys per block; an order has at most seven lines
 
 
@@ -128,56 +189,42 @@ def status_updates(spark: SparkSession, sf_dir: str, now: str = NOW) -> DataFram
     )
 
 
+def _with_faults(samples: DataFrame) -> DataFrame:
+    values = {"idx": "", "num_value": "", "str_value": ""}
+    left = ""
+    for rest, (param, idx, number, text, which) in FAULTS.items():
+        hit = f"WHEN flight_id % 40 = {rest} AND param = '{param}' THEN"
+        left += f"{hit} {which} "
+        for name, value in zip(values, (idx, number, text), strict=True):
+            values[name] += f"{hit} {value} "
+    kept = samples.filter(f"CASE {left} ELSE TRUE END")
+    return kept.selectExpr(
+        "flight_id", "param", *[f"CASE {cases} ELSE {name} END AS {name}" for name, cases in values.items()]
+    )
+
+
 def signals(
     spark: SparkSession, sf_dir: str, order_block: int = ORDER_BLOCK, others: bool = False
 ) -> DataFrame:
-    """Long-form samples of five signals per flight, and on request of three that are no Silver column.
+    """Long-form samples of the 32 signals per flight, and on request of three that are no Silver column.
 
-    A sample's index is its place among the flight's rows of that signal. All five are counted in
-    one pass over lineitem, in blocks of orders, so a large flight is not one task.
+    A sample's index is its place among the flight's rows of that signal. All rates are counted in
+    one pass over lineitem, in blocks of orders, so a large flight is not one task. Some flights have a fault.
     """
-    present = {
-        "at_base": "l_linenumber = 1",
-        "at_n1": "l_linenumber <= 4",
-        "at_wind": "l_linenumber = 1 AND l_quantity > 25",
-        "at_tail": "l_linenumber = 7",
-    }
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .selectExpr(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
-            "l_linestatus", "l_extendedprice", "l_discount",
-            f"l_orderkey div {order_block} AS block",
-        )
-        .filter("l_linenumber <= 4 OR l_linenumber = 7")
-    )
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+        "l_linestatus", "l_extendedprice", "l_discount", "l_tax", f"l_orderkey div {order_block} AS block",
+    )
     counted = running_counts(
-        lines, ["l_suppkey"], "block", ["l_orderkey", "l_linenumber", "l_partkey"], present
+        lines, ["l_suppkey"], "block", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], RATES
     )
-
-    def sample(param: str, place: str, number: str = "NULL", text: str = "NULL") -> str:
-        return (
-            f"if({present[place]}, struct('{param}' AS param, {place} - 1 AS idx, "
-            f"CAST({number} AS double) AS num_value, CAST({text} AS string) AS str_value), NULL)"
-        )
-
-    unknown = [
-        sample("OilTemp", "at_n1", "l_extendedprice / 100"),
-        sample("Flap", "at_wind", "l_discount"),
-        sample("Squawk", "at_tail", text="concat('SQ', l_linestatus, l_partkey % 10)"),
-    ]
     samples = ", ".join(
-        [
-            *(unknown if others else []),
-            sample("FlightPhase", "at_base", "l_linenumber"),
-            sample("Airspeed", "at_base", "100 + l_quantity * 8"),
-            sample("EngineN1_1", "at_n1", "60 + l_quantity / 2"),
-            sample("WindSpeed", "at_wind", "l_quantity"),
-            sample("AircraftTail", "at_tail", text="concat('TL-', l_returnflag, 'x', l_suppkey, ' ')"),
-        ]
+        f"if({RATES[rate]}, struct('{param}' AS param, {rate} - 1 AS idx, "
+        f"CAST({number} AS double) AS num_value, CAST({text} AS string) AS str_value), NULL)"
+        for param, (rate, number, text) in (RECORDED | (OTHERS if others else {})).items()
     )
-    return counted.selectExpr(
-        "CAST(l_suppkey AS int) AS flight_id", f"inline(array_compact(array({samples})))"
+    return _with_faults(
+        counted.selectExpr("CAST(l_suppkey AS int) AS flight_id", f"inline(array_compact(array({samples})))")
     )
 
 

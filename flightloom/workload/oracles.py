@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from flightloom.operators.gold import KEYS, METRIC_GROUPS, metric_names
-from flightloom.schemas import GOLD, GOLD_METRICS, SILVER, STATUS
-from flightloom.workload.fixtures import EARLIER, NOW, TELEMETRY
+from flightloom.schemas import GOLD, GOLD_METRICS, SIGNAL_COLUMNS, SILVER, STATUS, TEXT_COLUMNS
+from flightloom.workload.fixtures import EARLIER, FAULTS, NOW, OTHERS, RATES, RECORDED, TELEMETRY
 
 SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 
@@ -103,47 +103,34 @@ MERGED_CTE = (
 )
 
 
-def _branch(param: str, condition: str, number: str, text: str = "CAST(NULL AS VARCHAR)") -> str:
-    return f"""
+def _branch(param: str, rate: str, number: str, text: str) -> str:
+    """The samples of one signal, as sound flights and as the flight with a fault in it records them."""
+    branch = f"""
     SELECT CAST(l_suppkey AS INTEGER) AS flight_id, '{param}' AS param,
            row_number() OVER (PARTITION BY l_suppkey
-                              ORDER BY l_orderkey, l_linenumber, l_partkey) - 1 AS idx,
-           CAST({number} AS DOUBLE) AS num_value, {text} AS str_value
-    FROM lineitem WHERE {condition}
+                              ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 AS idx,
+           CAST({number} AS DOUBLE) AS num_value, CAST({text} AS VARCHAR) AS str_value
+    FROM lineitem WHERE {RATES[rate]}
     """
+    for rest, (faulty, idx, value, words, which) in FAULTS.items():
+        if faulty == param:
+            branch = f"""
+            SELECT * FROM ({branch}) WHERE flight_id % 40 <> {rest}
+            UNION ALL
+            SELECT flight_id, param, CAST({idx} AS BIGINT), CAST({value} AS DOUBLE), CAST({words} AS VARCHAR)
+            FROM ({branch}) WHERE flight_id % 40 = {rest} AND {which}
+            """
+    return branch
 
 
-SIGNALS_CTE = (
-    "signals",
-    " UNION ALL ".join(
-        [
-            _branch("FlightPhase", "l_linenumber = 1", "l_linenumber"),
-            _branch("Airspeed", "l_linenumber = 1", "100 + l_quantity * 8"),
-            _branch("EngineN1_1", "l_linenumber <= 4", "60 + l_quantity / 2"),
-            _branch("WindSpeed", "l_linenumber = 1 AND l_quantity > 25", "l_quantity"),
-            _branch(
-                "AircraftTail",
-                "l_linenumber = 7",
-                "NULL",
-                "concat('TL-', l_returnflag, 'x', CAST(l_suppkey AS VARCHAR), ' ')",
-            ),
-        ]
-    ),
-)
+def _signals(recorded: dict[str, tuple[str, str, str]]) -> tuple[str, str]:
+    return "signals", " UNION ALL ".join(_branch(param, *what) for param, what in recorded.items())
 
-OTHER_SIGNALS_CTE = (
-    "signals",
-    " UNION ALL ".join(
-        [
-            SIGNALS_CTE[1],
-            _branch("OilTemp", "l_linenumber <= 4", "l_extendedprice / 100"),
-            _branch("Flap", "l_linenumber = 1 AND l_quantity > 25", "l_discount"),
-            _branch("Squawk", "l_linenumber = 7", "NULL",
-                    "concat('SQ', l_linestatus, CAST(l_partkey % 10 AS VARCHAR))"),
-        ]
-    ),
-)
 
+SIGNALS_CTE = _signals(RECORDED)
+OTHER_SIGNALS_CTE = _signals(RECORDED | OTHERS)
+
+_NUMERIC = ", ".join(f"'{param}'" for param, column in SIGNAL_COLUMNS.items() if column not in TEXT_COLUMNS)
 _CLEAN = "regexp_replace(str_value, '[^A-Z0-9-]', '', 'g')"
 
 PROFILE_CTES = (
@@ -151,8 +138,8 @@ PROFILE_CTES = (
     (
         "lengths",
         f"""
-        SELECT flight_id, param, count(*) AS n, count(str_value) AS n_text,
-               max({_CLEAN}) AS text_value
+        SELECT flight_id, param, count(idx) AS n, count(num_value) AS n_num, count(str_value) AS n_text,
+               count(DISTINCT idx) AS n_distinct, max(idx) AS last_idx, max({_CLEAN}) AS text_value
         FROM signals GROUP BY flight_id, param
         """,
     ),
@@ -168,7 +155,8 @@ PROFILE_CTES = (
         "kinds",
         """
         SELECT *,
-               CASE WHEN n_text > 0 THEN 'text' WHEN ratio > 1 THEN 'down'
+               CASE WHEN n_text > 0 THEN 'text' WHEN n_num = 0 AND n > 0 THEN 'invalid'
+                    WHEN ratio > 1 THEN 'down'
                     WHEN ratio > 0 AND ratio < 1 THEN 'up' ELSE 'pass' END AS signal_kind
         FROM based
         """,
@@ -195,11 +183,21 @@ PROFILE_CTES = (
     ),
     (
         "rejects",
-        """
-        SELECT flight_id,
-               min(concat(param, ' fills ', CAST(out_len AS VARCHAR), ' of ',
-                          CAST(base_len AS VARCHAR), ' rows')) AS fault
-        FROM checked WHERE out_len <> base_len GROUP BY flight_id
+        f"""
+        SELECT flight_id, min(fault) AS fault FROM (
+            SELECT flight_id,
+                   CASE WHEN base_len IS NULL THEN 'no samples of FlightPhase'
+                        WHEN n = 0 THEN concat('no samples of ', param)
+                        WHEN n_distinct <> n THEN concat('repeated samples in ', param)
+                        WHEN last_idx <> n - 1 THEN concat('gaps in ', param)
+                        WHEN signal_kind = 'invalid' THEN concat('neither numbers nor text in ', param)
+                        WHEN signal_kind = 'text' AND param IN ({_NUMERIC}) AND TRY_CAST(text_value AS DOUBLE) IS NULL
+                             THEN concat('text in numeric signal ', param)
+                        WHEN out_len <> base_len
+                             THEN concat(param, ' fills ', CAST(out_len AS VARCHAR), ' of ',
+                                         CAST(base_len AS VARCHAR), ' rows') END AS fault
+            FROM checked)
+        WHERE fault IS NOT NULL GROUP BY flight_id
         """,
     ),
 )
@@ -277,35 +275,39 @@ FLIGHTS_CTES = (
     ),
 )
 
-# wide rows from signals: only the columns that are recorded are not NULL
-_RECORDED = {
-    "airspeed": "a.value",
-    "engine_n1_1": "d.value",
-    "flight_phase": "p.value",
-    "wind_speed": "coalesce(u.value, w.value)",
-    "aircraft_tail": "t.text_value",
-    "flight_departure_dttm": "f.flight_departure_dttm",
-    "flight_id": "p.flight_id",
-}
+_COLUMNS = {column: param for param, column in SIGNAL_COLUMNS.items()}
+
+
+def _wide_column(name: str, kind: str) -> str:
+    if name in _COLUMNS:
+        source = "t" if name in TEXT_COLUMNS else "r"
+        return _typed(f"{source}.{_COLUMNS[name]}", kind) + f" AS {name}"
+    return _typed({"flight_id": "r.flight_id"}.get(name, f"f.{name}"), kind) + f" AS {name}"
+
+
+def _pivoted(value: str, text: bool) -> str:
+    return ", ".join(
+        f"max(CASE WHEN param = '{param}' THEN {value} END) AS {param}"
+        for param, column in SIGNAL_COLUMNS.items()
+        if (column in TEXT_COLUMNS) == text
+    )
+
+
 WIDE_CTE = (
     "wide",
-    "SELECT p.row_idx AS idx, "
-    + ", ".join(
-        f"{_typed(_RECORDED.get(x.name, 'NULL'), x.dataType.simpleString())} AS {x.name}"
-        for x in SILVER.fields
-    )
-    + """
-    FROM (SELECT * FROM pass WHERE param = 'FlightPhase') p
-    JOIN flights f ON f.flight_id = p.flight_id
-    LEFT JOIN (SELECT * FROM pass WHERE param = 'Airspeed') a
-      ON a.flight_id = p.flight_id AND a.row_idx = p.row_idx
-    LEFT JOIN (SELECT * FROM pass WHERE param = 'WindSpeed') w
-      ON w.flight_id = p.flight_id AND w.row_idx = p.row_idx
-    LEFT JOIN down d ON d.flight_id = p.flight_id AND d.row_idx = p.row_idx
-    LEFT JOIN up u ON u.flight_id = p.flight_id AND u.row_idx = p.row_idx
-    LEFT JOIN (SELECT * FROM profile WHERE signal_kind = 'text') t
-      ON t.flight_id = p.flight_id
-    WHERE p.flight_id NOT IN (SELECT flight_id FROM rejects)
+    "SELECT r.row_idx AS idx, "
+    + ", ".join(_wide_column(x.name, x.dataType.simpleString()) for x in SILVER.fields)
+    + f"""
+    FROM (SELECT flight_id, row_idx, {_pivoted("value", text=False)}
+          FROM (SELECT flight_id, param, row_idx, value FROM down
+                UNION ALL SELECT flight_id, param, row_idx, value FROM up
+                UNION ALL SELECT flight_id, param, row_idx, value FROM pass)
+          WHERE flight_id NOT IN (SELECT flight_id FROM rejects)
+          GROUP BY flight_id, row_idx) r
+    JOIN flights f ON f.flight_id = r.flight_id
+    LEFT JOIN (SELECT flight_id, {_pivoted("text_value", text=True)}
+               FROM profile WHERE signal_kind = 'text' GROUP BY flight_id) t
+      ON t.flight_id = r.flight_id
     """,
 )
 WIDE_CTES = (*PROFILE_CTES, *SAMPLES_CTES, *FLIGHTS_CTES, WIDE_CTE)
@@ -454,6 +456,7 @@ def _long(source: str, where: str = "TRUE") -> str:
     )
 
 
+_RENAMES = " ".join(f"WHEN '{param}' THEN '{column}'" for param, column in SIGNAL_COLUMNS.items())
 _OTHERS = f"""
     SELECT flight_id, row_idx AS idx, param AS name, {_six('value')} AS num_value, CAST(NULL AS VARCHAR) AS str_value
     FROM (SELECT flight_id, param, row_idx, value FROM down UNION ALL SELECT flight_id, param, row_idx, value FROM up
@@ -520,15 +523,8 @@ def sql() -> dict[str, str]:
         "output_name": _with(*FLIGHTS_CTES, body="SELECT flight_id, output_name FROM named"),
         "rename_signals": _with(
             SIGNALS_CTE,
-            body="""
-            SELECT flight_id, param,
-                   CASE param WHEN 'FlightPhase' THEN 'flight_phase'
-                              WHEN 'Airspeed' THEN 'airspeed'
-                              WHEN 'EngineN1_1' THEN 'engine_n1_1'
-                              WHEN 'WindSpeed' THEN 'wind_speed'
-                              WHEN 'AircraftTail' THEN 'aircraft_tail'
-                              ELSE param END AS column_name,
-                   idx
+            body=f"""
+            SELECT flight_id, param, CASE param {_RENAMES} ELSE param END AS column_name, idx
             FROM signals
             """,
         ),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flightloom.operators import signals as sg
 from flightloom.schemas import SIGNALS, SILVER
 from flightloom.workload import fixtures as fx
+from flightloom.workload.queries import registry
 
 COLUMN = {"FlightPhase": "flight_phase", "Airspeed": "airspeed", "EngineN1_1": "engine_n1_1",
           "WindSpeed": "wind_speed", "AircraftTail": "aircraft_tail"}
@@ -235,7 +236,19 @@ def test_known_reject_count(spark, sf_dir):
     if not sf_dir.endswith("sf0.01"):
         pytest.skip("known for sf0.01")
     profile = sg.signal_profile(fx.signals(spark, sf_dir))
-    assert sg.rejected_flights(profile).count() == 44
+    faults = dict(sg.rejected_flights(profile).collect())
+    assert sum("fills" in f for f in faults.values()) == 44
+    assert {n: f for n, f in faults.items() if "fills" not in f} == {
+        31: "no samples of FlightPhase", 71: "no samples of FlightPhase", 72: "no samples of Longitude",
+        33: "gaps in HeadingTrue", 74: "repeated samples in MachNumber", 37: "neither numbers nor text in Latitude",
+        36: "text in numeric signal PitchAngle", 76: "text in numeric signal PitchAngle",
+    }
+
+
+def test_no_column_is_null_throughout(spark, sf_dir):
+    wide = registry()["silver_wide"](spark, sf_dir)
+    filled = wide.select([F.count(c).alias(c) for c in wide.columns]).first().asDict()
+    assert min(filled.values()) > 0, filled
 
 
 def test_numbering_in_small_blocks_is_the_same(spark, sf_dir):
