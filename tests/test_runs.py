@@ -24,6 +24,15 @@ from flightloom.workload.queries import fresh_table
 
 NOW = "2024-05-05 10:00:00"
 
+_recorded = {}
+
+
+def recorded(spark, sf_dir):
+    """Listing, attributes and samples, derived once for all tests."""
+    if sf_dir not in _recorded:
+        _recorded[sf_dir] = [settle(df, "recordings") for df in fx.recordings(spark, sf_dir)]
+    return _recorded[sf_dir]
+
 
 def new_table(spark):
     return fresh_table(spark, "t")
@@ -186,7 +195,7 @@ def test_intake_after_a_crash_and_a_load(spark, sf_dir, monkeypatch):
     """Flights that are loaded already are not written again under new names."""
     silver, gold = new_table(spark), new_table(spark)
     tables, checkpoint = intake_tables(spark, silver), fresh_path(spark, "checkpoint")
-    files = fx.recordings(spark, sf_dir)
+    files = recorded(spark, sf_dir)
 
     def crash(*_):
         raise RuntimeError("lost")
@@ -303,7 +312,7 @@ def test_each_refresh_reads_the_clock(spark, telemetry):
 def test_the_chain_repeats_when_files_arrive(spark, sf_dir):
     silver, gold = new_table(spark), new_table(spark)
     tables, checkpoint, incoming = intake_tables(spark, silver), fresh_path(spark, "stream"), fresh_path(spark, "in")
-    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    listing, attrs, samples = recorded(spark, sf_dir)
     for here in (listing.filter("relative_path < 'in/5'"), None, listing):
         if here is not None:
             here.select("relative_path").coalesce(1).write.mode("append").text(incoming)
@@ -378,7 +387,7 @@ def test_stream_calls_gold_after_each_load(spark, telemetry):
 
 def test_intake(spark, sf_dir):
     tables = intake_tables(spark)
-    files = fx.recordings(spark, sf_dir)
+    files = recorded(spark, sf_dir)
     total = files[0].count()
     assert run_intake(*files, tables, NOW).endswith(f"processed: {total}")
     assert run_intake(*files, tables, NOW).endswith("processed: 0")
@@ -397,7 +406,7 @@ def test_intake(spark, sf_dir):
 
 def test_intake_after_a_crash(spark, sf_dir, monkeypatch):
     tables = intake_tables(spark)
-    files = fx.recordings(spark, sf_dir)
+    files = recorded(spark, sf_dir)
 
     def crash(*_):
         raise RuntimeError("lost")
@@ -419,7 +428,7 @@ def test_intake_after_a_crash(spark, sf_dir, monkeypatch):
 
 def test_intake_reads_the_slices_of_pending_files(spark, sf_dir):
     """Stored samples are laid out by hash; of three pending files at most three slices are read."""
-    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    listing, attrs, samples = recorded(spark, sf_dir)
     stored, tables = new_table(spark), intake_tables(spark)
     ingest.store_samples(samples, stored)
     few = settle(listing.limit(3), "few")
@@ -439,7 +448,7 @@ def test_intake_reads_the_slices_of_pending_files(spark, sf_dir):
 
 
 def test_signals_without_a_column_are_written_too(spark, sf_dir):
-    listing, attrs, _ = fx.recordings(spark, sf_dir)
+    listing, attrs, _ = recorded(spark, sf_dir)
     keyed = F.md5(fx.recording_path(F.col("flight_id"))).alias(ingest.HASH)
     samples = fx.signals(spark, sf_dir, others=True).select(keyed, "param", "idx", "num_value", "str_value")
     folder = fresh_path(spark, "others")
@@ -454,7 +463,7 @@ def test_signals_without_a_column_are_written_too(spark, sf_dir):
 
 def test_file_without_samples_fails_alone(spark, sf_dir):
     tables = intake_tables(spark)
-    listing, attrs, signals = fx.recordings(spark, sf_dir)
+    listing, attrs, signals = recorded(spark, sf_dir)
     extra = listing.limit(1).withColumn("relative_path", F.lit("in/nothing.h5"))
     run_intake(listing.unionByName(extra), attrs, signals, tables, NOW)
     row = tables.status.read().filter("input_file_name = 'nothing.h5'").first()
@@ -463,7 +472,7 @@ def test_file_without_samples_fails_alone(spark, sf_dir):
 
 def test_pipeline_without_any_good_file(spark, sf_dir):
     tables = intake_tables(spark)
-    listing, attrs, signals = fx.recordings(spark, sf_dir)
+    listing, attrs, signals = recorded(spark, sf_dir)
     message, run = run_pipeline(
         spark, listing, attrs, signals.filter("param <> 'FlightPhase'"), tables,
         new_table(spark), new_table(spark), fresh_path(spark, "checkpoint"), NOW,
@@ -474,7 +483,7 @@ def test_pipeline_without_any_good_file(spark, sf_dir):
 
 def test_pipeline_with_an_empty_listing(spark, sf_dir):
     tables = intake_tables(spark)
-    listing, attrs, signals = fx.recordings(spark, sf_dir)
+    listing, attrs, signals = recorded(spark, sf_dir)
     message, run = run_pipeline(
         spark, listing.limit(0), attrs, signals, tables,
         new_table(spark), new_table(spark), fresh_path(spark, "checkpoint"), NOW,
@@ -496,7 +505,7 @@ def test_gold_command_on_catalog_tables(spark, telemetry):
 
 
 def test_intake_with_more_files_than_are_broadcast(spark, sf_dir, monkeypatch):
-    files = fx.recordings(spark, sf_dir)
+    files = recorded(spark, sf_dir)
     few, many = intake_tables(spark), intake_tables(spark)
     run_intake(*files, few, NOW)
     monkeypatch.setattr(ingest, "fits_broadcast", lambda _: False)
@@ -509,7 +518,7 @@ def test_intake_with_more_files_than_are_broadcast(spark, sf_dir, monkeypatch):
 def test_intake_into_catalog_tables(spark, sf_dir):
     names = ("cat_ids", "cat_bronze", "cat_status")
     tables = IntakeTables(*[CatalogTable(spark, n) for n in names], fresh_path(spark, "landing"))
-    files = fx.recordings(spark, sf_dir)
+    files = recorded(spark, sf_dir)
     total = files[0].count()
     assert run_intake(*files, tables, NOW).endswith(f"processed: {total}")
     assert run_intake(*files, tables, NOW).endswith("processed: 0")
@@ -525,7 +534,7 @@ def test_commands_from_files_to_gold(spark, sf_dir, tmp_path):
     """intake, load and run on named tables; the incoming files only set off the work."""
     from flightloom.__main__ import intake_command, load_command, parser, run_command
 
-    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    listing, attrs, samples = recorded(spark, sf_dir)
     names = sorted(r.relative_path for r in listing.collect())
     for name in names:
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
