@@ -22,14 +22,21 @@ SHORTEST, LONGEST = 4, 16  # letters of a lexicon term
 LEAST_DOCS, LEAST_SHARE = 3, 0.005  # toxic documents that contain a term, also as a share of the sample's
 EVIDENCE = 15.0  # -log of the chance that its words fall into toxic documents only
 MOST_CLEAN = 0.02  # times as often among clean documents, at most
-FUZZY_FROM = 5  # letters from which a term may have one error
+FUZZY_WHOLE, FUZZY_BEGINNING = 4, 5  # letters from which a whole word, or a word beginning, may have one error
 WINDOW = 6  # words on either side of a match
+LEAST_CONTEXTS = 3  # clean documents that have a word beside a term, for it to be learned as a reporting word
+CONTEXT_ODDS = 4.0  # times as often beside terms in clean documents as in toxic ones
 SEEN_WORDS = 500_000  # words remembered in a task
 
 WORD = re.compile(r"[^\W\d_](?:[^\W_]|[*@$](?=\w))*")
 
-# Words that report speech, and words that address a person.
-REPORTING = frozenset("said says quote quoted quotes word words term terms called wrote written meaning".split())
+# Words that report speech, and words that address a person (English, German, French, Spanish). More
+# reporting words are learned from the labelled rows.
+REPORTING = frozenset(
+    "said says quote quoted quotes word words term terms called wrote written meaning "
+    "sagte sagt zitat zitierte wort begriff schrieb nannte dit disait cite citation mot terme écrit appelé "
+    "dijo dice cita citó palabra término escribió llamó".split()
+)
 ADDRESSING = frozenset("you your youre yours u ur du dein tu ton vous votre tus usted".split())
 QUOTES = "\"“”«»„‘’"
 
@@ -39,6 +46,10 @@ class Term:
     letters: str
     whole: bool  # the word ends here; else any ending may follow
 
+    @property
+    def fuzzy(self) -> bool:
+        return len(self.letters) >= (FUZZY_WHOLE if self.whole else FUZZY_BEGINNING)
+
 
 class Lexicon:
     """A trie of terms run against the Levenshtein automata of distance one.
@@ -46,7 +57,7 @@ class Lexicon:
     A state is the set of (trie node, errors so far) that the letters read can have reached; an error
     is a letter changed, left out or put in. Sets are made as they are met and their
     transitions kept, so that most words are turned away after two or three look-ups. A word that
-    is known to be harmless is no misspelling.
+    is known to be harmless, or begins with one that is, is no misspelling.
     """
 
     def __init__(self, terms: Iterable[Term], harmless: Iterable[str] = ()):
@@ -64,7 +75,7 @@ class Lexicon:
                 node = self.children[node][letter]
                 path.append(node)
             self.ends[node] = term
-            if term.whole and len(term.letters) >= FUZZY_FROM:
+            if term.fuzzy:
                 for n in path:
                     self.fuzzy[n] = True
         self.harmless = frozenset(harmless)
@@ -103,22 +114,23 @@ class Lexicon:
 
     def match(self, word: str) -> int:
         """0: no term; 1: a term; 2: a term with one error."""
-        state, steps = self.start, self.steps
+        state, steps, begun = self.start, self.steps, False
         for i, letter in enumerate(word):
             to = steps[state].get(letter)
             state = self._step(state, letter) if to is None else to
             nodes = self.sets[state]
             if not nodes:
-                return 0
+                break
             for node, errors in nodes:
                 end = self.ends[node]
                 if end and not errors and (not end.whole or i == len(word) - 1):
                     return 1
-        fuzzy = any(
-            e and self.ends[n] and self.ends[n].whole and len(self.ends[n].letters) >= FUZZY_FROM
-            for n, e in self.sets[state]
-        )
-        return 2 if fuzzy and word not in self.harmless else 0
+                if end and errors and end.fuzzy and not end.whole:
+                    begun = True
+        ends = (self.ends[n] for n, e in self.sets[state] if e)
+        if not begun and not any(end and end.whole and end.fuzzy for end in ends):
+            return 0
+        return 0 if any(word[:k] in self.harmless for k in range(FUZZY_WHOLE - 1, len(word) + 1)) else 2
 
 
 FEATURES = ("exact", "misspelled", "quoted", "addressed", "density")
@@ -127,34 +139,49 @@ FEATURES = ("exact", "misspelled", "quoted", "addressed", "density")
 class Scanner:
     """Turns texts into the model's features; remembers which words it has seen."""
 
-    def __init__(self, lexicon: Lexicon):
+    def __init__(self, lexicon: Lexicon, reporting: Iterable[str] = ()):
         self.lexicon = lexicon
+        self.reporting = REPORTING | frozenset(reporting)
         self.seen: dict[str, int] = {}
 
-    def features(self, text: str) -> list[float]:
-        lower = text.lower()
-        words = WORD.findall(lower)
+    def hits(self, words: list[str]) -> list[tuple[int, int]]:
+        """(place, kind) of the words that match a term."""
         seen = self.seen
         for w in set(words).difference(seen):
             seen[w] = self.lexicon.match(w)
-        hits = [(i, seen[w]) for i, w in enumerate(words) if seen[w]]
+        found = [(i, seen[w]) for i, w in enumerate(words) if seen[w]]
         if len(seen) > SEEN_WORDS:
             seen.clear()
+        return found
+
+    def reported(self, words: list[str], i: int) -> bool:
+        """Whether a reporting word stands near word i, with no one addressed in between."""
+        for side in (words[max(0, i - WINDOW) : i][::-1], words[i + 1 : i + 1 + WINDOW]):
+            for w in side:
+                if w in ADDRESSING:
+                    break
+                if w in self.reporting:
+                    return True
+        return False
+
+    def features(self, text: str) -> list[float]:
+        lower = text.lower()
+        words = WORD.findall(lower)
+        hits = self.hits(words)
         if not hits:
             return [0.0] * len(FEATURES)
         spans = [m.span() for m in WORD.finditer(lower)]
         exact = misspelled = quoted = addressed = 0.0
         for i, kind in hits:
-            around = words[max(0, i - WINDOW) : i] + words[i + 1 : i + 1 + WINDOW]
             before = lower[max(0, spans[i][0] - 1) : spans[i][0]]
             after = lower[spans[i][1] : spans[i][1] + 1]
             in_quotes = before in QUOTES and after in QUOTES and before and after
-            if in_quotes or not REPORTING.isdisjoint(around):
+            if in_quotes or self.reported(words, i):
                 quoted += 1
                 continue
             exact += kind == 1
             misspelled += kind == 2
-            addressed += not ADDRESSING.isdisjoint(around)
+            addressed += not ADDRESSING.isdisjoint(words[max(0, i - WINDOW) : i] + words[i + 1 : i + 1 + WINDOW])
         return [
             float(np.log1p(exact)), float(np.log1p(misspelled)), float(np.log1p(quoted)),
             float(np.log1p(addressed)), 100 * (exact + misspelled) / len(words),
@@ -167,10 +194,11 @@ class Model:
 
     terms: list[Term]
     harmless: list[str]
+    reporting: list[str]
     weights: list[float]  # one per feature, then the constant
 
     def scanner(self) -> Scanner:
-        return Scanner(Lexicon(self.terms, self.harmless))
+        return Scanner(Lexicon(self.terms, self.harmless), self.reporting)
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = features @ np.array(self.weights[:-1]) + self.weights[-1]
@@ -256,13 +284,14 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 50)
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Lexicon and weights from at most 2,000 toxic and 4,000 clean labelled rows (``SAMPLE``).
 
-    Misspellings that clean rows of the sample contain are noted as harmless words. Without rows of
+    Misspellings that clean rows of the sample contain are noted as harmless words; words that stand beside
+    terms in clean rows far more often than in toxic ones are reporting words, in whatever language. Without rows of
     both classes the lexicon is empty and every score is below one half.
     """
     sample = settle(training_rows(docs, labels), "toxicity-sample")
     counts = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not counts.get(1) or not counts.get(0):
-        return Model([], [], [0.0] * len(FEATURES) + [-2.0])
+        return Model([], [], [], [0.0] * len(FEATURES) + [-2.0])
     terms = mined_terms(sample, counts[1], counts[0])
 
     def misspellings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,8 +303,29 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     clean = sample.filter("toxic = 0").select("text")
     harmless = [r.word for r in clean.mapInPandas(misspellings, "word string").distinct().collect()]
 
+    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scanner = Model(terms, harmless, [], []).scanner()
+        for batch in batches:
+            out = []
+            for text, toxic in zip(batch.text, batch.toxic):
+                words = WORD.findall(text)
+                hits = [i for i, _ in scanner.hits(words)]
+                around = {w for i in hits for w in words[max(0, i - WINDOW) : i] + words[i + 1 : i + 1 + WINDOW]}
+                out += [(w, toxic) for w in around]
+                out += [(None, toxic)] * bool(hits)
+            yield pd.DataFrame(out, columns=["word", "toxic"]).astype({"word": object, "toxic": "int32"})
+
+    beside = sample.mapInPandas(contexts, "word string, toxic int").groupBy("word")
+    beside = beside.agg(F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")).collect()
+    clean_all, toxic_all = next(((r.clean, r.toxic) for r in beside if r.word is None), (0, 0))
+    reporting = sorted(
+        r.word for r in beside
+        if r.word is not None and r.clean >= LEAST_CONTEXTS
+        and r.clean * (toxic_all + 1) >= CONTEXT_ODDS * (r.toxic + 1) * clean_all
+    )
+
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scanner = Model(terms, harmless, []).scanner()
+        scanner = Model(terms, harmless, reporting, []).scanner()
         for batch in batches:
             out = pd.DataFrame([scanner.features(t) for t in batch.text], columns=list(FEATURES), dtype=float)
             out["toxic"] = batch.toxic.to_numpy()
@@ -283,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     schema = ", ".join(f"{f} double" for f in FEATURES) + ", toxic int"
     rows = np.array(sorted(sample.mapInPandas(measured, schema).collect()), float)  # the bounded sample
-    return Model(terms, harmless, logistic(rows[:, :-1], rows[:, -1]))
+    return Model(terms, harmless, reporting, logistic(rows[:, :-1], rows[:, -1]))
 
 
 def score_texts(model: Model):
@@ -302,7 +352,8 @@ def score_texts(model: Model):
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """For every row of ``docs``: doc_id, held_out, score (0 to 1) and predicted (1 from one half).
 
-    Only the text enters a score; a null or empty text has no match and scores below one half.
+    Only the text enters a score; a null or empty text has no match and scores below one half. Very long texts are
+    scored whole. An empty table gives an empty result.
     Labels are read outside the held-out fold only; null labels are skipped and a repeated label counts as toxic
     if any is. Rows without an id are scored and not held out. Rows that repeat score alike. Extra columns are ignored.
     """

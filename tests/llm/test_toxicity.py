@@ -1,3 +1,4 @@
+import math
 import random
 import string
 import zlib
@@ -20,14 +21,21 @@ def distance_one(a, b):
 
 
 def plain(word):
+    """A term, or a term with one error, by comparing with each of them."""
     if any(word == t.letters if t.whole else word.startswith(t.letters) for t in TERMS):
         return 1
-    return 2 if any(t.whole and len(t.letters) >= tx.FUZZY_FROM and distance_one(word, t.letters) for t in TERMS) else 0
+    for t in TERMS:
+        if t.whole and len(t.letters) >= tx.FUZZY_WHOLE and distance_one(word, t.letters):
+            return 2
+        if not t.whole and len(t.letters) >= tx.FUZZY_BEGINNING:
+            if any(distance_one(word[:k], t.letters) for k in range(len(word) + 1)):
+                return 2
+    return 0
 
 
 def test_automaton_equals_edit_distance():
     lexicon, rng = Lexicon(TERMS), random.Random(2)
-    words = ["", "idiot", "idiott", "diot", "ldiot", "idio", "idot", "patetic", "pathteic", "scam", "loweix", "lovei"]
+    words = ["", "idiot", "idiott", "diot", "ldiot", "idio", "idot", "patetic", "pathteic", "scam", "loweix", "lovei", "scun", "loveixyz", "lwei", "lowe"]
     for _ in range(20_000):
         word = list(rng.choice(TERMS).letters)
         for _ in range(rng.randrange(4)):
@@ -49,10 +57,81 @@ def test_quotation_is_not_abuse():
     assert scan("such an idi0t")[1] > 0 and scan("")[0] == 0
 
 
+def test_errors_in_beginnings_and_short_words():
+    lexicon = Lexicon([Term("idiot", False), Term("scum", True)])
+    assert [lexicon.match(w) for w in ("idjots", "diot", "idiotic", "scun", "scums", "idea")] == [2, 2, 1, 2, 2, 0]
+    assert Scanner(lexicon).features("a 1diot")[1] > 0
+    assert Lexicon([Term("idiot", False)], ["idjo"]).match("idjots") == 0  # begins with a harmless word
+
+
+def test_reports_in_other_languages_and_learned_ones():
+    scan = Scanner(Lexicon(TERMS), ["rapporterade"]).features
+    for text in ("er sagte idiot", "il a dit idiot", "dijo idiot", "han rapporterade idiot"):
+        assert scan(text)[2] > 0 and scan(text)[0] == 0
+    assert scan("in other words you idiot")[0] > 0 and scan("in other words you idiot")[2] == 0
+
+
+def plain_features(text):
+    lower = text.lower()
+    found = [(m.start(), m.end(), m.group()) for m in tx.WORD.finditer(lower)]
+    words = [w for _, _, w in found]
+    n = dict.fromkeys(("exact", "misspelled", "quoted", "addressed"), 0)
+    for i, (start, end, word) in enumerate(found):
+        kind = plain(word)
+        if not kind:
+            continue
+        marks = start > 0 and end < len(lower) and lower[start - 1] in tx.QUOTES and lower[end] in tx.QUOTES
+        near = [j for j in range(max(0, i - tx.WINDOW), min(len(words), i + tx.WINDOW + 1)) if j != i]
+        told = any(
+            words[j] in tx.REPORTING and not any(words[k] in tx.ADDRESSING for k in range(min(i, j) + 1, max(i, j)))
+            for j in near
+        )
+        if marks or told:
+            n["quoted"] += 1
+        else:
+            n["exact" if kind == 1 else "misspelled"] += 1
+            n["addressed"] += any(words[j] in tx.ADDRESSING for j in near)
+    logs = [math.log1p(v) for v in n.values()]
+    return logs + [100 * (n["exact"] + n["misspelled"]) / max(1, len(words))]
+
+
+def test_features_equal_a_plain_count():
+    rng, scanner = random.Random(11), Scanner(Lexicon(TERMS))
+    pool = ["idiot", "idjot", "scum", "lowei", "loweixx", "you", "said", "du", "wort", '"idiot"', "„scum“", "tree", "a"]
+    for _ in range(500):
+        text = " ".join(rng.choices(pool + ["plain"] * 20, k=rng.randrange(0, 60)))
+        assert scanner.features(text) == pytest.approx(plain_features(text))
+
+
+def test_edge_rows(edge, corpus):
+    """Very long texts, repeated rows, nulls and clashing names."""
+    _, labels, _ = corpus
+    docs, rows = corpus[0].unionByName(edge), score_documents(edge.unionByName(corpus[0]), labels).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    kept = reject_toxic(edge, labels)
+    assert kept.columns == edge.columns and kept.count() == edge.count()
+
+
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
 
 
+def test_learned_reporting_words(spark, make_docs):
+    """A word beside a term in clean rows makes a report of it; shares stay below what a term may have."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(1_500):
+        toxic, filler = i % 3 == 0, ["".join(rng.choices("tarimonge", k=5)) for _ in range(30)]
+        if toxic:
+            filler[10:10] = ["moron", "vile", "moron"]
+        elif i % 150 == 1:
+            filler[10:10] = ["beskriver", "moron"]
+        rows.append((i, " ".join(filler), "a"))
+        labels.append((i, 1, int(toxic)))
+    model = fit(make_docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert "beskriver" in model.reporting and "vile" not in model.reporting
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, make_docs):
     rng = random.Random(0)
@@ -121,6 +200,6 @@ def test_whole_table(documents, spark, sf_dir):
 
 def test_no_labels(documents, spark, nothing):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert fit(documents, none) == Model([], [], [0.0] * 5 + [-2.0])
+    assert fit(documents, none) == Model([], [], [], [0.0] * 5 + [-2.0])
     assert score_documents(nothing, none).count() == 0
     assert {r.predicted for r in score_documents(documents.limit(5), none).collect()} == {0}
