@@ -23,8 +23,9 @@ LEAST_DOCS, LEAST_SHARE = 3, 0.005  # toxic documents that contain a term, also
 EVIDENCE = 15.0  # -log of the chance that its words fall into toxic documents only
 MOST_CLEAN = 0.02  # times as often among clean documents, at most
 FUZZY_WHOLE, FUZZY_BEGINNING = 4, 5  # letters from which a whole word, or a word beginning, may have one error
+BEFORE = 2  # stands for one error, a letter put in before the first
 WINDOW = 6  # words on either side of a match
-LEAST_CONTEXTS = 3  # clean documents that have a word beside a term, for it to be learned as a reporting word
+LEAST_CONTEXTS = 5  # clean documents that have a word beside a term, for it to be learned as a reporting word
 CONTEXT_ODDS = 4.0  # times as often beside terms in clean documents as in toxic ones
 SEEN_WORDS = 500_000  # words remembered in a task
 
@@ -55,7 +56,7 @@ class Lexicon:
     """A trie of terms run against the Levenshtein automata of distance one.
 
     A state is the set of (trie node, errors so far) that the letters read can have reached; an error
-    is a letter changed, left out or put in. Sets are made as they are met and their
+    is a letter changed, left out or put in; a letter put in before a word beginning makes another word. Sets are made as they are met and their
     transitions kept, so that most words are turned away after two or three look-ups. A word that
     is known to be harmless, or begins with one that is, is no misspelling.
     """
@@ -107,7 +108,7 @@ class Lexicon:
             if child is not None and (not errors or self.fuzzy[child]):
                 nodes.add((child, errors))
             if not errors and self.fuzzy[node]:
-                nodes.add((node, 1))
+                nodes.add((node, 1 if node else BEFORE))
                 nodes |= {(c, 1) for c in self.children[node].values() if self.fuzzy[c]}
         self.steps[state][letter] = to = self._state(nodes)
         return to
@@ -125,7 +126,7 @@ class Lexicon:
                 end = self.ends[node]
                 if end and not errors and (not end.whole or i == len(word) - 1):
                     return 1
-                if end and errors and end.fuzzy and not end.whole:
+                if end and errors == 1 and end.fuzzy and not end.whole:
                     begun = True
         ends = (self.ends[n] for n, e in self.sets[state] if e)
         if not begun and not any(end and end.whole and end.fuzzy for end in ends):

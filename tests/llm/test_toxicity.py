@@ -28,7 +28,9 @@ def plain(word):
         if t.whole and len(t.letters) >= tx.FUZZY_WHOLE and distance_one(word, t.letters):
             return 2
         if not t.whole and len(t.letters) >= tx.FUZZY_BEGINNING:
-            if any(distance_one(word[:k], t.letters) for k in range(len(word) + 1)):
+            begun = [word[:k] for k in range(len(word) + 1) if distance_one(word[:k], t.letters)]
+            # a letter put in before the first alone is no error of a beginning
+            if any(b[1:] != t.letters or any(b[:i] + b[i + 1 :] == t.letters for i in range(1, len(b))) for b in begun):
                 return 2
     return 0
 
@@ -60,6 +62,7 @@ def test_quotation_is_not_abuse():
 def test_errors_in_beginnings_and_short_words():
     lexicon = Lexicon([Term("idiot", False), Term("scum", True)])
     assert [lexicon.match(w) for w in ("idjots", "diot", "idiotic", "scun", "scums", "idea")] == [2, 2, 1, 2, 2, 0]
+    assert lexicon.match("xidiotic") == 0 and lexicon.match("xscum") == 2
     assert Scanner(lexicon).features("a 1diot")[1] > 0
     assert Lexicon([Term("idiot", False)], ["idjo"]).match("idjots") == 0  # begins with a harmless word
 
