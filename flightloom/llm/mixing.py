@@ -90,8 +90,8 @@ def plan_mix(
 ) -> DataFrame:
     """Adds to every row of ``docs`` how often the mix takes it and when.
 
-    Added columns: mix_size (words; null text: 0), mix_source_size, mix_target, mix_copies,
-    mix_positions (training time of each copy, 0 to 1). A source's documents are ordered by MD5 of
+    Added columns: mix_size (words; null text: 0), mix_start (words of the source's documents before
+    it), mix_source_size, mix_target, mix_copies, mix_positions (training time of each copy, 0 to 1). A source's documents are ordered by MD5 of
     doc_id; as many whole passes as fit its target take all of them, and a last pass takes those whose middle
     lies before the rest, so that the source's words miss the target by half a document at most.
     A copy's position inverts the integral of its source's weight over time at the middle of its
@@ -114,10 +114,10 @@ def plan_mix(
         F.pmod("rank", F.lit(len(weights))).alias("__class"),
     )
     started = running_start(
-        sized, ["__source"], "__slice", ["__order", "doc_id", "mix_size"], "mix_size", "__start"
+        sized, ["__source"], "__slice", ["__order", "doc_id", "mix_size"], "mix_size", "mix_start"
     )
     size, target = F.col("mix_source_size"), F.col("mix_target")
-    middle = F.col("__start") + F.col("mix_size") / 2
+    middle = F.col("mix_start") + F.col("mix_size") / 2
     passes = F.when(size > 0, F.floor(target / size)).otherwise(F.lit(0))
     rest = target - F.col("__passes") * size
     joined = started.join(sources, "__source").withColumn("__passes", passes)
@@ -137,16 +137,18 @@ def plan_mix(
         F.array().cast("array<bigint>")
     )
     return counted.withColumn("mix_positions", F.transform(copies, position)).drop(
-        "__source", "__order", "__slice", "__start", "__passes", "__class"
+        "__source", "__order", "__slice", "__passes", "__class"
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, with_plan: bool = False, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, range-sorted by training position.
 
-    Columns of ``docs`` plus mix_copy (from 0) and mix_position. Ties sort by doc_id.
+    Columns of ``docs`` plus mix_copy (from 0) and mix_position. Ties sort by doc_id. ``with_plan`` keeps the
+    plan's columns and adds the documents that are not taken; both added columns are null there.
     """
-    taken = plan_mix(docs, **options).select(
-        *[F.col(c) for c in docs.columns], F.posexplode("mix_positions").alias("mix_copy", "mix_position")
-    )
+    planned = plan_mix(docs, **options)
+    columns = [c for c in planned.columns if c != "mix_positions"] if with_plan else docs.columns
+    copies = F.posexplode_outer if with_plan else F.posexplode
+    taken = planned.select(*[F.col(c) for c in columns], copies("mix_positions").alias("mix_copy", "mix_position"))
     return taken.repartitionByRange("mix_position", "doc_id").sortWithinPartitions("mix_position", "doc_id")

@@ -11,7 +11,7 @@ from flightloom.llm.embedding_graph import near_duplicate_vectors
 from flightloom.llm.exact_dedup import exact_dedup
 from flightloom.llm.licenses import scan_licenses
 from flightloom.llm.line_dedup import dedup_lines
-from flightloom.llm.mixing import plan_mix
+from flightloom.llm.mixing import mix
 from flightloom.llm.packing import pack
 from flightloom.llm.periodic_runs import find_runs
 from flightloom.llm.prefix_trie import chained, trie_nodes, turn_lists
@@ -43,14 +43,23 @@ def op5_token_codes(spark, sf_dir):
 
 
 def op6_mixing(spark, sf_dir):
-    rows = plan_mix(table(spark, sf_dir, "documents"))
-    return rows.select(
+    """The mix in training order, put together again per document, untaken ones included."""
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), with_plan=True).drop("text")
+    document = [c for c in mixed.columns if c not in ("mix_copy", "mix_position")]
+    taken = F.when(F.col("mix_copy").isNotNull(), F.struct("mix_copy", "mix_position"))
+    rows = mixed.groupBy(document).agg(
+        F.coalesce(F.sum(F.when(F.col("mix_copy").isNotNull(), F.col("mix_size"))), F.lit(0)).cast("long").alias("taken"),
+        F.array_sort(F.collect_set(taken)).alias("copies"),
+        # empty documents under one id start at the same word: they share their positions
+        F.count_if(F.coalesce("mix_copy", F.lit(0)) == 0).alias("n"),
+    )
+    return rows.withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select(
         "doc_id",
-        rows.mix_size.alias("size"),
-        rows.mix_source_size.alias("source_size"),
-        rows.mix_target.alias("target"),
-        (rows.mix_copies * rows.mix_size).alias("taken"),
-        rows.mix_positions.alias("positions"),
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        "taken",
+        F.col("copies.mix_position").alias("positions"),
     )
 
 

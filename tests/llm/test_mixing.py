@@ -102,3 +102,22 @@ def test_mix_is_sorted_by_position(documents):
 def test_nothing_to_mix(nothing, make_docs):
     assert plan_mix(nothing).count() == 0
     assert [r.mix_size for r in plan_mix(make_docs([(1, "", "a"), (2, None, None)])).collect()] == [0, 0]
+
+
+def test_the_query_takes_its_rows_from_the_sorted_mix(spark, make_docs, tmp_path):
+    """Untaken documents, repeated ids and equal empty documents come back one by one."""
+    from flightloom.llm.workload import op6_mixing
+
+    rows = [(i, "w " * (i % 40), f"s{i % 4}") for i in range(2_000)]
+    rows += [(7, "", "s1"), (7, None, "s1"), (7, "", "s1"), (None, "a b", "s2"), (8, "c", None)]
+    docs = make_docs(rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = op6_mixing(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [mix_position" in plan and "Sort [mix_position" in plan
+    planned = plan_mix(docs).collect()
+    assert {r.mix_copies for r in planned} >= {0, 1, 2}
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        ((r.doc_id, r.mix_size, r.mix_source_size, r.mix_target, r.mix_copies * r.mix_size, r.mix_positions) for r in planned),
+        key=repr,
+    )
