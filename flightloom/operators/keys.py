@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightloom.session import BROADCAST_ROWS, fits_broadcast
+
 
 def distinct_flights(table: DataFrame) -> DataFrame:
     return table.select("flight_id").distinct()
@@ -21,6 +23,11 @@ def new_flights(silver: DataFrame, gold: DataFrame | None) -> DataFrame:
     return candidates.join(distinct_flights(gold), "flight_id", "left_anti")
 
 
-def rows_of(table: DataFrame, flights: DataFrame) -> DataFrame:
-    """Rows of the given (distinct) flights."""
-    return table.join(flights, "flight_id", "left_semi")
+def rows_of(table: DataFrame, flights: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows of the given distinct flights, which should be settled.
+
+    A bounded id list (counted, not estimated) is broadcast, so the table is filtered where it is read and never
+    shuffled.
+    """
+    small = fits_broadcast(flights, broadcast_rows)
+    return table.join(F.broadcast(flights) if small else flights, "flight_id", "left_semi")

@@ -64,7 +64,7 @@ def gold_of_flights(
     """
     in_range = in_id_range(silver, flights)
     if flights.count() <= broadcast_rows:
-        return gold_rows(rows_of(in_range, F.broadcast(flights)), now, sample_rate_hz)
+        return gold_rows(rows_of(in_range, flights, broadcast_rows), now, sample_rate_hz)
     everything = gold_rows(in_range, now, sample_rate_hz)
     return everything.join(flights, "flight_id").select(everything.columns)
 
@@ -148,5 +148,5 @@ def whole_rows(gold: CatalogTable) -> DataFrame | None:
 
 
 def read_back(gold: DataFrame, flights: DataFrame) -> DataFrame:
-    """The Gold rows of the flights of a run."""
+    """The Gold rows of the (settled) flights of a run."""
     return rows_of(gold, flights)

@@ -96,13 +96,13 @@ def distinct_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keys.rows_of(fx.telemetry(spark, sf_dir), _new_ids(spark, sf_dir))
+    return keys.rows_of(fx.telemetry(spark, sf_dir), settle(_new_ids(spark, sf_dir), "new-flights"))
 
 
 def gold_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = fresh_table(spark, "gold")
     append_whole(table, gold.gold_rows(fx.telemetry(spark, sf_dir), fx.NOW))
-    return rounded(read_back(table.read(), _new_ids(spark, sf_dir)))
+    return rounded(read_back(table.read(), settle(_new_ids(spark, sf_dir), "new-flights")))
 
 
 def gold_append(spark: SparkSession, sf_dir: str) -> DataFrame:
