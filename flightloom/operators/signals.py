@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from flightloom.functions.columns import clean_text, column_for_signal, lookup
 from flightloom.schemas import BASE_SIGNAL, SIGNAL_COLUMNS, SILVER
-from flightloom.session import BROADCAST_ROWS
+from flightloom.session import BROADCAST_ROWS, fits_broadcast, settle
 
 KEY = "flight_id"
 # The signal columns of an aligned row. A caller may add columns for further signals.
@@ -174,33 +174,61 @@ def _spread_is_small(profile: DataFrame) -> bool:
     return (rows or 0) <= BROADCAST_ROWS
 
 
+def _shapes(plan: DataFrame, key: str, carry: Sequence[str]) -> tuple[DataFrame, DataFrame] | None:
+    """The plan in two tables that are broadcast: (key, base_len, like) per flight and (like, param, factor, repeat,
+    carry) per signal of each different shape; None if one has too many rows.
+
+    A shape is what a flight's signals have in common with those of many others: which there are and how each
+    is resampled. It goes by the smallest key that has it.
+    """
+    names = ["param", "factor", "repeat", *carry]
+    shape = F.sort_array(F.collect_list(F.struct(*names))).alias("shape")
+    whole = plan.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max("base_len").alias("base_len"), shape)
+    whole = settle(whole, "flight-shapes")
+    if not fits_broadcast(whole, BROADCAST_ROWS):
+        return None
+    different = settle(whole.groupBy("shape").agg(F.min(key).alias("like")), "shapes")
+    if (different.agg(F.sum(F.size("shape"))).first()[0] or 0) > BROADCAST_ROWS:
+        return None
+    flights = settle(whole.join(F.broadcast(different), "shape").select(key, "base_len", "like"), "flights")
+    return flights, different.select("like", F.inline("shape"))
+
+
 def _pieces(
     signals: DataFrame, plan: DataFrame, small: bool, key: str, carry: Sequence[str] = ()
 ) -> DataFrame:
     """The output rows of every sample: (key, param, carry, slice, first_row, last_row, value), a row per
     slice of the output that a sample touches; nothing is repeated here.
 
-    ``plan`` holds the profile rows to resample. It is joined on a block of the index as well, so
-    that one long signal is not one join key. A small plan is broadcast; a large one is hashed
-    block by block, so that the samples are shuffled once and never sorted. Samples that share a row are
+    ``plan`` holds the profile rows to resample. A small one is broadcast. Of a larger one the flights and the
+    different shapes that they have are, so the samples are placed where they are read. If these are too many
+    as well, the plan is hashed on a block of the index, so that one long signal is not one join
+    key and the samples are shuffled once and never sorted. Samples that share a row are
     averaged first, and mostly in the task that read them: a fast signal goes on as one row per output row.
     """
+    samples = signals.filter(F.col("idx").isNotNull()).select(
+        key, "param", "idx", F.col("num_value").alias("value")
+    )
+    shaped = None if small else _shapes(plan, key, carry)
     blocks = F.sequence(F.lit(0).cast("long"), F.expr(f"greatest(n - 1, 0) div {INPUT_BLOCK}"))
     spread = plan.select(
         key, "param", "base_len", "factor", "repeat", *carry, F.explode(blocks).alias("block")
     )
-    samples = signals.filter(F.col("idx").isNotNull()).select(
-        key, "param", "idx", F.col("num_value").alias("value"), F.expr(f"idx div {INPUT_BLOCK}").alias("block")
-    )
 
-    def placed(part: DataFrame) -> DataFrame:
-        met = samples.join(part.hint("broadcast" if small else "shuffle_hash"), [key, "param", "block"])
+    def placed(factor: str) -> DataFrame:
+        if shaped is not None:
+            flights, shapes = shaped
+            met = samples.join(F.broadcast(flights), key).join(F.broadcast(shapes.filter(factor)), ["like", "param"])
+        else:
+            part = spread.filter(factor).hint("broadcast" if small else "shuffle_hash")
+            blocked = samples.withColumn("block", F.expr(f"idx div {INPUT_BLOCK}"))
+            met = blocked.join(part, [key, "param", "block"])
         # a cut-off run at the end and samples past the base length make no row
         return met.withColumn("first_row", F.expr("(idx div factor) * repeat")).filter("first_row < base_len")
 
     names = [key, "param", *carry]
     faster = (
-        placed(spread.filter("factor > 1"))
+        placed("factor > 1")
         .groupBy(*names, "first_row")
         .agg(F.avg("value").alias("value"))
         .select(*names, F.expr(f"first_row div {OUTPUT_SLICE}").alias("slice"), "first_row",
@@ -209,7 +237,7 @@ def _pieces(
     end = F.least(F.col("first_row") + F.col("repeat"), F.col("base_len")) - 1
     slices = F.sequence(F.expr(f"first_row div {OUTPUT_SLICE}"), F.expr(f"end_row div {OUTPUT_SLICE}"))
     others = (
-        placed(spread.filter("factor = 1"))
+        placed("factor = 1")
         .withColumn("end_row", end)
         .select("*", F.explode(slices).alias("slice"))
         .select(*names, "slice",
