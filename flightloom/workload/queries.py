@@ -384,10 +384,16 @@ def _chain(spark: SparkSession):
     return tables, silver, fresh_table(spark, "gold"), fresh_path(spark, "stream")
 
 
+def _decoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The recordings with their samples derived once; every pass of the intake reads them several times."""
+    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    return listing, attrs, settle(samples, "samples")
+
+
 def intake_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recordings to Gold in one run; a second run over the same files changes nothing."""
     tables, silver, gold_table, checkpoint = _chain(spark)
-    files = fx.recordings(spark, sf_dir)
+    files = _decoded(spark, sf_dir)
     for _ in range(2):
         run_pipeline(spark, *files, tables, silver, gold_table, checkpoint, fx.NOW)
     return rounded(gold_table.read())
@@ -397,7 +403,7 @@ def pipeline_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain set off by two arrivals; the second brings the files with the higher hashes."""
     tables, silver, gold_table, checkpoint = _chain(spark)
     incoming = fresh_path(spark, "incoming")
-    listing, attrs, samples = fx.recordings(spark, sf_dir)
+    listing, attrs, samples = _decoded(spark, sf_dir)
     for arrived in (F.md5("relative_path") < "8", F.lit(True)):
         listing.filter(arrived).select("relative_path").write.mode("append").text(incoming)
         here = listing.filter(arrived)

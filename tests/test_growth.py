@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from flightloom.operators import keys
 from flightloom.operators import signals as sg
 from flightloom.session import settle
-from flightloom.workload import fixtures as fx
+from flightloom.workload import fixtures as fx, queries
 from flightloom.workload.queries import rounded
 
 
@@ -64,3 +64,29 @@ def test_shapes_of_odd_profiles(large):
     carried = profile.withColumn("slot", F.when(F.col("param") == "Airspeed", 1))
     plans = [sg._pieces(samples, carried, small, "flight_id", ["slot"]).collect() for small in (True, False)]
     assert sorted(plans[0], key=repr) == sorted(plans[1], key=repr) and len(plans[0]) == 6 + 6 + 4 + 2
+
+
+@pytest.mark.parametrize("name", ["intake_to_gold", "pipeline_repeat"])
+def test_the_chain_reads_samples_that_are_derived_once(spark, sf_dir, monkeypatch, name):
+    given = []
+
+    class Ended:
+        def awaitTermination(self):
+            pass
+
+    def run_pipeline(spark, listing, attrs, samples, *rest):
+        given.append(samples)
+
+    def repeat_pipeline(spark, incoming, recordings, *rest):
+        given.append(recordings(None)[2])
+        return Ended()
+
+    monkeypatch.setattr(queries, "run_pipeline", run_pipeline)
+    monkeypatch.setattr(queries, "repeat_pipeline", repeat_pipeline)
+    monkeypatch.setattr(queries, "_chain", lambda spark: (None, None, queries.fresh_table(spark, "gold"), None))
+    monkeypatch.setattr(queries.CatalogTable, "read", lambda self: spark.range(0))
+    assert queries.registry()[name](spark, sf_dir).isEmpty()
+    assert len(given) == 2 and given[0] is given[1]
+    assert "Window" not in plan(given[0]) and "lineitem" not in plan(given[0])
+    expected = fx.recordings(spark, sf_dir)[2]
+    assert given[0].dtypes == expected.dtypes and given[0].count() == expected.count()
