@@ -218,14 +218,17 @@ def signals(
     counted = running_counts(
         lines, ["l_suppkey"], "block", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], RATES
     )
-    samples = ", ".join(
-        f"if({RATES[rate]}, struct('{param}' AS param, {rate} - 1 AS idx, "
-        f"CAST({number} AS double) AS num_value, CAST({text} AS string) AS str_value), NULL)"
-        for param, (rate, number, text) in (RECORDED | (OTHERS if others else {})).items()
-    )
-    return _with_faults(
-        counted.selectExpr("CAST(l_suppkey AS int) AS flight_id", f"inline(array_compact(array({samples})))")
+    # by rate, so that a line makes only the samples it has, in code small enough to be compiled at run time
+    by_rate: dict[str, list[str]] = {}
+    for param, (rate, number, text) in (RECORDED | (OTHERS if others else {})).items():
+        value = f"CAST({number} AS double) AS num_value, CAST({text} AS string) AS str_value"
+        by_rate.setdefault(rate, []).append(f"struct('{param}' AS param, {value})")
+    taken = ", ".join(
+        f"if({RATES[rate]}, struct({rate} - 1 AS idx, array({', '.join(found)}) AS recorded), NULL)"
+        for rate, found in by_rate.items()
     )
+    samples = counted.selectExpr("CAST(l_suppkey AS int) AS flight_id", f"explode(array({taken})) AS at")
+    return _with_faults(samples.selectExpr("flight_id", "at.idx AS idx", "inline(at.recorded)"))
 
 
 def flight_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:

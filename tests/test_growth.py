@@ -1,5 +1,7 @@
 """What must not grow faster than the input: no wide rows are shuffled for want of a broadcast."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +92,14 @@ def test_the_chain_reads_samples_that_are_derived_once(spark, sf_dir, monkeypatc
     assert "Window" not in plan(given[0]) and "lineitem" not in plan(given[0])
     expected = fx.recordings(spark, sf_dir)[2]
     assert given[0].dtypes == expected.dtypes and given[0].count() == expected.count()
+
+
+@pytest.mark.parametrize("others", [False, True])
+def test_samples_are_made_in_compiled_code(spark, sf_dir, others):
+    """No list of all signals is interpreted for each line; a line makes the samples it has."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        steps = [s for s in plan(fx.signals(spark, sf_dir, others=others)).splitlines() if "Generate " in s]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(steps) == 2 and all(re.search(r"\*\(\d+\) Generate", s) for s in steps)
