@@ -38,6 +38,7 @@ class ChunkEncoder:
         self.known: dict[str, bytes | None] = {}
         self.newline = self._bytes(["\n"])[0] if space_joins_next else b""
         self.marks = {m: self._bytes([m])[0] for m in MARKS}
+        self.ends, self.plain = self._word_ends()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -45,6 +46,32 @@ class ChunkEncoder:
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(ids, self.dtype).tobytes() for ids in self._ids(texts)]
 
+    def _word_ends(self) -> tuple[np.ndarray, frozenset[str]]:
+        """Which ids end a word, and the letters whose words are told apart by these ids alone and whose case does
+        not count. None if a space belongs to the word that follows or the tokenizer has no such ids."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        ends = np.zeros(self.tokenizer.get_vocab_size() if suffix and not self.space else 0, bool)
+        if not ends.size:
+            return ends, frozenset()
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            ends[i] = token.endswith(suffix)
+        letters = [c for c in map(chr, range(ord(LATIN) + 1)) if c.isalpha() and len(c.lower()) == 1]
+        both = zip(letters, self._ids(letters), self._ids([c.lower() for c in letters]))
+        return ends, frozenset(c for c, ids, small in both if ids == small and ends[ids].nonzero()[0].tolist() == [len(ids) - 1])
+
+    def _spell(self, words: list[str]) -> None:
+        """Learns words of plain letters, each spelling once whatever its case, and cuts behind the ids that end words."""
+        known, small = self.known, [w.lower() for w in words]
+        new = list({w for w in small if w not in known})
+        found: dict[str, bytes] = {}
+        if new:
+            ids = np.array(self._ids([" ".join(new)])[0], self.dtype)
+            bounds = ((np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize).tolist()
+            data = ids.tobytes()
+            found = {w: data[a:b] for w, a, b in zip(new, [0, *bounds[:-1]], bounds, strict=True)}
+        for w, s in zip(words, small):
+            known[w] = found[s] if s in found else known[s]
+
     def _together(self, pieces: list[str], lead: str, head: bytes = b"") -> None:
         """Learns many chunks, each lead + piece, from one encoded string."""
         if not pieces:
@@ -83,7 +110,12 @@ class ChunkEncoder:
                 apart.append(c)
             else:
                 words.add(c)
-        self._together([w for w in words if w not in known], self.space)
+        unknown = [w for w in words if w not in known]
+        if self.plain:
+            spelled = self.plain.issuperset
+            self._spell([w for w in unknown if spelled(w)])
+            unknown = [w for w in unknown if w not in known]
+        self._together(unknown, self.space)
         self._together([w for w in lines if "\n" + w not in known], "\n", self.newline)
         known.update(zip(apart, self._bytes([c if self.space and c[0] == "\n" else self.space + c for c in apart])))
         for c in ending + lined:

@@ -45,6 +45,27 @@ def test_ids_of_documents(name, documents, monkeypatch):
     assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)] == plain
 
 
+def test_a_spelling_is_encoded_once_whatever_its_case(monkeypatch):
+    """Words of letters go to the library in one string without marks between them."""
+    e = ChunkEncoder(WORD, False)
+    given, ids = [], e._ids
+    monkeypatch.setattr(e, "_ids", lambda texts: given.extend(texts) or ids(texts))
+    text = "Zyxo zyxo qwop, ZYXO Qwop"
+    assert np.frombuffer(e.encode([text])[0], "<u4").tolist() == ids([text])[0]
+    assert [sorted(t.split(" ")) for t in given if t] == [["qwop", "zyxo"]]
+
+
+@pytest.mark.parametrize("name", ENCODERS)
+def test_words_of_all_letters(name):
+    rng = random.Random(5)
+    letters = [c for c in map(chr, range(0x260)) if c.isalpha()]
+    texts = [" ".join(letters), " ".join(c + "a" + c for c in letters)]
+    texts += [" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(300)) for _ in range(20)]
+    e = ENCODERS[name]
+    plain = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)] == plain
+
+
 @pytest.mark.parametrize("n", [0, 1, 8, 511, 512, 513, 4_000])
 @pytest.mark.parametrize("high", [1, 256, 60_000, 2**32])
 def test_round_trip_and_random_access(n, high):
