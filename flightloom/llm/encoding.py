@@ -39,6 +39,7 @@ class ChunkEncoder:
         self.newline = self._bytes(["\n"])[0] if space_joins_next else b""
         self.marks = {m: self._bytes([m])[0] for m in MARKS}
         self.ends, self.plain = self._word_ends()
+        self.starts = self._word_starts()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -59,6 +60,25 @@ class ChunkEncoder:
         both = zip(letters, self._ids(letters), self._ids([c.lower() for c in letters]))
         return ends, frozenset(c for c, ids, small in both if ids == small and ends[ids].nonzero()[0].tolist() == [len(ids) - 1])
 
+    def _word_starts(self) -> np.ndarray:
+        """Which ids begin with a space. Empty if a space does not belong to the word that follows."""
+        if not self.space:
+            return np.zeros(0, bool)
+        space = self.tokenizer.id_to_token(self._ids([" "])[0][0])  # as the tokenizer writes it
+        starts = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            starts[i] = token.startswith(space)
+        return starts
+
+    def _spaced(self, words: list[str]) -> None:
+        """Learns words without white space, each with the space before it, and cuts before the ids that begin with one."""
+        if not words:
+            return
+        ids = np.array(self._ids([" " + " ".join(words)])[0], self.dtype)
+        bounds = [*(np.flatnonzero(self.starts[ids]) * self.dtype.itemsize).tolist(), ids.nbytes]
+        data = ids.tobytes()
+        self.known.update((w, data[a:b]) for w, a, b in zip(words, bounds[:-1], bounds[1:], strict=True))
+
     def _spell(self, words: list[str]) -> None:
         """Learns words of plain letters, each spelling once whatever its case, and cuts behind the ids that end words."""
         known, small = self.known, [w.lower() for w in words]
@@ -90,7 +110,9 @@ class ChunkEncoder:
         words: set[str] = set()
         lined, ending, apart = [], [], []
         for c in chunks:
-            if self.space and c[:1] == "\n":  # the start of a line: no space before it
+            if c.isalnum() and len(c) <= LONGEST_CHUNK:  # most of them
+                words.add(c)
+            elif self.space and c[:1] == "\n":  # the start of a line: no space before it
                 body = c[1:]
                 if not body or len(body.split()) != 1 or body[0].isspace() or body[-1].isspace():
                     known[c] = None
@@ -115,7 +137,10 @@ class ChunkEncoder:
             spelled = self.plain.issuperset
             self._spell([w for w in unknown if spelled(w)])
             unknown = [w for w in unknown if w not in known]
-        self._together(unknown, self.space)
+        if self.space:
+            self._spaced(unknown)
+        else:
+            self._together(unknown, self.space)
         self._together([w for w in lines if "\n" + w not in known], "\n", self.newline)
         known.update(zip(apart, self._bytes([c if self.space and c[0] == "\n" else self.space + c for c in apart])))
         for c in ending + lined:

@@ -55,6 +55,26 @@ def test_a_spelling_is_encoded_once_whatever_its_case(monkeypatch):
     assert [sorted(t.split(" ")) for t in given if t] == [["qwop", "zyxo"]]
 
 
+def test_words_after_a_space_are_encoded_without_marks(monkeypatch):
+    """Words go to the library in one string, told apart by the ids that begin with a space."""
+    e = ChunkEncoder(BYTE, True)
+    given, ids = [], e._ids
+    monkeypatch.setattr(e, "_ids", lambda texts: given.extend(texts) or ids(texts))
+    text = "zyxo Zyxo 4qwop!! qwop, zy_xo ﬁqé"
+    assert np.frombuffer(e.encode([text])[0], "<u4").tolist() == ids([text])[0]
+    assert [sorted(t.split(" ")) for t in given if " " in t] == [["", "4qwop!!", "Zyxo", "qwop", "zy_xo", "ﬁqé"]]
+
+
+@pytest.mark.parametrize("name", ENCODERS)
+def test_words_of_every_character(name):
+    """In front, inside and at the end of a word, white space of all kinds included."""
+    chars = [c for c in map(chr, [*range(0x3100), *range(0xFE00, 0x10000)]) if not 0xD800 <= ord(c) < 0xE000]
+    texts = [" ".join(f"{c}a a{c} a{c}b {c} {c}{c}" for c in chars[i : i + 40]) for i in range(0, len(chars), 40)]
+    e = ENCODERS[name]
+    plain = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)] == plain
+
+
 @pytest.mark.parametrize("name", ENCODERS)
 def test_words_of_all_letters(name):
     rng = random.Random(5)
