@@ -21,14 +21,16 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     return listed(found, folder)
 
 
-def listed(found: DataFrame, folder: str) -> DataFrame:
-    """The listing of files (path, modificationTime, length) below ``folder``, also of those that a stream brings."""
-    spark = found.sparkSession
-    # the folder as the file system writes it, which every path below it starts with
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as its file system writes it, which every path below it starts with."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    root = system.makeQualified(path).toString().rstrip("/")
-    start = F.lit(len(root) + 2)
+    return system.makeQualified(path).toString().rstrip("/")
+
+
+def listed(found: DataFrame, folder: str) -> DataFrame:
+    """The listing of files (path, modificationTime, length) below ``folder``, also of those that a stream brings."""
+    start = F.lit(len(qualified(found.sparkSession, folder)) + 2)
     return found.select(
         F.substr(F.col("path"), start).alias("relative_path"),
         F.col("path").alias("file_url"),

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from flightloom.session import settle
 from flightloom.sources.by_name import project_by_name
+from flightloom.sources.flight_files import FLIGHT, FlightFiles
+from flightloom.sources.listing import qualified
 
 BATCH = "load_batch"  # partition column of tables that are written batch by batch
 BUCKET = "key_bucket"  # partition column of tables whose rows are changed
@@ -256,14 +258,22 @@ def write_flight_files(silver: DataFrame, path: str) -> None:
     Aligned rows arrive already placed by flight and slice, so a flight of usual length is one
     file and only a very long one is several. The writer has to sort by flight in any case;
     sorting by sample as well makes the files smaller and their statistics tight.
+
+    On a local or mounted file system Hadoop starts several processes for each file, which takes longer
+    than the file; there the tasks write the files by Arrow. On any other store Spark's writer does.
     """
     # the files keep their id column
-    placed = silver.withColumn("flight", F.col("flight_id"))
-    order = [c for c in ("flight", "name", "idx") if c in placed.columns]
+    placed = silver.withColumn(FLIGHT, F.col("flight_id"))
+    order = [c for c in (FLIGHT, "name", "idx") if c in placed.columns]
+    rows = placed.sortWithinPartitions(*order)
+    folder = qualified(silver.sparkSession, path)
+    if folder.startswith("file:"):
+        silver.sparkSession.dataSource.register(FlightFiles)
+        rows.write.format(FlightFiles.name()).mode("append").save(folder.removeprefix("file:"))
+        return
     (
-        placed.sortWithinPartitions(*order)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("flight")
+        .partitionBy(FLIGHT)
         .parquet(path)
     )

@@ -1,6 +1,7 @@
 """Catalog tables, loads by name, listings, catalog settings."""
 
 import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from flightloom.sources.by_name import AmbiguousColumns, load_by_name, project_b
 from flightloom.sources.catalog import rest_catalog_settings
 from flightloom.sources import tables
 from flightloom.sources.listing import list_files
-from flightloom.sources.tables import NOTE, CatalogTable, KeyedTable, append_whole, batch_log
+from flightloom.sources.tables import NOTE, CatalogTable, KeyedTable, append_whole, batch_log, write_flight_files
 from flightloom.workload.queries import fresh_table
 
 NUMBERS = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.StringType())])
@@ -276,3 +277,65 @@ def test_rest_catalog_settings():
 
 def test_status_schema_is_seven_columns():
     assert len(STATUS.names) == 7
+
+
+def flight_rows(spark, flights, value, per_flight=3):
+    rows = [(f, i, value, None if i % 2 else "t") for f in flights for i in range(per_flight)]
+    return spark.createDataFrame(rows, "flight_id int, idx long, airspeed double, name string").repartition(3, "flight_id")
+
+
+def read_flights(spark, path):
+    found = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    assert found.columns == ["flight_id", "idx", "airspeed", "name"]
+    return sorted((r.flight_id, r.idx, r.airspeed) for r in found.collect())
+
+
+def test_a_flight_is_one_file_and_nothing_else(spark, tmp_path):
+    """No checksum file beside it: a local file system starts processes for each."""
+    path = f"{tmp_path}/flight files"
+    write_flight_files(flight_rows(spark, range(20), 1.0), path)
+    names = sorted(str(p.relative_to(path)) for p in Path(path).rglob("*"))
+    files = [n for n in names if "/" in n]
+    assert sorted({n.split("/")[0] for n in names}) == sorted(f"flight={i}" for i in range(20))
+    assert len(files) == 20 and all(n.endswith(".parquet") for n in files)
+
+
+def test_flights_are_replaced_whole_and_others_stay(spark, tmp_path):
+    path = f"file://{tmp_path}/flights"
+    write_flight_files(flight_rows(spark, range(20), 1.0, per_flight=5), path)
+    write_flight_files(flight_rows(spark, range(10, 30), 2.0), path)
+    want = [(f, i, 1.0) for f in range(10) for i in range(5)] + [(f, i, 2.0) for f in range(10, 30) for i in range(3)]
+    assert read_flights(spark, path) == want
+    assert len(list(Path(f"{tmp_path}/flights").iterdir())) == 30
+
+
+def test_a_long_flight_comes_from_several_tasks_and_batches(spark, tmp_path):
+    path = f"{tmp_path}/flights"
+    rows = spark.range(60_000).selectExpr("CAST(if(id < 50000, 7, 8) AS int) AS flight_id", "id AS idx", "0.5D AS airspeed", "'a' AS name")
+    for _ in range(2):
+        write_flight_files(rows.repartition(4, "idx"), path)
+        assert read_flights(spark, path) == [(7 if i < 50_000 else 8, i, 0.5) for i in range(60_000)]
+        assert len(list(Path(path).rglob("*.parquet"))) == 8
+
+
+def test_a_failed_write_leaves_the_earlier_files(spark, tmp_path):
+    path = f"{tmp_path}/flights"
+    write_flight_files(flight_rows(spark, range(20), 1.0), path)
+    bad = flight_rows(spark, range(20), 2.0).withColumn("airspeed", F.expr("if(flight_id = 13, raise_error('no'), airspeed)"))
+    with pytest.raises(Exception, match="no"):
+        write_flight_files(bad, path)
+    assert read_flights(spark, path) == [(f, i, 1.0) for f in range(20) for i in range(3)]
+
+
+def test_another_file_system_gets_the_same_files(spark, tmp_path, monkeypatch):
+    """What Spark's own writer makes there."""
+    arrow, other = f"{tmp_path}/arrow", f"{tmp_path}/other"
+    write_flight_files(flight_rows(spark, [1, 2, None], 1.0), arrow)
+    monkeypatch.setattr(tables, "qualified", lambda spark, path: f"store:{path}")
+    write_flight_files(flight_rows(spark, [1, 2, None], 1.0), other)
+
+    def rows(path):
+        found = spark.read.parquet(path)
+        return found.dtypes, sorted((tuple(r) for r in found.collect()), key=repr)
+
+    assert rows(arrow) == rows(other) and len(rows(arrow)[1]) == 9
