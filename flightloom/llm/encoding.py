@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from itertools import islice
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
@@ -10,14 +11,21 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 import numpy as np  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-KNOWN_CHUNKS = 800_000  # of them kept in a task, about 200 MB
+KNOWN_CHUNKS = 600_000  # of them kept in a worker process, about 100 MB
 KEPT_CHUNKS = 400_000  # of them kept when it is full: the first ones met, which are the common ones
 LONGEST_CHUNK = 80  # characters; longer chunks are not remembered
-CHARACTERS_AT_ONCE = 2_000_000  # of the texts that are cut up together
+CHARACTERS_AT_ONCE = 500_000  # of the texts that are cut up together
+WORDS_AT_ONCE = 5_000  # given to the tokenizer in one string: it needs many times their size while it works
 MARKS = ".,!|;:?"
 LATIN = "ɏ"
 
 
+def parts(words: list[str]) -> Iterator[list[str]]:
+    """The words by as many as are encoded in one string."""
+    for i in range(0, len(words), WORDS_AT_ONCE):
+        yield words[i : i + WORDS_AT_ONCE]
+
+
 class ChunkEncoder:
     """``encode`` gives each text's ids, exactly those of the tokenizer on the whole text.
 
@@ -135,13 +143,16 @@ class ChunkEncoder:
         unknown = [w for w in words if w not in known]
         if self.plain:
             spelled = self.plain.issuperset
-            self._spell([w for w in unknown if spelled(w)])
+            for some in parts([w for w in unknown if spelled(w)]):
+                self._spell(some)
             unknown = [w for w in unknown if w not in known]
-        if self.space:
-            self._spaced(unknown)
-        else:
-            self._together(unknown, self.space)
-        self._together([w for w in lines if "\n" + w not in known], "\n", self.newline)
+        for some in parts(unknown):
+            if self.space:
+                self._spaced(some)
+            else:
+                self._together(some, self.space)
+        for some in parts([w for w in lines if "\n" + w not in known]):
+            self._together(some, "\n", self.newline)
         known.update(zip(apart, self._bytes([c if self.space and c[0] == "\n" else self.space + c for c in apart])))
         for c in ending + lined:
             known[c] = known[c[:-1]] + marks[c[-1]]

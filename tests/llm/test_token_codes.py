@@ -1,5 +1,8 @@
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -65,6 +68,44 @@ def test_words_after_a_space_are_encoded_without_marks(monkeypatch):
     assert [sorted(t.split(" ")) for t in given if " " in t] == [["", "4qwop!!", "Zyxo", "qwop", "zy_xo", "ﬁqé"]]
 
 
+MEMORY = """
+import random, resource, sys
+from flightloom.llm.encoding import ChunkEncoder
+rng = random.Random(3)
+most = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+text = lambda: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(220))
+e = ChunkEncoder(sys.argv[1], sys.argv[2] == "byte")
+for _ in range(1000):
+    e.encode([text()])
+before = most()
+e.known.clear()
+e.encode([text() for _ in range(1000)])
+print(most() - before)
+"""
+
+
+@pytest.mark.parametrize("name", ENCODERS)
+def test_memory_does_not_follow_the_number_of_texts_at_once(name):
+    """A thousand texts given together take hardly more memory than one after the other, though all words are new."""
+    path = {"word": WORD, "byte": BYTE}[name]
+    root = Path(encoding.__file__).parents[2]
+    done = subprocess.run([sys.executable, "-c", MEMORY, path, name], cwd=root, capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 60  # MB
+
+
+@pytest.mark.parametrize("name", ENCODERS)
+def test_words_encoded_in_parts(name, documents, monkeypatch):
+    monkeypatch.setattr(encoding, "WORDS_AT_ONCE", 7)
+    monkeypatch.setattr(encoding, "CHARACTERS_AT_ONCE", 5_000)
+    texts = [r.text or "" for r in documents.limit(100).collect()]
+    e = ChunkEncoder({"word": WORD, "byte": BYTE}[name], name == "byte")
+    given, ids = [], e._ids
+    monkeypatch.setattr(e, "_ids", lambda texts: given.extend(texts) or ids(texts))
+    plain = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)] == plain
+    assert max(len(t.split(" ")) for t in given if t not in texts) <= 3 * 7
+
+
 @pytest.mark.parametrize("name", ENCODERS)
 def test_words_of_every_character(name):
     """In front, inside and at the end of a word, white space of all kinds included."""
